@@ -65,3 +65,38 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def salt(spark: SparkSession) -> DataFrame:
     """One-row salt frame that keeps the value out of plans."""
     return spark.createDataFrame([(SALT,)], "salt string")
+
+
+# Silver with rows damaged so that every row rule and uniqueness fail: one kind of
+# damage per value of k, all rows kept.
+DAMAGED_SQL = """
+WITH keyed AS (SELECT *, CAST(round(amount*100) AS BIGINT) % 97 AS k FROM silver)
+SELECT
+  CASE WHEN k=0 THEN NULL WHEN k=19 THEN lower(transaction_id) WHEN k=23 THEN 'TXN-20240101-000000000001' ELSE transaction_id END AS transaction_id,
+  CASE WHEN k=1 THEN NULL ELSE transaction_datetime END AS transaction_datetime,
+  CASE WHEN k=2 THEN NULL WHEN k=13 THEN '??' WHEN k=26 THEN 'CREDIT' ELSE transaction_type END AS transaction_type,
+  CASE WHEN k=3 THEN NULL WHEN k=14 THEN '??' ELSE transaction_category END AS transaction_category,
+  CASE WHEN k=4 THEN NULL WHEN k=15 THEN '??' ELSE channel END AS channel,
+  CASE WHEN k=5 THEN NULL WHEN k=16 THEN '??' WHEN k=32 THEN 'PENDING' WHEN k=33 THEN 'FAILED' ELSE status END AS status,
+  CASE WHEN k=6 THEN NULL WHEN k=24 THEN -amount ELSE amount END AS amount,
+  CASE WHEN k=7 THEN NULL WHEN k=17 THEN '??' WHEN k=27 THEN 'USD' ELSE currency END AS currency,
+  CASE WHEN k=8 THEN NULL WHEN k=25 THEN -running_balance ELSE running_balance END AS running_balance,
+  CASE WHEN k=9 THEN NULL WHEN k IN (32,33) THEN true ELSE reversal_flag END AS reversal_flag,
+  CASE WHEN k<>34 THEN reversal_reference WHEN reversal_flag THEN NULL ELSE transaction_id END AS reversal_reference,
+  CASE WHEN k=10 THEN NULL WHEN k=20 THEN substr(account_number,1,63) ELSE account_number END AS account_number,
+  CASE WHEN k=21 THEN substr(beneficiary_account_number,1,63) WHEN k<>31 THEN beneficiary_account_number WHEN transaction_category='ATM' THEN account_number END AS beneficiary_account_number,
+  CASE WHEN k=11 THEN NULL WHEN k=22 THEN 17 ELSE age END AS age,
+  CASE WHEN k=12 THEN NULL WHEN k=18 THEN '??' ELSE gender END AS gender,
+  CASE WHEN k<>28 THEN merchant_name WHEN transaction_category<>'POS' THEN 'Shop' END AS merchant_name,
+  CASE WHEN k<>29 THEN merchant_category_code WHEN transaction_category<>'POS' THEN 'MCC 0' END AS merchant_category_code,
+  CASE WHEN k<>30 THEN merchant_city WHEN transaction_category<>'POS' THEN 'Town' END AS merchant_city,
+  CASE WHEN k<>35 THEN atm_terminal_id WHEN transaction_category<>'ATM' THEN 'ATM-0' END AS atm_terminal_id,
+  CASE WHEN k<>36 THEN atm_province WHEN transaction_category<>'ATM' THEN 'Gauteng' END AS atm_province,
+  CASE WHEN k<>37 THEN atm_city WHEN transaction_category<>'ATM' THEN 'City' END AS atm_city
+FROM keyed
+"""
+
+
+def damaged(silver: DataFrame) -> DataFrame:
+    """Silver rows, some of them violating each rule."""
+    return silver.sparkSession.sql(DAMAGED_SQL.replace("FROM silver", "FROM {silver}"), silver=silver)

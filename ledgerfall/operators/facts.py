@@ -68,6 +68,11 @@ def count_where(condition: Column) -> Column:
     return F.sum(F.when(condition, F.col("entries")).otherwise(0))
 
 
+def cents_where(condition: Column) -> Column:
+    """Cents of the rows a condition holds for; zero for the others."""
+    return F.sum(F.when(condition, F.col("cents")).otherwise(0))
+
+
 def row_count() -> Column:
     return F.sum("entries")
 

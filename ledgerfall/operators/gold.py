@@ -21,13 +21,12 @@ SETTLED = "status = 'SETTLED'"
 
 @dataclass(frozen=True)
 class Grouping:
-    """One aggregation: which facts, by what, which measures, in what order."""
+    """One aggregation: which facts, by what, which measures."""
 
     keys: tuple[str, ...]
     measures: dict[str, Callable[[], Column]]
     scope: str = "true"
     ratios: dict[str, Callable[[], Column]] = field(default_factory=dict)
-    order: tuple[Callable[[], Column], ...] = ()
 
     def __call__(self, rows: DataFrame) -> DataFrame:
         return (
@@ -35,7 +34,6 @@ class Grouping:
             .groupBy(*self.keys)
             .agg(*(measure().alias(name) for name, measure in self.measures.items()))
             .withColumns({name: ratio() for name, ratio in self.ratios.items()})
-            .orderBy(*(by() for by in self.order), *self.keys)
         )
 
 
@@ -171,7 +169,6 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
             "max_spend": X.peak,
             "unique_accounts": accounts,
         },
-        order=(lambda: F.desc("total_spend"),),
     ),
 }
 
@@ -180,10 +177,22 @@ FROM_ROWS_ONLY = ("time_of_day",)
 
 
 def build(name: str, rows: DataFrame) -> DataFrame:
-    """A Gold table from facts or merged facts."""
+    """A Gold table from facts or merged facts, in no particular order."""
     return TABLES[name](rows)
 
 
+def arrange(name: str, table: DataFrame) -> DataFrame:
+    """A table in the order it is stored in.
+
+    By its keys, or by total spend; the client table, the only one that grows
+    with the number of accounts, is not sorted.
+    """
+    if name == "mcc_spend":
+        return table.orderBy(F.desc("total_spend"), "merchant_category_code")
+    definition = TABLES[name]
+    return table.orderBy(*definition.keys) if isinstance(definition, Grouping) else table
+
+
 def with_run_date(table: DataFrame, run_date: date) -> DataFrame:
     """A table stamped with the day it was computed for."""
     return table.withColumn("run_date", F.lit(run_date.isoformat()))

@@ -14,45 +14,52 @@ from ledgerfall import vocabulary as V
 from ledgerfall.functions import money
 
 
-def _scale(df: DataFrame, key: str, values: Iterable) -> DataFrame:
-    """The values of a scale as a one-column frame of a few rows."""
-    literals = F.array(*(F.lit(v) for v in values))
-    return df.sparkSession.range(1).select(F.explode(literals).alias(key))
-
+def _with_scale(df: DataFrame, key: str, values: Iterable) -> DataFrame:
+    """Rows, and one marked row per value of a scale with nothing else in it.
 
-def _on_scale(df: DataFrame, key: str, values: Iterable) -> DataFrame:
-    """Rows of a scale's values, and one empty row per value.
-
-    The empty rows make every value a group, without a join; being null, they
+    The marked rows make every value a group, without a join; being null, they
     change no aggregate.
     """
-    values = list(values)
-    kept = df.where(F.col(key).isin(values))
-    return kept.unionByName(_scale(df, key, values), allowMissingColumns=True)
-
-
-def _spread(
-    df: DataFrame, row: str, column: str, values: Iterable, measure: str, how: Callable[[Column], Column], zero
+    literals = F.array(*(F.lit(v) for v in values))
+    marked = df.sparkSession.range(1).select(F.explode(literals).alias(key), F.lit(True).alias("on_scale"))
+    return df.unionByName(marked, allowMissingColumns=True)
+
+
+def _cross_table(
+    df: DataFrame,
+    row: str,
+    column: str,
+    columns: Iterable,
+    cell: Callable[[Column], Column],
+    measure: str,
+    empty: float | int = 0.0,
+    rows: Iterable | None = None,
 ) -> DataFrame:
-    """Cross table in a single aggregation: one output column per value."""
-    return df.groupBy(row).agg(
-        *(
-            F.coalesce(how(F.when(F.col(column) == value, F.col(measure))), F.lit(zero)).alias(str(value))
-            for value in values
-        )
+    """Cross table in a single aggregation, with one output column per value.
+
+    Rows off the scale are left out after the aggregation: asking for listed keys
+    before it would repeat whatever the key is computed from in a filter.
+    """
+    cells = (
+        F.coalesce(cell(F.when(F.col(column) == value, F.col(measure))), F.lit(empty)).alias(value)
+        for value in columns
     )
+    if rows is None:
+        return df.groupBy(row).agg(*cells).orderBy(row)
+    table = _with_scale(df, row, rows).groupBy(row).agg(F.max("on_scale").alias("on_scale"), *cells)
+    return table.where("on_scale").drop("on_scale").orderBy(row)
 
 
 def spend_by_band(spend: DataFrame) -> DataFrame:
     """Total spend, age band by category."""
-    rows = _on_scale(spend, "age_band", V.AGE_BANDS)
-    return _spread(rows, "age_band", "transaction_category", V.CATEGORIES, "total_spend", F.sum, 0.0).orderBy("age_band")
+    return _cross_table(
+        spend, "age_band", "transaction_category", V.CATEGORIES, F.sum, "total_spend", rows=V.AGE_BANDS
+    )
 
 
 def average_spend_by_band(spend: DataFrame) -> DataFrame:
     """Mean of average spend, age band by category."""
-    rows = _on_scale(spend, "age_band", V.AGE_BANDS)
-    return _spread(rows, "age_band", "transaction_category", V.CATEGORIES, "avg_spend", F.avg, 0.0).orderBy("age_band")
+    return _cross_table(spend, "age_band", "transaction_category", V.CATEGORIES, F.avg, "avg_spend", rows=V.AGE_BANDS)
 
 
 def volume_by_channel(channels: DataFrame) -> DataFrame:
@@ -93,7 +100,7 @@ def net_movement_histogram(clients: DataFrame, bins: int = V.HISTOGRAM_BINS) ->
     position = F.call_function("div", (F.col("c") - low) * bins, width)
     binned = cents.select(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"), F.lit(1).alias("client"))
     return (
-        _on_scale(binned, "bin", range(bins))
+        _with_scale(binned, "bin", range(bins))
         .groupBy("bin")
         .agg(F.count("client").alias("clients"))
         .select(
@@ -189,29 +196,36 @@ def client_summary(clients: DataFrame) -> DataFrame:
 
 def status_mix(reversals: DataFrame) -> DataFrame:
     """Share of each status, by category."""
-    table = _spread(reversals, "transaction_category", "status", V.STATUSES, "rate", F.sum, 0.0)
-    return table.orderBy("transaction_category")
+    return _cross_table(reversals, "transaction_category", "status", V.STATUSES, F.sum, "rate")
 
 
 def failure_and_reversal_rates(reversals: DataFrame) -> DataFrame:
     """Shares of failed and reversed transactions, by category that has any."""
     bad = ("FAILED", "REVERSED")
-    rows = reversals.where(F.col("status").isin(*bad))
-    return _spread(rows, "transaction_category", "status", bad, "rate", F.sum, 0.0).orderBy("transaction_category")
+    return _cross_table(
+        reversals.where(F.col("status").isin(*bad)), "transaction_category", "status", bad, F.sum, "rate"
+    )
 
 
 def volume_by_hour(time_of_day: DataFrame) -> DataFrame:
     """Transactions, hour by category, for all hours."""
-    rows = _on_scale(time_of_day, "hour_of_day", range(24))
-    table = _spread(rows, "hour_of_day", "transaction_category", V.CATEGORIES, "transaction_count", F.sum, 0)
-    return table.orderBy("hour_of_day")
+    return _cross_table(
+        time_of_day,
+        "hour_of_day",
+        "transaction_category",
+        V.CATEGORIES,
+        F.sum,
+        "transaction_count",
+        empty=0,
+        rows=range(24),
+    )
 
 
 def spend_by_hour(time_of_day: DataFrame) -> DataFrame:
     """Total spend, hour by category, for all hours."""
-    rows = _on_scale(time_of_day, "hour_of_day", range(24))
-    table = _spread(rows, "hour_of_day", "transaction_category", V.CATEGORIES, "total_spend", F.sum, 0.0)
-    return table.orderBy("hour_of_day")
+    return _cross_table(
+        time_of_day, "hour_of_day", "transaction_category", V.CATEGORIES, F.sum, "total_spend", rows=range(24)
+    )
 
 
 def provinces_by_amount(provincial: DataFrame) -> DataFrame:
@@ -231,8 +245,7 @@ def top_by_average_spend(mcc: DataFrame, n: int = V.TOP_MERCHANT_CATEGORIES) ->
 
 def amount_by_band_and_currency(currency: DataFrame) -> DataFrame:
     """Total amount, age band by currency."""
-    rows = _on_scale(currency, "age_band", V.AGE_BANDS)
-    return _spread(rows, "age_band", "currency", V.CURRENCIES, "total_amount", F.sum, 0.0).orderBy("age_band")
+    return _cross_table(currency, "age_band", "currency", V.CURRENCIES, F.sum, "total_amount", rows=V.AGE_BANDS)
 
 
 def accounts_by_currency(currency: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfall.operators.gold import with_run_date
+from ledgerfall.operators.gold import arrange, with_run_date
 from ledgerfall.schemas import BRONZE, GOLD, REPORT, SILVER_PARTITIONS
 from ledgerfall.sources.layout import Lakehouse
 
@@ -53,7 +53,7 @@ def write_gold(table: DataFrame, lake: Lakehouse, name: str, run_date: date) ->
     Rows are counted while they are written.
     """
     written = Observation(name)
-    counted = table.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted = arrange(name, table).observe(written, F.count(F.lit(1)).alias("rows"))
     _replacing_partitions(with_run_date(counted, run_date), "overwrite", "run_date").parquet(lake.gold_table(name))
     return written.get["rows"]
 
