@@ -60,10 +60,6 @@ def _gold(name: str, tz: str | None = None) -> Query:
     return _on_facts(lambda rows: _stored_form(name, rows), tz)
 
 
-def _merged_gold(name: str) -> Query:
-    return _on_facts(lambda rows: _stored_form(name, X.merge(rows)))
-
-
 def _stored_form(name: str, rows: DataFrame) -> DataFrame:
     return gold.with_run_date(gold.arrange(name, gold.build(name, rows)), DAY)
 
@@ -183,7 +179,7 @@ def holder_age_and_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _conditional_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("channel").agg(
-        F.sum("reversals").alias("reversed"),
+        X.count_where(F.col("reversal_flag")).alias("reversed"),
         X.count_where(F.col("age_band").isin("18-24", "25-34")).alias("under_35"),
     )
 
@@ -202,12 +198,10 @@ def _distinct_accounts(silver: DataFrame) -> DataFrame:
     )
 
 
-def _rounded_ratios(silver: DataFrame) -> DataFrame:
-    cents = money.cents(F.col("amount"))
-    failed = F.count_if(F.col("status") == "FAILED")
-    return silver.groupBy("gender").agg(
-        money.from_cents(money.divide_half_up(F.sum(cents), F.count(cents))).alias("avg_amount"),
-        money.share(failed, F.count("*")).alias("failed_share"),
+def _rounded_ratios(rows: DataFrame) -> DataFrame:
+    failed = X.count_where(F.col("status") == "FAILED")
+    return rows.groupBy("age_band").agg(
+        X.mean().alias("avg_amount"), money.share(failed, X.row_count()).alias("failed_share")
     )
 
 
@@ -261,16 +255,11 @@ def queries() -> dict[str, Query]:
         "gate_verdict_clean": gate_verdict_clean,
         # Silver to Gold
         **{name: _gold(name) for name in gold.TABLES},
-        **{
-            f"{name}_of_merged_facts": _merged_gold(name)
-            for name in gold.TABLES
-            if name not in gold.FROM_ROWS_ONLY
-        },
         "time_of_day_sast": _gold("time_of_day", V.SAST),
         "conditional_counts": _on_facts(_conditional_counts),
         "conditional_sums": _on_facts(_conditional_sums),
         "distinct_accounts": _on_silver(_distinct_accounts),
-        "rounded_ratios": _on_silver(_rounded_ratios),
+        "rounded_ratios": _on_facts(_rounded_ratios),
         "status_share_of_category": _on_gold(
             "reversal_rates", lambda table: table.select("transaction_category", "status", "rate")
         ),

@@ -1,10 +1,4 @@
-"""Weighted facts: what every Gold table is added up from.
-
-A Silver row becomes a fact of weight one.  Facts that agree in all dimensions
-can be merged by adding weights, so the same Gold definitions give the same
-tables from rows and from merged facts.  Merging once and reading the result for
-several tables replaces several shuffles of the raw rows by one.
-"""
+"""What Gold tables are computed from: Silver with cents, age band and hour."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,60 +6,39 @@ from pyspark.sql import functions as F
 from ledgerfall.functions import banding, money
 from ledgerfall.operators.minimise import normalise_amounts
 
-# What facts are told apart by.  The hour is not among them: it would multiply
-# the merged facts by up to 24 for one table that needs no accounts.
-DIMENSIONS = (
-    "account_number",
-    "age_band",
-    "transaction_type",
-    "transaction_category",
-    "channel",
-    "status",
-    "currency",
-    "atm_province",
-    "merchant_category_code",
-)
-
 
 def facts(silver: DataFrame, tz: str | None = None) -> DataFrame:
-    """Silver rows as facts.  Columns a table does not use are pruned by Catalyst."""
-    rows = normalise_amounts(silver)
-    cents = money.cents(F.col("amount"))
-    return rows.select(
-        *(c for c in DIMENSIONS if c != "age_band"),
+    """Silver rows in the terms Gold is stated in.
+
+    A narrow projection; what a table does not use is pruned down to the scan.
+    """
+    return normalise_amounts(silver).select(
+        "account_number",
+        "transaction_type",
+        "transaction_category",
+        "channel",
+        "status",
+        "currency",
+        "atm_province",
+        "merchant_category_code",
+        "reversal_flag",
         banding.age_band(F.col("age")).alias("age_band"),
         banding.hour_of_day(F.col("transaction_datetime"), tz).alias("hour_of_day"),
-        F.lit(1).cast("bigint").alias("entries"),
-        F.when(F.col("amount").isNotNull(), 1).otherwise(0).cast("bigint").alias("priced"),
-        cents.alias("cents"),
-        cents.alias("peak_cents"),
+        money.cents(F.col("amount")).alias("cents"),
         money.cents(F.col("running_balance")).alias("balance_cents"),
-        F.when(F.col("reversal_flag"), 1).otherwise(0).cast("bigint").alias("reversals"),
     )
 
 
-def merge(rows: DataFrame, *keys: str) -> DataFrame:
-    """Facts merged to one per combination of keys (default: all dimensions).
-
-    Partial aggregation runs before the shuffle, and an account with very many
-    rows still spreads over the tasks of its other dimensions.
-    """
-    return rows.groupBy(*(keys or DIMENSIONS)).agg(
-        F.sum("entries").alias("entries"),
-        F.sum("priced").alias("priced"),
-        F.sum("cents").alias("cents"),
-        F.max("peak_cents").alias("peak_cents"),
-        F.max("balance_cents").alias("balance_cents"),
-        F.sum("reversals").alias("reversals"),
-    )
+# Aggregates over facts.
 
 
-# Aggregates over facts.
+def row_count() -> Column:
+    return F.count("*")
 
 
 def count_where(condition: Column) -> Column:
     """Number of rows a condition holds for; unknown does not count."""
-    return F.sum(F.when(condition, F.col("entries")).otherwise(0))
+    return F.count_if(condition)
 
 
 def cents_where(condition: Column) -> Column:
@@ -73,17 +46,19 @@ def cents_where(condition: Column) -> Column:
     return F.sum(F.when(condition, F.col("cents")).otherwise(0))
 
 
-def row_count() -> Column:
-    return F.sum("entries")
-
-
 def total() -> Column:
     return money.from_cents(F.sum("cents"))
 
 
 def mean() -> Column:
-    return money.from_cents(money.divide_half_up(F.sum("cents"), F.sum("priced")))
+    """Average over the rows that have an amount."""
+    return money.from_cents(money.divide_half_up(F.sum("cents"), F.count("cents")))
 
 
 def peak() -> Column:
-    return money.from_cents(F.max("peak_cents"))
+    return money.from_cents(F.max("cents"))
+
+
+def accounts() -> Column:
+    """Exact number of different accounts."""
+    return F.count_distinct("account_number")

@@ -1,9 +1,7 @@
 """The eight Gold tables, from facts.
 
 Seven of them are one grouping each and are stated as data; the per-client table
-needs two steps and is a function.  ``facts(silver)`` and ``merge(facts(silver))``
-are both valid inputs and give equal tables; only ``time_of_day`` needs the hour,
-which merged facts do not have.
+needs two steps and is a function.
 """
 
 from collections.abc import Callable
@@ -42,10 +40,6 @@ def settled(rows: DataFrame) -> DataFrame:
     return rows.where(SETTLED)
 
 
-def accounts() -> Column:
-    return F.count_distinct("account_number")
-
-
 def with_status(status: str) -> Callable[[], Column]:
     return lambda: X.count_where(F.col("status") == status)
 
@@ -63,36 +57,36 @@ def share_of_category() -> Column:
 def client_financial_activity(rows: DataFrame) -> DataFrame:
     """Settled activity by account.  closing_balance is the highest balance seen.
 
-    The first aggregation leaves a few facts per account.  Only these go through
-    the two exact distinct counts, for which Spark copies every input row three
-    times, and an account with very many rows is spread over several tasks.
+    The first aggregation leaves one row per account, category and channel.  Only
+    these go through the two exact distinct counts, for which Spark copies every
+    input row three times, and an account with very many rows is spread over
+    several tasks.
     """
-
-    def only(kind: str, measure: str) -> Column:
-        return F.when(F.col("transaction_type") == kind, F.col(measure)).otherwise(0)
-
-    split = {
-        "debits": only("DEBIT", "entries"),
-        "credits": only("CREDIT", "entries"),
-        "debit_cents": only("DEBIT", "cents"),
-        "credit_cents": only("CREDIT", "cents"),
-    }
-    added = ("entries", "priced", "cents", "reversals", *split)
+    is_debit, is_credit = (F.col("transaction_type") == kind for kind in ("DEBIT", "CREDIT"))
     by_use = (
         settled(rows)
-        .withColumns(split)
         .groupBy("account_number", "transaction_category", "channel")
-        .agg(*(F.sum(c).alias(c) for c in added), F.max("balance_cents").alias("balance_cents"))
+        .agg(
+            F.count("*").alias("entries"),
+            X.count_where(is_debit).alias("debits"),
+            X.count_where(is_credit).alias("credits"),
+            X.count_where(F.col("reversal_flag")).alias("reversals"),
+            X.cents_where(is_debit).alias("debit_cents"),
+            X.cents_where(is_credit).alias("credit_cents"),
+            F.sum("cents").alias("cents"),
+            F.count("cents").alias("priced"),
+            F.max("balance_cents").alias("balance_cents"),
+        )
     )
     debited, credited = F.sum("debit_cents"), F.sum("credit_cents")
     return by_use.groupBy("account_number").agg(
-        X.row_count().alias("total_transactions"),
+        F.sum("entries").alias("total_transactions"),
         F.sum("debits").alias("debit_count"),
         F.sum("credits").alias("credit_count"),
         money.from_cents(debited).alias("total_debited"),
         money.from_cents(credited).alias("total_credited"),
         money.from_cents(credited - debited).alias("net_movement"),
-        X.mean().alias("avg_transaction_amount"),
+        money.from_cents(money.divide_half_up(F.sum("cents"), F.sum("priced"))).alias("avg_transaction_amount"),
         money.from_cents(F.max("balance_cents")).alias("closing_balance"),
         F.sum("reversals").alias("reversal_count"),
         F.count_distinct("transaction_category").alias("distinct_categories_used"),
@@ -122,7 +116,7 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
             "pending_count": with_status("PENDING"),
             "total_amount": X.total,
             "avg_amount": X.mean,
-            "unique_accounts": accounts,
+            "unique_accounts": X.accounts,
         },
         ratios={"failure_rate": failure_rate},
     ),
@@ -133,7 +127,7 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
             "transaction_count": X.row_count,
             "total_amount": X.total,
             "avg_amount": X.mean,
-            "unique_accounts": accounts,
+            "unique_accounts": X.accounts,
         },
     ),
     "reversal_rates": Grouping(
@@ -156,7 +150,7 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
         measures={
             "transaction_count": X.row_count,
             "total_amount": X.total,
-            "unique_accounts": accounts,
+            "unique_accounts": X.accounts,
         },
     ),
     "mcc_spend": Grouping(
@@ -167,17 +161,13 @@ TABLES: dict[str, Callable[[DataFrame], DataFrame]] = {
             "total_spend": X.total,
             "avg_spend": X.mean,
             "max_spend": X.peak,
-            "unique_accounts": accounts,
+            "unique_accounts": X.accounts,
         },
     ),
 }
 
-# Tables that need the hour and so cannot be built from merged facts.
-FROM_ROWS_ONLY = ("time_of_day",)
-
-
 def build(name: str, rows: DataFrame) -> DataFrame:
-    """A Gold table from facts or merged facts, in no particular order."""
+    """A Gold table, in no particular order."""
     return TABLES[name](rows)
 
 

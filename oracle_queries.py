@@ -306,7 +306,6 @@ ORACLE: dict[str, str] = {
         _verdict("clean_checks"), "bronze", "clean_bronze", "clean_silver", "clean_checks"),
     # Silver to Gold
     **{name: _gold_query(name) for name in GOLD},
-    **{f"{name}_of_merged_facts": _gold_query(name) for name in GOLD if name != "time_of_day"},
     "time_of_day_sast": _with(
         f"SELECT *, '{RUN_DATE}' AS run_date FROM ("
         + GOLD["time_of_day"].replace("FROM priced", f"FROM (SELECT * REPLACE ({HOUR_SAST} AS hour_of_day) FROM priced)")
@@ -321,8 +320,8 @@ ORACLE: dict[str, str] = {
         "SELECT status, count(DISTINCT account_number) AS accounts, count(DISTINCT beneficiary_account_number) AS beneficiaries "
         "FROM silver GROUP BY status", *BASE),
     "rounded_ratios": _with(
-        f"""SELECT gender, {AVG} AS avg_amount, ((20000*{_part("status='FAILED'", "1")}+count(*))//(2*count(*)))/10000.0 AS failed_share
-        FROM priced GROUP BY gender""", *FACTS),
+        f"""SELECT age_band, {AVG} AS avg_amount, ((20000*{_part("status='FAILED'", "1")}+count(*))//(2*count(*)))/10000.0 AS failed_share
+        FROM priced GROUP BY age_band""", *FACTS),
     "status_share_of_category": _on("reversal_rates", "SELECT transaction_category, status, rate FROM reversal_rates"),
     # analyses of Gold
     "spend_by_band": _on("spend_by_age_band", _cross(
