@@ -12,19 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 RUN_DATE = date(2026, 3, 30)
 SALT = "salt"
 
-BRONZE_SQL = """
-WITH e0 AS (SELECT event_id, user_id, value, ts,
+# Stages are nested, not WITH clauses: Spark 4.1 inlines a WITH clause that a query
+# reads twice, and mixes up its columns when scalar subqueries are involved.
+_NUMBERS = """
+SELECT event_id, user_id, value, ts,
    (event_id*7919 + user_id*31) % 85 AS m1, (event_id*104729 + 17) % 100 AS m2, (event_id*15485863 + 3) % 100 AS m3,
-   ((event_id % 9973)*3571 + user_id) % 100 AS m4, user_id % 37 AS u FROM events),
-e1 AS (SELECT *, CASE WHEN m1<35 THEN 'MOBILE' WHEN m1<60 THEN 'INTERNET' WHEN m1<70 THEN 'BRANCH' ELSE 'ATM' END AS channel,
-   CASE WHEN m4<70 THEN 'SETTLED' WHEN m4<85 THEN 'PENDING' WHEN m4<95 THEN 'REVERSED' ELSE 'FAILED' END AS status FROM e0),
-e2 AS (SELECT *, CASE
+   ((event_id % 9973)*3571 + user_id) % 100 AS m4, user_id % 37 AS u FROM events
+"""
+_CHANNELS = f"""
+SELECT *, CASE WHEN m1<35 THEN 'MOBILE' WHEN m1<60 THEN 'INTERNET' WHEN m1<70 THEN 'BRANCH' ELSE 'ATM' END AS channel,
+   CASE WHEN m4<70 THEN 'SETTLED' WHEN m4<85 THEN 'PENDING' WHEN m4<95 THEN 'REVERSED' ELSE 'FAILED' END AS status FROM ({_NUMBERS}) e0
+"""
+_CATEGORIES = f"""
+SELECT *, CASE
    WHEN channel='MOBILE'   THEN CASE WHEN m2<38 THEN 'POS' WHEN m2<70 THEN 'EFT' WHEN m2<90 THEN 'DebiCheck' ELSE 'RTC' END
    WHEN channel='INTERNET' THEN CASE WHEN m2<22 THEN 'POS' WHEN m2<60 THEN 'EFT' WHEN m2<63 THEN 'SWIFT' WHEN m2<85 THEN 'DebiCheck' ELSE 'RTC' END
    WHEN channel='BRANCH'   THEN CASE WHEN m2<15 THEN 'POS' WHEN m2<45 THEN 'EFT' WHEN m2<75 THEN 'SWIFT' WHEN m2<80 THEN 'DebiCheck' WHEN m2<85 THEN 'RTC' ELSE 'ATM' END
-   ELSE 'ATM' END AS transaction_category, (status='REVERSED' OR (status='SETTLED' AND m3 % 10 = 0)) AS reversal_flag FROM e1),
-e3 AS (SELECT *, CASE WHEN transaction_category='ATM' OR m3<70 THEN 'DEBIT' ELSE 'CREDIT' END AS transaction_type,
-   CAST(year(ts)*10000+month(ts)*100+day(ts) AS STRING) AS ymd FROM e2)
+   ELSE 'ATM' END AS transaction_category, (status='REVERSED' OR (status='SETTLED' AND m3 % 10 = 0)) AS reversal_flag FROM ({_CHANNELS}) e1
+"""
+_TYPES = f"""
+SELECT *, CASE WHEN transaction_category='ATM' OR m3<70 THEN 'DEBIT' ELSE 'CREDIT' END AS transaction_type,
+   CAST(year(ts)*10000+month(ts)*100+day(ts) AS STRING) AS ymd FROM ({_CATEGORIES}) e2
+"""
+BRONZE_SQL = f"""
 SELECT concat('TXN-', ymd, '-', lpad(hex(event_id),12,'0')) AS transaction_id,
   concat(CAST(date_trunc('second', ts) AS STRING), '+02:00') AS transaction_datetime,
   transaction_type, transaction_category, channel, status, value AS amount,
@@ -49,7 +59,7 @@ SELECT concat('TXN-', ymd, '-', lpad(hex(event_id),12,'0')) AS transaction_id,
   CASE WHEN transaction_category='ATM' THEN concat('City ', CAST(event_id%11 AS STRING)) END AS atm_city,
   CASE WHEN transaction_category='POS' THEN concat('MCC ', CAST(5411+(event_id%14)*7 AS STRING)) END AS merchant_category_code,
   CASE WHEN transaction_category='ATM' THEN CASE WHEN event_id%9<4 THEN 'Gauteng' WHEN event_id%9<6 THEN 'Western Cape' ELSE 'KwaZulu-Natal' END END AS atm_province
-FROM e3
+FROM ({_TYPES}) e3
 """
 
 # Holders whose ID number is absent, short or has month 13: no age, no gender.
@@ -70,7 +80,6 @@ def salt(spark: SparkSession) -> DataFrame:
 # Silver with rows damaged so that every row rule and uniqueness fail: one kind of
 # damage per value of k, all rows kept.
 DAMAGED_SQL = """
-WITH keyed AS (SELECT *, CAST(round(amount*100) AS BIGINT) % 97 AS k FROM silver)
 SELECT
   CASE WHEN k=0 THEN NULL WHEN k=19 THEN lower(transaction_id) WHEN k=23 THEN 'TXN-20240101-000000000001' ELSE transaction_id END AS transaction_id,
   CASE WHEN k=1 THEN NULL ELSE transaction_datetime END AS transaction_datetime,
@@ -93,7 +102,7 @@ SELECT
   CASE WHEN k<>35 THEN atm_terminal_id WHEN transaction_category<>'ATM' THEN 'ATM-0' END AS atm_terminal_id,
   CASE WHEN k<>36 THEN atm_province WHEN transaction_category<>'ATM' THEN 'Gauteng' END AS atm_province,
   CASE WHEN k<>37 THEN atm_city WHEN transaction_category<>'ATM' THEN 'City' END AS atm_city
-FROM keyed
+FROM (SELECT *, CAST(round(amount*100) AS BIGINT) % 97 AS k FROM silver) keyed
 """
 
 

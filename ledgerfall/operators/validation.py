@@ -31,12 +31,11 @@ def tally(silver: DataFrame, rules: tuple[R.Rule, ...] = R.ALL) -> DataFrame:
 
     A rule that needs a column Silver does not have gets no counter.
     """
-    rows = normalise_amounts(silver)
     runnable = {i: rule for i, rule in enumerate(rules) if not _missing(rule, set(silver.columns))}
-    counted = rows.agg(
+    counted = normalise_amounts(silver).agg(
         F.count("*").alias("total_rows"),
         *(
-            F.count_if(F.expr(rule.violated_when)).alias(f"v{i}")
+            F.expr(f"count_if({rule.violated_when}) AS v{i}")
             for i, rule in runnable.items()
             if isinstance(rule, R.RowRule)
         ),
@@ -61,41 +60,48 @@ def _schema_difference(columns: list[str]) -> str | None:
     return parts or None
 
 
-def _outcome(i: int, rule: R.Rule, columns: list[str]) -> Column:
-    """Result of one rule as a struct over a tally row."""
+def _literal(text: str | None) -> str:
+    """SQL literal of a text."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _outcome(i: int, rule: R.Rule, columns: list[str]) -> str:
+    """SQL of the result of one rule over a tally row."""
     absent = _missing(rule, set(columns))
-    violations, total_rows = F.col(f"v{i}"), F.col("total_rows")
     if absent:
-        passed, detail = F.lit(False), F.lit(f"missing column {', '.join(absent)}")
+        passed, detail = "false", _literal(f"missing column {', '.join(absent)}")
     elif isinstance(rule, R.SchemaRule):
         difference = _schema_difference(columns)
-        passed, detail = F.lit(difference is None), F.lit(difference).cast("string")
+        passed, detail = str(difference is None).lower(), _literal(difference)
     elif isinstance(rule, R.NotEmptyRule):
-        passed, detail = total_rows > 0, F.concat(total_rows, F.lit(" rows"))
+        passed, detail = "total_rows > 0", "concat(total_rows, ' rows')"
     else:
-        passed = violations == 0
-        detail = F.when(~passed, F.concat(violations, F.lit(f" {rule.noun}")))
-    return F.struct(
-        F.lit(rule.category).alias("category"),
-        F.lit(rule.check).alias("check"),
-        passed.alias("passed"),
-        detail.alias("detail"),
+        passed, detail = f"v{i} = 0", f"CASE WHEN v{i} > 0 THEN concat(v{i}, {_literal(' ' + rule.noun)}) END"
+    return (
+        f"named_struct('category', {_literal(rule.category)}, 'check', {_literal(rule.check)}, "
+        f"'passed', {passed}, 'detail', {detail})"
     )
 
 
 def report(silver: DataFrame, run_date: date, silver_path: str, rules: tuple[R.Rule, ...] = R.ALL) -> DataFrame:
     """One row: the validation report, with the results in the order of the rules."""
-    results = F.array(*(_outcome(i, rule, silver.columns) for i, rule in enumerate(rules)))
-    passed = F.size(F.filter("results", lambda r: r["passed"])).cast("bigint")
-    failed = F.size(F.filter("results", lambda r: ~r["passed"])).cast("bigint")
-    return tally(silver, rules).select("total_rows", results.alias("results")).select(
-        F.lit(run_date.isoformat()).alias("run_date"),
-        F.lit(silver_path).alias("silver_path"),
-        "total_rows",
-        passed.alias("checks_passed"),
-        failed.alias("checks_failed"),
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall"),
-        "results",
+    outcomes = ", ".join(_outcome(i, rule, silver.columns) for i, rule in enumerate(rules))
+    return (
+        tally(silver, rules)
+        .selectExpr("total_rows", f"array({outcomes}) AS results")
+        .selectExpr("*", "CAST(size(filter(results, r -> NOT r.passed)) AS BIGINT) AS checks_failed")
+        .select(
+            F.lit(run_date.isoformat()).alias("run_date"),
+            F.lit(silver_path).alias("silver_path"),
+            "total_rows",
+            (F.lit(len(rules)).cast("bigint") - F.col("checks_failed")).alias("checks_passed"),
+            "checks_failed",
+            F.when(F.col("checks_failed") == 0, "PASS").otherwise("FAIL").alias("overall"),
+            "results",
+        )
     )
 
 
