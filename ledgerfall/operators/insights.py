@@ -146,36 +146,34 @@ def _median_cents(values: DataFrame) -> DataFrame:
     distinct values to one task.
     """
     bits = values.select((F.col("c") + F.lit(_OFFSET)).alias("u"))
-    half = F.lit(2)
-    wanted = (
-        values.agg(F.count("c").alias("n"))
-        .where("n > 0")
-        .select(
-            F.lit(0).cast("bigint").alias("prefix"),
-            F.call_function("div", F.col("n") - 1, half).alias("low"),
-            F.call_function("div", F.col("n"), half).alias("high"),
-        )
-    )
-    before = Window.partitionBy("prefix").orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
-    below = F.coalesce(F.sum("size").over(before), F.lit(0))
+    siblings = Window.partitionBy("prefix")
+    before = siblings.orderBy("digits").rowsBetween(Window.unboundedPreceding, -1)
 
     def rank_inside(rank: str) -> Column:
         inside = (F.col(rank) >= F.col("below")) & (F.col(rank) < F.col("below") + F.col("size"))
         return F.when(inside, F.col(rank) - F.col("below")).alias(rank)
 
-    parent = F.lit(0).cast("bigint")
-    for shift in _SHIFTS:
-        digits = F.shiftright("u", shift)
-        wanted = (
-            bits.select(parent.alias("prefix"), digits.alias("digits"))
-            .join(F.broadcast(wanted), "prefix")
-            .groupBy("prefix", "low", "high", "digits")
-            .agg(F.count("*").alias("size"))
-            .withColumn("below", below)
+    def holding_ranks(counts: DataFrame) -> DataFrame:
+        """Of groups counted by digits, the one or two that hold the ranks."""
+        return (
+            counts.withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0)))
             .select(F.col("digits").alias("prefix"), rank_inside("low"), rank_inside("high"))
             .where("low IS NOT NULL OR high IS NOT NULL")
         )
-        parent = digits
+
+    size = F.count("*").alias("size")
+    parent, *finer = (F.shiftright("u", shift) for shift in _SHIFTS)
+    n, half = F.sum("size").over(siblings), F.lit(2)
+    wanted = holding_ranks(
+        bits.groupBy(parent.alias("digits"))
+        .agg(size)
+        .withColumn("prefix", F.lit(0))
+        .withColumns({"low": F.call_function("div", n - 1, half), "high": F.call_function("div", n, half)})
+    )
+    for digits in finer:
+        candidates = bits.select(parent.alias("prefix"), digits.alias("digits"))
+        counts = candidates.join(F.broadcast(wanted), "prefix").groupBy("prefix", "low", "high", "digits").agg(size)
+        wanted, parent = holding_ranks(counts), digits
     value = F.col("prefix") - F.lit(_OFFSET)
     return wanted.agg(
         F.max(F.when(F.col("low").isNotNull(), value)).alias("low"),
