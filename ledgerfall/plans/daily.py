@@ -1,7 +1,9 @@
 """One day, from raw files to Gold tables."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfall.operators import facts as X
@@ -29,10 +31,20 @@ def validate_silver(spark: SparkSession, lake: Lakehouse, run_date: date) -> Dat
 def load_gold(spark: SparkSession, lake: Lakehouse, run_date: date, tz: str | None = None) -> dict[str, int]:
     """All Gold tables of a day; rows written per table.
 
-    Every table scans the columns it needs of Silver.
+    Every table scans the columns it needs of Silver: keeping the rows of a day in
+    memory or on executor disks for eight passes would cost more than reading a
+    few columns again, and would be lost with an executor.  The tables do not
+    depend on each other, so their jobs are submitted together and fill the
+    cluster while the last tasks of others run.
     """
     rows = X.facts(tables.read_silver(spark, lake, run_date), tz)
-    return {name: tables.write_gold(gold.build(name, rows), lake, name, run_date) for name in gold.TABLES}
+
+    @inheritable_thread_target(spark)
+    def store(name: str) -> int:
+        return tables.write_gold(gold.build(name, rows), lake, name, run_date)
+
+    with ThreadPoolExecutor(len(gold.TABLES)) as pool:
+        return dict(zip(gold.TABLES, pool.map(store, gold.TABLES)))
 
 
 def run_day(
