@@ -26,6 +26,14 @@ from ledgerfall.sources.layout import Lakehouse  # noqa: E402
 from ledgerfall.sources.scratch import scratch_folder  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
 
+try:  # the text operators and their pipeline are an optional part
+    import corpus_pipeline
+    from ledgerfall.llm import queries as text_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ledgerfall.llm"):
+        raise
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 DAY = fixture.RUN_DATE
 SILVER_PATH = "silver"
@@ -223,8 +231,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return _gold("spend_by_age_band")(spark, "/root/testdata/sf0.001")
 
 
+def _text_queries() -> dict[str, Query]:
+    if text_queries is None:
+        return {}
+    return {**text_queries.QUERIES, "pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     return {
+        **_text_queries(),
         # sources and sinks
         "bronze_round_trip": bronze_round_trip,
         "amounts_from_text": amounts_from_text,
@@ -291,4 +306,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    if text_queries is None:
+        return dict(ORACLE)
+    found = {**ORACLE, **text_queries.ORACLE}
+    return {**found, "pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else found
