@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfall.llm import shared
-from ledgerfall.llm.shared import probability
+from ledgerfall.llm.shared import lean, probability
 
 #: At most this many labelled texts of each class are used to fit.
 FIT_PER_CLASS = 1500
@@ -105,6 +105,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     good, bad, fit = model.good, model.bad, model.fit
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             x = features(texts.fillna(""), good, bad)

@@ -9,6 +9,7 @@ and every text's ids are compared with SentencePiece's own.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -21,9 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
+from ledgerfall.llm.shared import lean
+
 MARK = "▁"
 #: Texts encoded at once: bounds a task's memory beside the longest text.
 BATCH = 256
+#: Threads of a task's encoder; tasks run side by side, and each thread has memory of its own.
+THREADS = "2"
 
 # --- Fixed values: field numbers and kinds of the published model format
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -131,13 +136,21 @@ def plain_steps(model: Model) -> list[normalizers.Normalizer]:
     return steps
 
 
+def _surface(text: str, kind: int) -> bytes:
+    if kind == BYTE:
+        return bytes([int(text[3:5], 16)])
+    return b"" if kind == CONTROL else text.replace(MARK, " ").encode()
+
+
 class Codec:
     """Encodes and decodes texts with one model."""
 
     def __init__(self, data: bytes):
+        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)  # read when the library first encodes
         self.model = parse(data)
         self.tokenizer = build(self.model)
         self.plain = normalizers.Sequence(plain_steps(self.model))
+        self.surface = [_surface(text, kind) for text, _, kind in self.model.pieces]
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
@@ -146,7 +159,8 @@ class Codec:
         return ids, [ours == theirs for ours, theirs in zip(ids, self.reference.encode(texts, num_threads=1))]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        texts = self.tokenizer.decode_batch(ids, skip_special_tokens=True)
+        """As the library's decoder does it, by a table: pieces, bytes, and nothing for control pieces."""
+        texts = (b"".join(map(self.surface.__getitem__, some)).decode("utf-8", "replace") for some in ids)
         return [text[1:] if self.model.dummy_prefix and text[:1] == " " else text for text in texts]
 
     def normalized(self, text: str) -> str:
@@ -190,7 +204,7 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
                     out["ids"] = ids
                 yield pd.DataFrame(out)
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text").mapInPandas(lean(run), schema + (", ids array<int>" if with_ids else ""))
 
 
 def decoded(ids: DataFrame, model_path: str) -> DataFrame:
@@ -205,4 +219,4 @@ def decoded(ids: DataFrame, model_path: str) -> DataFrame:
                 parts = [[] if some is None else list(some) for some in rows["ids"]]
                 yield pd.DataFrame({"doc_id": rows["doc_id"], "text": codec.decode(parts)})
 
-    return ids.select("doc_id", "ids").mapInPandas(run, "doc_id long, text string")
+    return ids.select("doc_id", "ids").mapInPandas(lean(run), "doc_id long, text string")

@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfall.llm import compression, pieces, simhash, site_lines, templates
+from ledgerfall.llm import (
+    compression, html_text, passages, pieces, search, simhash, site_lines, templates, token_files, toxicity,
+)
 from ledgerfall.llm.shared import fold, table
 
 QUALITY_ACCEPTED = 0.7
+TOXIC = 0.5
 
 
 def quality_learnable() -> Column:
@@ -47,12 +50,54 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extracted(pages, html_text.train(pages))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.written_and_read(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+def toxicity_learnable() -> Column:
+    return fold(F.col("doc_id"), 5) != 0
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity_learnable())
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity_learnable()).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+    )
+
+
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each whole document whose id is divisible by 20."""
+    docs = table(spark, sf_dir, "documents")
+    queries = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.top_k(docs, queries)
+
+
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.without_repeats(table(spark, sf_dir, "documents")).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_simhash": op4_simhash,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html_text": op6_html_text,
+    "op7_token_files": op7_token_files,
+    "op8_toxicity": op8_toxicity,
+    "op9_search": op9_search,
+    "op10_passages": op10_passages,
 }
 
 ORACLE = {"op5_line_dedup": site_lines.ORACLE}

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfall.llm.components import components
-from ledgerfall.llm.shared import stored
+from ledgerfall.llm.shared import lean, stored
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp`` of every row; null texts are empty ones.  ``fp`` is the fingerprint as a signed long."""
 
     @F.pandas_udf("long")
+    @lean
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             found = [fingerprint(text, shingle) for text in texts.fillna("")]
@@ -151,7 +152,7 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             if a:
                 yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
 
-    return groups.where(F.size("fps") > 1).mapInPandas(forests, "a long, b long")
+    return groups.where(F.size("fps") > 1).mapInPandas(lean(forests), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
