@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfall.llm.shared import lean
+from ledgerfall.llm.shared import lean, thinned
 
 #: At most this many pages, of at most this many characters, are used to fit.
 FIT_PAGES = 800
@@ -307,9 +307,9 @@ def main_text(page: str, model: Model) -> str:
 
 def train(pages: DataFrame, limit: int = FIT_PAGES, longest: int = FIT_CHARS) -> Model:
     """Tables from a bounded sample of pages, chosen by a hash of their text."""
+    usable = pages.where(F.length("html").between(1, longest)).select("html")
     rows = (
-        pages.where(F.length("html").between(1, longest))
-        .select("html")
+        thinned(usable, F.xxhash64("html"), limit, usable.count())
         .orderBy(F.xxhash64("html"))
         .limit(limit)
         .collect()

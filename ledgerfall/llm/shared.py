@@ -40,6 +40,12 @@ def label_counts(labels: DataFrame, label: str, learnable: Column) -> tuple[int,
     return row[0], row[1]
 
 
+def thinned(df: DataFrame, mark: Column, wanted: int, total: int) -> DataFrame:
+    """Rows with small hashes, about four times as many as wanted: what a limit after it has to bring together."""
+    share = min(1.0, 4 * (wanted + 100) / max(1, total))
+    return df.where(F.pmod(mark, F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def fit_sample(docs: DataFrame, labels: DataFrame, label: str, learnable: Column, per_class: int) -> DataFrame:
     """At most ``2 * per_class`` labelled texts: ``doc_id, text, label``.
 
@@ -48,8 +54,9 @@ def fit_sample(docs: DataFrame, labels: DataFrame, label: str, learnable: Column
     """
     known = labels.where(learnable).groupBy("doc_id").agg(F.max(label).alias("label"))
     ids = None
-    for value in (0, 1):
-        some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+    for value, total in zip((0, 1), label_counts(labels, label, learnable)):
+        some = thinned(known.where(F.col("label") == value), F.xxhash64("doc_id"), per_class, total)
+        some = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return (

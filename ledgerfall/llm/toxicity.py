@@ -1,11 +1,12 @@
 """Toxicity by a subsequence string-kernel SVM with Nyström landmarks.
 
-Two words are alike by the letters they share in order, gaps discounted, so an
-insult is met with inserted characters, stretched or inflected.  A sentence's
-features are, per landmark word, the largest kernel value among its words, turned
-by the inverse root of the landmarks' kernel matrix (Nyström); a linear SVM on them
-is trained on sentences of labelled texts.  A text's score is calibrated from its
-two highest sentence margins.
+Two word beginnings are alike by the letters they share in order, gaps discounted,
+so an insult is met with inserted characters, stretched, inflected or compounded.
+A word counts with the beginning of it that is most alike.  A sentence's features
+are, per landmark, the largest kernel value among its words, turned by the inverse
+root of the landmarks' kernel matrix (Nyström); a linear SVM on them is trained on
+sentences of labelled texts.  A text's score is calibrated from its two highest
+sentence margins.
 """
 
 from __future__ import annotations
@@ -29,14 +30,17 @@ LANDMARKS = 64
 #: Subsequences of this many letters; each letter of their span costs this factor.
 ORDER, DECAY = 3, 0.7
 #: Kernel values below this count as none; a word that lacks too many of a landmark's letters has none.
-FLOOR, SHARED_LETTERS = 0.35, 0.7
-#: Words longer than this are cut into pieces that overlap by half.
-LONGEST = 32
+FLOOR, SHARED_LETTERS = 0.5, 0.75
+#: Beginnings of these many letters are compared; a start marker counts as a letter of theirs.
+SHORTEST, LONGEST = 4, 8
+START = "^"
+#: Landmarks are beginnings of at least four letters; a longer one must keep this share of the texts.
+KEEPS = 0.9
 #: Words a task remembers before it starts anew: bounds its memory.
 MEMORY = 1_000_000
 
 SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){2,}(?!\S)")
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+OTHER = re.compile(r"[\W_]+")
 STOP = (".", "!", "?", ".\"", "!\"", "?\"")
 
 
@@ -76,7 +80,7 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     bits = lambda word: sum({1 << (ord(c) % 61) for c in word})
     masks = np.array([bits(word) for word in words], np.uint64)
     lengths = np.array([len(word) for word in words])
-    for low, high in ((ORDER, 8), (9, 16), (17, LONGEST)):
+    for low, high in ((ORDER, 6), (7, LONGEST + 1)):
         some = np.flatnonzero((lengths >= low) & (lengths <= high))
         for at in range(0, len(some), 4096):
             part = some[at : at + 4096]
@@ -97,10 +101,24 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def _pieces(word: str) -> list[str]:
-    if len(word) <= LONGEST:
-        return [word]
-    return [word[at : at + LONGEST] for at in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+def _beginnings(word: str) -> list[str]:
+    """Beginnings of a cleaned word that are compared; none of words under three letters."""
+    if len(word) < SHORTEST:
+        return [START + word] if len(word) == SHORTEST - 1 else []
+    return [START + word[:size] for size in range(SHORTEST, min(len(word), LONGEST) + 1)]
+
+
+def likeness(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Per cleaned word its largest kernel value with each landmark, over its beginnings."""
+    pieces = [_beginnings(word) for word in words]
+    code: dict[str, int] = {}
+    flat = np.array([code.setdefault(piece, len(code)) for some in pieces for piece in some], int)
+    values = kernel(list(code), landmarks)
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    owner = np.repeat(np.arange(len(words)), [len(some) for some in pieces])
+    some = values.any(1)[flat] if len(flat) else np.zeros(0, bool)
+    np.maximum.at(out, owner[some], values[flat[some]])
+    return out
 
 
 def _tokens(text: str) -> list[str]:
@@ -109,7 +127,7 @@ def _tokens(text: str) -> list[str]:
 
 
 def _clean(word: str) -> str:
-    return EDGE.sub("", word)
+    return word if word.isalnum() else OTHER.sub("", word)
 
 
 def sentences(text: str) -> list[list[str]]:
@@ -149,14 +167,11 @@ class Margins:
             self.near.clear()
         new = list(words - self.seen)
         self.seen.update(new)
-        cleaned = [_pieces(_clean(word)) for word in new]
-        values = kernel([piece for some in cleaned for piece in some], self.landmarks)
-        at = 0
-        for word, some in zip(new, cleaned):
-            best = values[at : at + len(some)].max(0)
-            at += len(some)
-            if best.any():
-                self.near[word] = best
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            for word, best in zip(some, likeness([_clean(word) for word in some], self.landmarks)):
+                if best.any():
+                    self.near[word] = best
 
     def of(self, texts: list[str]) -> np.ndarray:
         """Per text: highest and second highest margin of its sentences (the bias if it has none)."""
@@ -185,30 +200,29 @@ class Margins:
 
 
 def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int) -> list[str]:
-    """Words around letter groups that many toxic texts have and other texts lack, each of new texts."""
-    grams = lambda word: {word[i : i + 4] for i in range(len(word) - 3)}
-    in_other = Counter(g for words in other for g in set().union(*map(grams, words)))
+    """Word beginnings that many toxic texts have and other texts hardly, each for new texts."""
+    begins = lambda words: {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST - 1) + 1)}
+    in_other = Counter(g for words in other for g in begins(words))
     holders: dict[str, set[int]] = {}
-    by_gram: dict[str, Counter] = {}
     for i, words in enumerate(toxic):
-        for word in words:
-            for g in grams(word):
-                holders.setdefault(g, set()).add(i)
-                by_gram.setdefault(g, Counter())[word] += 1
+        for g in begins(words):
+            holders.setdefault(g, set()).add(i)
     weight = len(toxic) / max(1, len(other))
-    rich = {g: t for g, t in holders.items() if len(t) >= 3 and len(t) > 4 * weight * in_other[g]}
+    rich = {g: t for g, t in holders.items() if len(t) >= 3 and len(t) > 5 * weight * in_other[g]}
     chosen: list[str] = []
     times = np.zeros(len(toxic))
-    while rich and len(chosen) < count:
+    short = {g for g in rich if len(g) == SHORTEST}
+    while short and len(chosen) < count:
         # Texts that have landmarks already count less, so that rarer insults get theirs.
-        value = lambda g: sum(0.3 ** times[i] for i in rich[g]) - weight * in_other[g]
-        g = max(rich, key=lambda g: (value(g), g))
+        value = lambda g: sum(0.3 ** times[i] for i in rich[g]) - 3 * weight * in_other[g]
+        g = max(short, key=lambda g: (value(g), g))
         if value(g) <= 0:
             break
-        word = max(by_gram[g], key=lambda w: (by_gram[g][w], -len(w), w))
-        if ORDER <= len(word) <= LONGEST and word not in chosen:
-            chosen.append(word)
-        times[list(rich.pop(g))] += 1
+        short.remove(g)
+        times[list(rich[g])] += 1
+        while longer := [x for x in rich if len(x) == len(g) + 1 and x.startswith(g) and len(rich[x]) >= KEEPS * len(rich[g])]:
+            g = max(longer)
+        chosen.append(START + g)
     return chosen
 
 
@@ -248,15 +262,12 @@ def train(
     if first.label.nunique() < 2 or rest.label.nunique() < 2:
         return Model([], np.zeros(0), 0.0, flat)
     split = [(sentences(text), value) for text, value in zip(first.text, first.label)]
-    words = {v: [{w for s in some for w in s if ORDER <= len(w)} for some, u in split if u == v] for v in (0, 1)}
+    words = {v: [{w for s in some for w in s} for some, u in split if u == v] for v in (0, 1)}
     landmarks = _choose_landmarks(words[1], words[0], LANDMARKS)
     if not landmarks:
         return Model([], np.zeros(0), 0.0, flat)
     vocabulary = sorted(set().union(*words[0], *words[1]))
-    cut = [_pieces(word) for word in vocabulary]
-    values = kernel([piece for some in cut for piece in some], landmarks)
-    edges = np.cumsum([0, *(len(some) for some in cut)])[:-1]
-    best = np.maximum.reduceat(values, edges, axis=0)
+    best = likeness(vocabulary, landmarks)
     near = {word: row for word, row in zip(vocabulary, best) if row.any()}
     none = np.zeros(len(landmarks), np.float32)
     pooled = [
