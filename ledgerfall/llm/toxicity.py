@@ -36,6 +36,8 @@ SHORTEST, LONGEST = 4, 8
 START = "^"
 #: Landmarks are beginnings of at least four letters; a longer one must keep this share of the texts.
 KEEPS = 0.9
+#: A landmark is in this share of the toxic texts of the sample, three at least.
+RAREST = 0.01
 #: Words a task remembers before it starts anew: bounds its memory.
 MEMORY = 1_000_000
 
@@ -174,8 +176,8 @@ class Margins:
                     self.near[word] = best
 
     def of(self, texts: list[str]) -> np.ndarray:
-        """Per text: highest and second highest margin of its sentences (the bias if it has none)."""
-        out = np.full((len(texts), 2), self.bias)
+        """Per text: highest and second highest margin of its sentences (the bias if it has none), within -1 and 1."""
+        out = np.full((len(texts), 2), np.clip(self.bias, -1, 1))
         if not self.landmarks:
             return out
         lines = [[_tokens(line) for line in text.split("\n")] for text in texts]
@@ -195,7 +197,7 @@ class Margins:
                     last = i
                 if best is not None:
                     margins.append(float(best @ self.weights) + self.bias)
-            row[:] = sorted(margins, reverse=True)[:2]
+            row[:] = np.clip(sorted(margins, reverse=True)[:2], -1, 1)
         return out
 
 
@@ -208,13 +210,14 @@ def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int)
         for g in begins(words):
             holders.setdefault(g, set()).add(i)
     weight = len(toxic) / max(1, len(other))
-    rich = {g: t for g, t in holders.items() if len(t) >= 3 and len(t) > 5 * weight * in_other[g]}
+    enough = max(3, RAREST * len(toxic))
+    rich = {g: t for g, t in holders.items() if len(t) >= enough and len(t) > 5 * weight * in_other[g]}
     chosen: list[str] = []
     times = np.zeros(len(toxic))
     short = {g for g in rich if len(g) == SHORTEST}
     while short and len(chosen) < count:
         # Texts that have landmarks already count less, so that rarer insults get theirs.
-        value = lambda g: sum(0.3 ** times[i] for i in rich[g]) - 3 * weight * in_other[g]
+        value = lambda g: sum(0.6 ** times[i] for i in rich[g]) - 3 * weight * in_other[g]
         g = max(short, key=lambda g: (value(g), g))
         if value(g) <= 0:
             break
@@ -255,7 +258,11 @@ def train(
     """
     zeros, ones = shared.label_counts(labels, label, learnable)
     prior = (ones + 0.5) / (zeros + ones + 1)
-    rows = shared.fit_sample(docs, labels, label, learnable, per_class).toPandas()
+    return fit(shared.fit_sample(docs, labels, label, learnable, per_class).toPandas(), prior)
+
+
+def fit(rows: pd.DataFrame, prior: float) -> Model:
+    """The model of a sample ``text, label``; ``prior`` is the share of label 1 among all labels."""
     half = np.arange(len(rows)) % 2 == 0
     flat = (np.zeros(2), np.ones(2), np.r_[0.0, 0.0, np.log(prior / (1 - prior))])
     first, rest = rows[half], rows[~half]
