@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,8 +44,13 @@ HEADER = "<8s5Q"
 SAMPLE = 64
 #: A file is closed once it has this many ids; it holds one document at least.
 FILE_IDS = 1 << 21
-#: Words a task remembers before it starts anew: bounds its memory.
-MEMORY = 500_000
+#: Words a worker remembers before it starts anew: bounds its memory.
+MEMORY = 800_000
+KEPT = "ledgerfall_kept_words"
+#: New words that are encoded as one text.
+AT_ONCE = 500
+#: Documents whose words are learnt together.
+BATCH = 1024
 END_ID = 2
 #: Threads of a task's encoder; tasks run side by side, and each thread has memory of its own.
 THREADS = "2"
@@ -161,25 +168,52 @@ class WordEncoder:
     """Ids of whole texts from those of their words, each word encoded once by the library.
 
     The tokenizer must not join anything over ASCII white space; this one drops it.
+    New words go through the library many at a time, parted by a special token of
+    its own, which takes no part in the words' ids.
     """
 
     def __init__(self, tokenizer: str):
-        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)  # read when the library first encodes
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.part_id = min((i for i, token in added.items() if token.special), default=None)
+        self.part = added[self.part_id].content if added else ""
         self.known: dict[bytes, bytes] = {}
 
+    def learn(self, new: list[bytes]) -> None:
+        words = [word.decode() for word in new]
+        together = [i for i, word in enumerate(words) if self.part and self.part not in word]
+        alone = range(len(words)) if not self.part else [i for i, word in enumerate(words) if self.part in word]
+        groups = [together[at : at + AT_ONCE] for at in range(0, len(together), AT_ONCE)]
+        texts = [self.part.join([words[i] for i in group]) for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            parts = np.flatnonzero(ids == self.part_id)
+            data = ids.tobytes()
+            starts, ends = np.r_[0, parts * 4 + 4].tolist(), np.r_[parts * 4, len(data)].tolist()
+            for i, start, end in zip(group, starts, ends, strict=True):
+                self.known[new[i]] = data[start:end]
+        for i, found in zip(alone, self.tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
+            self.known[new[i]] = np.array(found.ids, "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [text.encode().split() for text in texts]
         new = list(set().union(*words) - self.known.keys())
         if len(self.known) + len(new) > MEMORY:
             self.known.clear()
             new = list(set().union(*words))
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        for word, ids in zip(new, found):
-            self.known[word] = np.array(ids.ids, "<u4").tobytes()
+        self.learn(new)
         return [b"".join(map(self.known.__getitem__, some)) for some in words]
 
 
+def worker_encoder(tokenizer: str) -> WordEncoder:
+    """The encoder of this worker process: its tasks, one after the other, share the words they know."""
+    kept = sys.modules.setdefault(KEPT, types.ModuleType(KEPT))
+    mark = zlib.crc32(tokenizer.encode())
+    if getattr(kept, "mark", None) != mark:
+        kept.mark, kept.encoder = mark, WordEncoder(tokenizer)
+    return kept.encoder
+
+
 def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes the files; one row per file: ``file, n_docs, n_ids, base`` (ids in all files before it).
 
@@ -191,7 +225,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
         tokenizer = file.read()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = WordEncoder(tokenizer), struct.pack("<I", end_id)
+        encoder, end = worker_encoder(tokenizer), struct.pack("<I", end_id)
         task = TaskContext.get()
         store, base = fs.FileSystem.from_uri(folder) if "://" in folder or ":/" in folder else (fs.LocalFileSystem(), folder)
         store.create_dir(base, recursive=True)
@@ -211,8 +245,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
 
         size = 0
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                rows = batch.iloc[at : at + 128]
+            for at in range(0, len(batch), BATCH):
+                rows = batch.iloc[at : at + BATCH]
                 for doc_id, ids in zip(rows["doc_id"], encoder.encode(list(rows["text"].fillna("")))):
                     names.append(None if pd.isna(doc_id) else int(doc_id))
                     parts.append(ids + end)
