@@ -25,11 +25,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import compress, repeat
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,47 +87,48 @@ def pieces_of(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``seq, h`` of every piece."""
+
+    def run(batches: Iterator[pyarrow.RecordBatch]) -> Iterator[pyarrow.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 500):
-                rows = batch.iloc[at : at + 500]
-                found = [pieces_of(text.encode().split(), window)[0] for text in rows["text"]]
-                yield pd.DataFrame(
-                    {
-                        "seq": np.repeat(rows["seq"].to_numpy(np.int64), [len(x) for x in found]),
-                        "h": np.concatenate(found).view(np.int64),
-                    }
-                )
+                rows = batch.slice(at, 500)
+                found = [pieces_of(text.encode().split(), window)[0] for text in rows["text"].to_pylist()]
+                seq = np.repeat(np.asarray(rows["seq"]), [len(x) for x in found])
+                yield pyarrow.record_batch({"seq": seq, "h": np.concatenate(found).view(np.int64)})
 
-    return docs.mapInPandas(lean(run), "seq long, h long")
+    return docs.select("seq", "text").mapInArrow(lean(run), "seq long, h long")
 
 
 def _pieces(docs: DataFrame, window: int) -> DataFrame:
     """Pieces at the anchors ``hs``: ``h, k, seq, a, n_windows, wins``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(rows: pyarrow.RecordBatch) -> pyarrow.RecordBatch:
+        parts: list[tuple[np.ndarray, ...]] = []
+        wanted = rows["hs"].to_numpy(zero_copy_only=False)
+        for text, some in zip(rows["text"].to_pylist(), wanted):
+            h, first, count, whole, each = pieces_of(text.encode().split(), window)
+            keep = np.isin(h.view(np.int64), some)
+            parts.append((h[keep], whole[keep], first[keep], count[keep], each[np.repeat(keep, count)]))
+        h, whole, first, count, each = map(np.concatenate, zip(*parts))
+        seq = np.repeat(np.asarray(rows["seq"]), [len(part[0]) for part in parts])
+        edges = np.r_[0, np.cumsum(count)].astype(np.int32)
+        return pyarrow.record_batch(
+            {
+                "h": h.view(np.int64), "k": whole.astype(np.int32), "seq": seq, "a": first.astype(np.int32),
+                "n_windows": count.astype(np.int32),
+                "wins": pyarrow.ListArray.from_arrays(edges, each.astype(np.int32)),
+            }
+        )
+
+    def run(batches: Iterator[pyarrow.RecordBatch]) -> Iterator[pyarrow.RecordBatch]:
         for batch in batches:
-            out = []
-            for seq, text, wanted in zip(batch["seq"], batch["text"], batch["hs"]):
-                h, first, count, whole, each = pieces_of(text.encode().split(), window)
-                h, whole, each = h.view(np.int64), whole.astype(np.int32), each.astype(np.int32)
-                some = np.flatnonzero(np.isin(h, np.asarray(wanted, np.int64)))
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "h": h[some], "k": whole[some], "seq": seq, "a": first[some].astype(np.int32),
-                            "n_windows": count[some].astype(np.int32),
-                            "wins": [each[i : i + c] for i, c in zip(first[some], count[some])],
-                        }
-                    )
-                )
-                if len(out) == 200:
-                    yield pd.concat(out)
-                    out = []
-            if out:
-                yield pd.concat(out)
+            for at in range(0, len(batch), 500):
+                yield of(batch.slice(at, 500))
 
-    return docs.mapInPandas(lean(run), "h long, k int, seq long, a int, n_windows int, wins array<int>")
+    return docs.select("seq", "text", "hs").mapInArrow(
+        lean(run), "h long, k int, seq long, a int, n_windows int, wins array<int>"
+    )
 
 
 def _found(pieces: DataFrame, window: int) -> DataFrame:
@@ -163,15 +164,17 @@ class Automata:
         self.shards: list[tuple[dict[bytes, str], ahocorasick.Automaton]] = []
 
     def add(self, phrase: list[bytes], first: tuple[int, int]) -> None:
-        words = set(phrase)
-        if not self.shards or len(self.shards[-1][0]) + len(words) > ALPHABET:
+        if not self.shards or len(self.shards[-1][0]) + len(phrase) > ALPHABET:
             self.shards.append(({}, ahocorasick.Automaton()))
         codes, automaton = self.shards[-1]
-        for word in words:
-            if word not in codes:
-                code = len(codes) + 1
-                codes[word] = chr(code if code < 0xD800 else code + 0x800)
-        text = "".join(map(codes.__getitem__, phrase))
+        try:
+            text = "".join([codes[word] for word in phrase])
+        except KeyError:
+            for word in phrase:
+                if word not in codes:
+                    code = len(codes) + 1
+                    codes[word] = chr(code if code < 0xD800 else code + 0x800)
+            text = "".join([codes[word] for word in phrase])
         known = automaton.get(text, None)
         if known is None or first < known[1]:
             automaton.add_word(text, (len(phrase), first))
@@ -208,29 +211,45 @@ def _shards(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield shard
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = (
-            (doc_id, seq, text.encode().split(), found)
-            for batch in batches
-            for doc_id, seq, text, found in zip(batch["doc_id"], batch["seq"], batch["text"], batch["found"])
-        )
-        for shard in _shards(rows):
+PLACES = ("a", "len", "first_seq", "first_a")
+
+
+def _marked(docs: DataFrame, with_text: bool) -> DataFrame:
+    """Documents with the places ``found`` in them, through the automata of their shard."""
+
+    def read(batches: Iterator[pyarrow.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                rows = batch.slice(at, 500)
+                places = [rows[name].to_pylist() for name in PLACES]
+                yield from zip(
+                    rows["doc_id"].to_pylist(), rows["seq"].to_pylist(),
+                    (text.encode().split() for text in rows["text"].to_pylist()), zip(*places),
+                )
+
+    def run(batches: Iterator[pyarrow.RecordBatch]) -> Iterator[pyarrow.RecordBatch]:
+        for shard in _shards(read(batches)):
             automata = Automata()
-            for _, _, words, found in shard:
-                for x in found if found is not None else ():
-                    automata.add(words[x["a"] : x["a"] + x["len"]], (x["first_seq"], x["first_a"]))
+            for _, _, words, (starts, lengths, first_seqs, first_starts) in shard:
+                for a, length, first in zip(starts or (), lengths or (), zip(first_seqs or (), first_starts or ())):
+                    automata.add(words[a : a + length], first)
             automata.close()
             out = []
             for doc_id, seq, words, _ in shard:
                 gone = automata.later(words, seq)
-                kept = b" ".join([word for word, drop in zip(words, gone.tolist()) if not drop])
-                out.append((doc_id, len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
-            frame = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept_sha256", "text"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
-
-    return docs.mapInPandas(lean(run), "doc_id long, n_words long, n_removed long, kept_sha256 string, text string"
+                removed = int(gone.sum())
+                kept = b" ".join(compress(words, (~gone).tolist()) if removed else words)
+                out.append((doc_id, len(words), removed, hashlib.sha256(kept).hexdigest(), kept.decode()))
+            ids, sizes, counts, digests, texts = zip(*out)
+            columns = {
+                "doc_id": pyarrow.array(ids, pyarrow.int64()), "n_words": pyarrow.array(sizes, pyarrow.int64()),
+                "n_removed": pyarrow.array(counts, pyarrow.int64()), "kept_sha256": pyarrow.array(digests),
+            }
+            yield pyarrow.record_batch({**columns, "text": pyarrow.array(texts)} if with_text else columns)
+
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
+    return docs.select("doc_id", "seq", "text", *(F.col(f"found.{name}").alias(name) for name in PLACES)).mapInArrow(
+        lean(run), schema
     )
 
 
@@ -251,8 +270,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
     return stored(plain.join(places, same).select("doc_id", "text", "seq"))
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row: ``doc_id, n_words, n_removed, kept_sha256, text`` (the kept words, joined by one space).
+def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
+    """Per row: ``doc_id, n_words, n_removed, kept_sha256``, and ``text`` (the kept words, joined by one space).
 
     Null and empty texts have no words.  Documents shorter than a window keep all.
     Rows that repeat an id are documents in the order of a hash of their texts; rows
@@ -265,6 +284,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     wanted = anchors.join(recurring, "h").groupBy("seq").agg(F.collect_set("h").alias("hs"))
     pieces = _pieces(docs.select("seq", "text").join(wanted, "seq"), window)
     found = _found(pieces, window).groupBy("seq").agg(
-        F.collect_list(F.struct("a", "len", "first_seq", "first_a")).alias("found")
+        F.collect_list(F.struct(*PLACES)).alias("found")
     )
-    return _marked(docs.join(found, "seq", "left").select("doc_id", "seq", "text", "found"))
+    return _marked(docs.join(found, "seq", "left"), with_text)

@@ -84,7 +84,7 @@ def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.without_repeats(table(spark, sf_dir, "documents")).drop("text")
+    return passages.without_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
