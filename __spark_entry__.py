@@ -10,7 +10,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -39,8 +39,10 @@ DAY = fixture.RUN_DATE
 SILVER_PATH = "silver"
 
 
+UTC = "UTC"
+
+
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return fixture.bronze(spark, sf_dir)
 
 
@@ -48,8 +50,26 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minimise.to_silver(_bronze(spark, sf_dir), fixture.salt(spark), DAY)
 
 
-def _clean_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir).where(f"NOT ({fixture.UNIDENTIFIED})")
+def _to_silver(bronze: DataFrame) -> DataFrame:
+    return minimise.to_silver(bronze, fixture.salt(bronze.sparkSession), DAY)
+
+
+def _subcent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with amounts that have many digits."""
+    return _silver(spark, sf_dir).withColumn("amount", F.col("amount") / 3)
+
+
+def _unreal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of Bronze in which failed transactions have amounts that are no numbers or no money."""
+    kinds = F.array(*map(F.lit, ("NaN", "Infinity", "-Infinity", "1e400", "1e30")))
+    pick = F.pmod(F.crc32("transaction_id"), F.lit(5)).cast("int")
+    amount = F.when(F.col("status") == "FAILED", kinds[pick]).otherwise(F.col("amount").cast("string"))
+    return _to_silver(_bronze(spark, sf_dir).withColumn("amount", amount))
+
+
+def _drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with a column too many and one too few."""
+    return _silver(spark, sf_dir).withColumn("novelty", F.lit(1)).drop("atm_city")
 
 
 def _damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +80,12 @@ def _on_silver(work: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: work(_silver(spark, sf_dir))
 
 
-def _on_facts(work: Callable[[DataFrame], DataFrame], tz: str | None = None) -> Query:
-    return _on_silver(lambda silver: work(X.facts(silver, tz)))
+def _on_facts(work: Callable[[DataFrame], DataFrame], tz: str = UTC, source: Query | None = None) -> Query:
+    return lambda spark, sf_dir: work(X.facts((source or _silver)(spark, sf_dir), tz))
 
 
-def _gold(name: str, tz: str | None = None) -> Query:
-    return _on_facts(lambda rows: _stored_form(name, rows), tz)
+def _gold(name: str, tz: str = UTC, source: Query | None = None) -> Query:
+    return _on_facts(lambda rows: _stored_form(name, rows), tz, source)
 
 
 def _stored_form(name: str, rows: DataFrame) -> DataFrame:
@@ -76,8 +96,22 @@ def _on_gold(name: str, work: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_facts(lambda rows: work(gold.build(name, rows)))
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """A short sorted table with each row's position, so that its order can be compared."""
+    return rows.withColumn("position", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())))
+
+
 def _on_dated_gold(name: str, work: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_facts(lambda rows: work(gold.with_run_date(gold.build(name, rows), DAY)))
+    return _on_facts(lambda rows: _in_order(work(gold.with_run_date(gold.build(name, rows), DAY))))
+
+
+def _arranged(name: str) -> Query:
+    return _on_facts(lambda rows: _in_order(_stored_form(name, rows)))
+
+
+def _roughly(mcc: DataFrame) -> DataFrame:
+    """Spend to the next thousand, average to the next fifty: many codes are level."""
+    return mcc.withColumns({"total_spend": F.round("total_spend", -3), "avg_spend": F.round(F.col("avg_spend") / 50) * 50})
 
 
 def _report(silver: DataFrame, checks: tuple[rules.Rule, ...] = rules.ALL) -> DataFrame:
@@ -127,12 +161,54 @@ def silver_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_silver(spark, lake, DAY)
 
 
-def gold_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake, name = _lake(spark), "channel_adoption"
-    tables.write_gold(gold.build(name, X.facts(_silver(spark, sf_dir))), lake, name, DAY)
+def _gold_round_trip(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake = _lake(spark)
+        tables.write_gold(gold.build(name, X.facts(_silver(spark, sf_dir), UTC)), lake, name, DAY)
+        return tables.read_gold(spark, lake, name, DAY)
+
+    return run
+
+
+def silver_rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day written with rows, then again with none."""
+    lake = _lake(spark)
+    for rows in (_silver(spark, sf_dir), _silver(spark, sf_dir).where("transaction_id IS NULL")):
+        tables.write_silver(rows, lake, DAY)
+    return tables.read_silver(spark, lake, DAY)
+
+
+def gold_rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, name = _lake(spark), "provincial_flow"
+    for scope in ("true", "transaction_type IS NULL"):
+        rows = X.facts(_silver(spark, sf_dir), UTC).where(scope)
+        tables.write_gold(gold.build(name, rows), lake, name, DAY)
     return tables.read_gold(spark, lake, name, DAY)
 
 
+def empty_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a day whose delivery, after one with rows, has none."""
+    lake = _lake(spark)
+    for rows in (_bronze(spark, sf_dir), _bronze(spark, sf_dir).where("transaction_id IS NULL")):
+        rows.write.mode("overwrite").option("ignoreNullFields", "false").json(lake.bronze_day(DAY))
+        daily.load_silver(spark, lake, fixture.salt(spark), DAY)
+    return validation.results(daily.validate_silver(spark, lake, DAY))
+
+
+def bronze_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered lines of which some are broken, quote their amounts or have unknown fields."""
+    lake = _lake(spark)
+    rows = _bronze(spark, sf_dir)
+    kind = F.round(F.col("amount") * 100).cast("bigint") % 4
+    quoted = F.to_json(F.struct(*(F.col(c).cast("string").alias(c) if c == "amount" else F.col(c) for c in rows.columns)))
+    unknown = F.to_json(F.struct("*", F.lit(1).alias("unknown_field")))
+    line = F.when(kind == 0, quoted).when(kind == 1, unknown).when(kind == 2, "{broken").otherwise(F.to_json(F.struct("*")))
+    rows.select(line.alias("value")).write.text(lake.bronze_day(DAY))
+    return minimise.normalise_amounts(tables.read_bronze(spark, lake, DAY)).select(
+        "transaction_id", "status", "amount", "running_balance", "reversal_flag"
+    )
+
+
 def _counts(spark: SparkSession, written: dict[str, int]) -> DataFrame:
     return spark.createDataFrame(list(written.items()), "table_name string, rows_written bigint")
 
@@ -140,7 +216,7 @@ def _counts(spark: SparkSession, written: dict[str, int]) -> DataFrame:
 def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _lake(spark)
     tables.write_silver(_silver(spark, sf_dir), lake, DAY)
-    return _counts(spark, daily.load_gold(spark, lake, DAY))
+    return _counts(spark, daily.load_gold(spark, lake, DAY, UTC))
 
 
 def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,8 +227,8 @@ def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_day(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, int]]:
     lake = _lake(spark)
-    _store_bronze(_clean_bronze(spark, sf_dir), lake)
-    return lake, daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    _store_bronze(fixture.identified_bronze(spark, sf_dir), lake)
+    return lake, daily.run_day(spark, lake, fixture.salt(spark), DAY, UTC)
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +249,7 @@ def _select(*columns, source: Query = _silver) -> Query:
     return lambda spark, sf_dir: source(spark, sf_dir).select("transaction_id", *(c() for c in columns))
 
 
-def _hour(tz: str | None = None):
+def _hour(tz: str):
     return lambda: banding.hour_of_day(F.col("transaction_datetime"), tz).alias("hour_of_day")
 
 
@@ -194,8 +270,8 @@ def _conditional_counts(rows: DataFrame) -> DataFrame:
 
 def _conditional_sums(rows: DataFrame) -> DataFrame:
     return rows.groupBy("channel").agg(
-        money.from_cents(X.cents_where(F.col("transaction_type") == "DEBIT")).alias("debited"),
-        money.from_cents(X.cents_where(F.col("transaction_type") == "CREDIT")).alias("credited"),
+        money.rounded(X.amount_where(F.col("transaction_type") == "DEBIT")).alias("debited"),
+        money.rounded(X.amount_where(F.col("transaction_type") == "CREDIT")).alias("credited"),
     )
 
 
@@ -222,8 +298,7 @@ def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_verdict_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = minimise.to_silver(_clean_bronze(spark, sf_dir), fixture.salt(spark), DAY)
-    return validation.verdict(_report(silver))
+    return validation.verdict(_report(_to_silver(fixture.identified_bronze(spark, sf_dir))))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -244,7 +319,11 @@ def queries() -> dict[str, Query]:
         "bronze_round_trip": bronze_round_trip,
         "amounts_from_text": amounts_from_text,
         "silver_round_trip": silver_round_trip,
-        "gold_round_trip": gold_round_trip,
+        "bronze_raw_lines": bronze_raw_lines,
+        "silver_rerun_empty": silver_rerun_empty,
+        "gold_round_trip": _gold_round_trip("channel_adoption"),
+        **{f"stored_{name}": _gold_round_trip(name) for name in gold.TABLES if name != "channel_adoption"},
+        "gold_rerun_empty": gold_rerun_empty,
         "gold_row_counts": gold_row_counts,
         "report_round_trip": report_round_trip,
         # Bronze to Silver
@@ -254,7 +333,7 @@ def queries() -> dict[str, Query]:
         "silver": _silver,
         "settled_transactions": _on_silver(gold.settled),
         "age_bands": _select(lambda: banding.age_band(F.col("age")).alias("age_band")),
-        "hours_utc": _select(_hour()),
+        "hours_utc": _select(_hour(UTC)),
         "hours_sast": _select(_hour(V.SAST)),
         # validation
         "check_results": _on_checks(lambda checks: checks),
@@ -264,6 +343,10 @@ def queries() -> dict[str, Query]:
         "damaged_format_checks": _damaged_category(rules.FORMAT),
         "damaged_business_rules_checks": _damaged_category(rules.BUSINESS_RULES),
         "damaged_conditional_nullability_checks": _damaged_category(rules.CONDITIONAL_NULLABILITY),
+        "drifted_check_results": _on_checks(lambda checks: checks, _drifted),
+        "unreal_amounts": lambda spark, sf_dir: _unreal(spark, sf_dir).select("transaction_id", "amount"),
+        "unreal_check_results": _on_checks(lambda checks: checks, _unreal),
+        "empty_day_report": empty_day_report,
         "check_summary": _on_checks(validation.summary, _damaged),
         "report_header": report_header,
         "gate_verdict": gate_verdict,
@@ -271,6 +354,9 @@ def queries() -> dict[str, Query]:
         # Silver to Gold
         **{name: _gold(name) for name in gold.TABLES},
         "time_of_day_sast": _gold("time_of_day", V.SAST),
+        **{f"subcent_{name}": _gold(name, source=_subcent) for name in ("spend_by_age_band", "client_financial_activity", "mcc_spend")},
+        "unreal_reversal_rates": _gold("reversal_rates", source=_unreal),
+        **{f"arranged_{name}": _arranged(name) for name in gold.TABLES if name != "client_financial_activity"},
         "conditional_counts": _on_facts(_conditional_counts),
         "conditional_sums": _on_facts(_conditional_sums),
         "distinct_accounts": _on_silver(_distinct_accounts),
@@ -293,6 +379,8 @@ def queries() -> dict[str, Query]:
         "provinces_by_amount": _on_dated_gold("provincial_flow", insights.provinces_by_amount),
         "top_merchant_categories_by_total": _on_dated_gold("mcc_spend", insights.top_by_total_spend),
         "top_merchant_categories_by_average": _on_dated_gold("mcc_spend", insights.top_by_average_spend),
+        "level_merchant_categories_by_total": _on_dated_gold("mcc_spend", lambda mcc: insights.top_by_total_spend(_roughly(mcc))),
+        "level_merchant_categories_by_average": _on_dated_gold("mcc_spend", lambda mcc: insights.top_by_average_spend(_roughly(mcc))),
         "amount_by_band_and_currency": _on_gold("currency_by_age", insights.amount_by_band_and_currency),
         "accounts_by_currency": _on_gold("currency_by_age", insights.accounts_by_currency),
         # analyses of the report

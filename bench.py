@@ -70,7 +70,7 @@ def steps(spark: SparkSession, lake: Lakehouse) -> dict[str, Callable[[], object
     salt = fixture.salt(spark)
 
     def silver_facts() -> DataFrame:
-        return facts.facts(tables.read_silver(spark, lake, DAY))
+        return facts.facts(tables.read_silver(spark, lake, DAY), "UTC")
 
     def store(name: str) -> Callable[[], object]:
         return lambda: tables.write_gold(gold.build(name, silver_facts()), lake, name, DAY)
@@ -87,7 +87,7 @@ def steps(spark: SparkSession, lake: Lakehouse) -> dict[str, Callable[[], object
         **{name: store(name) for name in gold.TABLES},
         **{name: analyse(*analysis) for name, analysis in ANALYSES.items()},
         **{work.__name__: checks(work) for work in CHECK_ANALYSES},
-        "daily_run": lambda: daily.run_day(spark, lake, salt, DAY),
+        "daily_run": lambda: daily.run_day(spark, lake, salt, DAY, "UTC"),
     }
 
 
@@ -95,7 +95,7 @@ def main() -> None:
     spark = session()
     base = scratch_folder(spark)
     lake = Lakehouse(f"{base}/bronze", f"{base}/silver", f"{base}/gold")
-    transactions = fixture.bronze(spark, SF_DIR).where(f"NOT ({fixture.UNIDENTIFIED})").repartition(int(CPUS))
+    transactions = fixture.identified_bronze(spark, SF_DIR).repartition(int(CPUS))
     transactions.write.option("ignoreNullFields", "false").json(lake.bronze_day(DAY))
     seconds: dict[str, float] = {}
     for name, work in steps(spark, lake).items():

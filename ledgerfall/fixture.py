@@ -16,29 +16,31 @@ SALT = "salt"
 # reads twice, and mixes up its columns when scalar subqueries are involved.
 _NUMBERS = """
 SELECT event_id, user_id, value, ts,
-   (event_id*7919 + user_id*31) % 85 AS m1, (event_id*104729 + 17) % 100 AS m2, (event_id*15485863 + 3) % 100 AS m3,
-   ((event_id % 9973)*3571 + user_id) % 100 AS m4, user_id % 37 AS u FROM events
+   (event_id*7919 + user_id*31) % 89 AS m1, (event_id*104729 + 17) % 97 AS m2, (event_id*15485863 + 3) % 101 AS m3,
+   ((event_id % 9973)*3571 + user_id) % 103 AS m4, user_id % 37 AS u FROM events
 """
+# Every channel, status, and category that a channel allows is equally frequent.
 _CHANNELS = f"""
-SELECT *, CASE WHEN m1<35 THEN 'MOBILE' WHEN m1<60 THEN 'INTERNET' WHEN m1<70 THEN 'BRANCH' ELSE 'ATM' END AS channel,
-   CASE WHEN m4<70 THEN 'SETTLED' WHEN m4<85 THEN 'PENDING' WHEN m4<95 THEN 'REVERSED' ELSE 'FAILED' END AS status FROM ({_NUMBERS}) e0
+SELECT *, CASE m1 % 4 WHEN 0 THEN 'MOBILE' WHEN 1 THEN 'INTERNET' WHEN 2 THEN 'BRANCH' ELSE 'ATM' END AS channel,
+   CASE WHEN m4 % 8 < 5 THEN 'SETTLED' WHEN m4 % 8 = 5 THEN 'PENDING' WHEN m4 % 8 = 6 THEN 'REVERSED' ELSE 'FAILED' END AS status
+FROM ({_NUMBERS}) e0
 """
 _CATEGORIES = f"""
 SELECT *, CASE
-   WHEN channel='MOBILE'   THEN CASE WHEN m2<38 THEN 'POS' WHEN m2<70 THEN 'EFT' WHEN m2<90 THEN 'DebiCheck' ELSE 'RTC' END
-   WHEN channel='INTERNET' THEN CASE WHEN m2<22 THEN 'POS' WHEN m2<60 THEN 'EFT' WHEN m2<63 THEN 'SWIFT' WHEN m2<85 THEN 'DebiCheck' ELSE 'RTC' END
-   WHEN channel='BRANCH'   THEN CASE WHEN m2<15 THEN 'POS' WHEN m2<45 THEN 'EFT' WHEN m2<75 THEN 'SWIFT' WHEN m2<80 THEN 'DebiCheck' WHEN m2<85 THEN 'RTC' ELSE 'ATM' END
+   WHEN channel='MOBILE' THEN CASE m2 % 4 WHEN 0 THEN 'POS' WHEN 1 THEN 'EFT' WHEN 2 THEN 'DebiCheck' ELSE 'RTC' END
+   WHEN channel='INTERNET' THEN CASE m2 % 5 WHEN 0 THEN 'POS' WHEN 1 THEN 'EFT' WHEN 2 THEN 'SWIFT' WHEN 3 THEN 'DebiCheck' ELSE 'RTC' END
+   WHEN channel='BRANCH' THEN CASE m2 % 6 WHEN 0 THEN 'POS' WHEN 1 THEN 'EFT' WHEN 2 THEN 'SWIFT' WHEN 3 THEN 'DebiCheck' WHEN 4 THEN 'RTC' ELSE 'ATM' END
    ELSE 'ATM' END AS transaction_category, (status='REVERSED' OR (status='SETTLED' AND m3 % 10 = 0)) AS reversal_flag FROM ({_CHANNELS}) e1
 """
 _TYPES = f"""
-SELECT *, CASE WHEN transaction_category='ATM' OR m3<70 THEN 'DEBIT' ELSE 'CREDIT' END AS transaction_type,
+SELECT *, CASE WHEN transaction_category='ATM' OR m3 % 3 > 0 THEN 'DEBIT' ELSE 'CREDIT' END AS transaction_type,
    CAST(year(ts)*10000+month(ts)*100+day(ts) AS STRING) AS ymd FROM ({_CATEGORIES}) e2
 """
 BRONZE_SQL = f"""
 SELECT concat('TXN-', ymd, '-', lpad(hex(event_id),12,'0')) AS transaction_id,
   concat(CAST(date_trunc('second', ts) AS STRING), '+02:00') AS transaction_datetime,
   transaction_type, transaction_category, channel, status, value AS amount,
-  CASE WHEN transaction_category<>'SWIFT' THEN 'ZAR' WHEN event_id%20<6 THEN 'USD' WHEN event_id%20<12 THEN 'EUR' WHEN event_id%20<16 THEN 'GBP' WHEN event_id%20=16 THEN 'CHF' WHEN event_id%20=17 THEN 'JPY' WHEN event_id%20=18 THEN 'AUD' ELSE 'ZAR' END AS currency,
+  CASE WHEN transaction_category<>'SWIFT' THEN 'ZAR' WHEN event_id % 7 = 1 THEN 'USD' WHEN event_id % 7 = 2 THEN 'EUR' WHEN event_id % 7 = 3 THEN 'GBP' WHEN event_id % 7 = 4 THEN 'CHF' WHEN event_id % 7 = 5 THEN 'JPY' WHEN event_id % 7 = 6 THEN 'AUD' ELSE 'ZAR' END AS currency,
   CASE WHEN transaction_type='DEBIT' THEN 5000-value ELSE 5000+value END AS running_balance, reversal_flag,
   CASE WHEN reversal_flag THEN concat('TXN-', ymd, '-', lpad(hex(event_id+1),12,'0')) END AS reversal_reference,
   CAST(1000000000+user_id AS STRING) AS account_number,
@@ -57,19 +59,30 @@ SELECT concat('TXN-', ymd, '-', lpad(hex(event_id),12,'0')) AS transaction_id,
   CASE WHEN transaction_category='POS' THEN concat('Town ', CAST(event_id%6 AS STRING)) END AS merchant_city,
   CASE WHEN transaction_category='ATM' THEN concat('ATM-GP-', lpad(CAST(event_id%9999 AS STRING),5,'0')) END AS atm_terminal_id,
   CASE WHEN transaction_category='ATM' THEN concat('City ', CAST(event_id%11 AS STRING)) END AS atm_city,
-  CASE WHEN transaction_category='POS' THEN concat('MCC ', CAST(5411+(event_id%14)*7 AS STRING)) END AS merchant_category_code,
+  CASE WHEN transaction_category='POS' THEN concat('MCC ', CAST(5411+(event_id%41)*7 AS STRING)) END AS merchant_category_code,
   CASE WHEN transaction_category='ATM' THEN CASE WHEN event_id%9<4 THEN 'Gauteng' WHEN event_id%9<6 THEN 'Western Cape' ELSE 'KwaZulu-Natal' END END AS atm_province
 FROM ({_TYPES}) e3
 """
 
-# Holders whose ID number is absent, short or has month 13: no age, no gender.
-UNIDENTIFIED = "(CAST(account_number AS BIGINT) - 1000000000) % 37 IN (5, 6, 7)"
+# Some holders' ID numbers are absent, short or have month 13: no age, no gender.
+# The same rows with every holder's number in order pass all checks.
+_UNIDENTIFIED = "WHEN u=5 THEN NULL WHEN u=6 THEN '12345' WHEN u=7 THEN '8013015009087' ELSE"
+IDENTIFIED_SQL = BRONZE_SQL.replace(_UNIDENTIFIED, "WHEN true THEN")
+
+
+def _of_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.sql(sql.replace("FROM events", "FROM {events}"), events=events)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ``events`` table as Bronze rows."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.sql(BRONZE_SQL.replace("FROM events", "FROM {events}"), events=events)
+    return _of_events(spark, sf_dir, BRONZE_SQL)
+
+
+def identified_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``events`` table as Bronze rows of holders with valid ID numbers."""
+    return _of_events(spark, sf_dir, IDENTIFIED_SQL)
 
 
 def salt(spark: SparkSession) -> DataFrame:

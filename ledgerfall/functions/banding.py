@@ -27,4 +27,7 @@ def hour_of_day(moment: Column, tz: str | None = None) -> Column:
     instant = moment.try_cast("timestamp")
     if tz is None:
         return F.hour(instant)
-    return F.hour(F.convert_timezone(None, F.lit(tz), instant.cast("timestamp_ntz")))
+    # From the instant itself: the session's wall clock is ambiguous when summer time ends.
+    since = F.make_dt_interval(secs=F.unix_seconds(instant).cast("decimal(18,6)"))
+    utc = F.lit("1970-01-01").cast("timestamp_ntz") + since
+    return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(tz), utc))

@@ -8,21 +8,21 @@ from pyspark.sql import functions as F
 from ledgerfall import vocabulary as V
 
 
+def salt_from_secret(secret: Column) -> Column:
+    """Salt from a stored secret: the password of a JSON object, else the text."""
+    return F.coalesce(F.get_json_object(secret, "$.password"), secret)
+
+
 def salt_value(salt: DataFrame) -> Column:
-    """The one value of a one-row, one-column frame, as a scalar subquery.
+    """The salt in a one-row, one-column frame that holds the stored secret, as a scalar subquery.
 
     Spark evaluates it once per query and hands the value to the tasks: no join
     and no literal, so the salt does not show up in plans or in the event log as
     long as the frame itself does not hold it as a literal.  Two rows are an error in
-    Spark; an empty or null salt is one here.
+    Spark; an empty or null secret is one here.
     """
     missing = F.raise_error(F.lit("the salt frame must hold one non-null value"))
-    return F.coalesce(salt.scalar(), missing)
-
-
-def salt_from_secret(secret: Column) -> Column:
-    """Salt from a stored secret: the password of a JSON object, else the text."""
-    return F.coalesce(F.get_json_object(secret, "$.password"), secret)
+    return F.coalesce(salt_from_secret(salt.scalar()), missing)
 
 
 def pseudonym(value: Column, salt: Column) -> Column:

@@ -1,17 +1,42 @@
-"""Exact money arithmetic on whole cents.
+"""Exact money arithmetic.
 
 Adding doubles gives a total that depends on the order of the rows, hence on
-the partitioning.  Amounts are therefore added as bigint cents, which is exact,
-stays inside whole-stage codegen, and raises on overflow (92 quadrillion per
-group) instead of going wrong.  Results go back to double at the end.
+the partitioning.  Amounts are therefore added as decimals with six digits after
+the point, and a result is rounded to cents, half up, once.  An amount's digits
+beyond the sixth are rounded off; a total beyond 28 digits before the point raises.
+Results go back to double at the end.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+EXACT = "decimal(24,6)"
+#: Amounts of this size and above do not fit and are no amounts.
+LIMIT = 1e18
+
+
+def finite(amount: Column) -> Column:
+    """The double amount, or null if it is not a number, infinite or too large."""
+    return F.when(F.abs(amount) < LIMIT, amount)
+
+
+def exact(amount: Column) -> Column:
+    """Decimal of a double amount, null for null and for what is not finite."""
+    return finite(amount).cast(EXACT)
+
+
+def rounded(value: Column) -> Column:
+    """Double of an exact value, rounded half up to cents."""
+    return F.round(value, 2).cast("double")
+
+
+def mean(total: Column, count: Column) -> Column:
+    """Double of total / count, rounded half up to cents from the exact quotient; null without rows."""
+    return divide_half_up(total, count * F.lit("0.01").cast("decimal(3,2)")) / 100
+
 
 def cents(amount: Column) -> Column:
-    """Whole cents of a double amount, null for null."""
+    """Whole cents of a double amount that has no further digits, null for null."""
     return F.rint(amount * 100).cast("bigint")
 
 

@@ -1,4 +1,4 @@
-"""What Gold tables are computed from: Silver with cents, age band and hour."""
+"""What Gold tables are computed from: Silver with exact amounts, age band and hour."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +24,8 @@ def facts(silver: DataFrame, tz: str | None = None) -> DataFrame:
         "reversal_flag",
         banding.age_band(F.col("age")).alias("age_band"),
         banding.hour_of_day(F.col("transaction_datetime"), tz).alias("hour_of_day"),
-        money.cents(F.col("amount")).alias("cents"),
-        money.cents(F.col("running_balance")).alias("balance_cents"),
+        money.exact(F.col("amount")).alias("amount"),
+        money.exact(F.col("running_balance")).alias("balance"),
     )
 
 
@@ -41,22 +41,22 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def cents_where(condition: Column) -> Column:
-    """Cents of the rows a condition holds for; zero for the others."""
-    return F.sum(F.when(condition, F.col("cents")).otherwise(0))
+def amount_where(condition: Column) -> Column:
+    """Exact amount of the rows a condition holds for; zero for the others."""
+    return F.sum(F.when(condition, F.col("amount")).otherwise(F.lit(0).cast(money.EXACT)))
 
 
 def total() -> Column:
-    return money.from_cents(F.sum("cents"))
+    return money.rounded(F.sum("amount"))
 
 
 def mean() -> Column:
     """Average over the rows that have an amount."""
-    return money.from_cents(money.divide_half_up(F.sum("cents"), F.count("cents")))
+    return money.mean(F.sum("amount"), F.count("amount"))
 
 
 def peak() -> Column:
-    return money.from_cents(F.max("cents"))
+    return money.rounded(F.max("amount"))
 
 
 def accounts() -> Column:

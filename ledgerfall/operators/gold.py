@@ -71,23 +71,23 @@ def client_financial_activity(rows: DataFrame) -> DataFrame:
             X.count_where(is_debit).alias("debits"),
             X.count_where(is_credit).alias("credits"),
             X.count_where(F.col("reversal_flag")).alias("reversals"),
-            X.cents_where(is_debit).alias("debit_cents"),
-            X.cents_where(is_credit).alias("credit_cents"),
-            F.sum("cents").alias("cents"),
-            F.count("cents").alias("priced"),
-            F.max("balance_cents").alias("balance_cents"),
+            X.amount_where(is_debit).alias("debited"),
+            X.amount_where(is_credit).alias("credited"),
+            F.sum("amount").alias("amount"),
+            F.count("amount").alias("priced"),
+            F.max("balance").alias("balance"),
         )
     )
-    debited, credited = F.sum("debit_cents"), F.sum("credit_cents")
+    debited, credited = F.sum("debited"), F.sum("credited")
     return by_use.groupBy("account_number").agg(
         F.sum("entries").alias("total_transactions"),
         F.sum("debits").alias("debit_count"),
         F.sum("credits").alias("credit_count"),
-        money.from_cents(debited).alias("total_debited"),
-        money.from_cents(credited).alias("total_credited"),
-        money.from_cents(credited - debited).alias("net_movement"),
-        money.from_cents(money.divide_half_up(F.sum("cents"), F.sum("priced"))).alias("avg_transaction_amount"),
-        money.from_cents(F.max("balance_cents")).alias("closing_balance"),
+        money.rounded(debited).alias("total_debited"),
+        money.rounded(credited).alias("total_credited"),
+        money.rounded(credited - debited).alias("net_movement"),
+        money.mean(F.sum("amount"), F.sum("priced")).alias("avg_transaction_amount"),
+        money.rounded(F.max("balance")).alias("closing_balance"),
         F.sum("reversals").alias("reversal_count"),
         F.count_distinct("transaction_category").alias("distinct_categories_used"),
         F.count_distinct("channel").alias("distinct_channels_used"),

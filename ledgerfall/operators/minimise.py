@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfall import vocabulary as V
-from ledgerfall.functions import identity
+from ledgerfall.functions import identity, money
 from ledgerfall.schemas import SILVER_COLUMNS
 
 
@@ -41,9 +41,9 @@ def derive_holder(df: DataFrame, run_date: date, id_column: str = "id_number") -
 
 
 def normalise_amounts(df: DataFrame) -> DataFrame:
-    """Amount and balance as double, null where the text is not a number."""
+    """Amount and balance as double, null where the text is no finite number that fits money."""
     return df.withColumns(
-        {c: F.col(c).try_cast("double") for c in ("amount", "running_balance") if c in df.columns}
+        {c: money.finite(F.col(c).try_cast("double")) for c in ("amount", "running_balance") if c in df.columns}
     )
 
 

@@ -60,6 +60,9 @@ BUSINESS_RULES = "Business Rules"
 CONDITIONAL_NULLABILITY = "Conditional Nullability"
 CATEGORIES = (COMPLETENESS, ALLOWED_VALUES, FORMAT, BUSINESS_RULES, CONDITIONAL_NULLABILITY)
 
+# --- Fixed values: names of checks and what follows the number of violations, as
+# stored reports have them; they stand in the rules below.
+
 
 def _any_of(values: tuple[str, ...]) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"

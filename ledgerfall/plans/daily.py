@@ -23,7 +23,7 @@ def validate_silver(spark: SparkSession, lake: Lakehouse, run_date: date) -> Dat
 
     What decides afterwards is the stored row, so the checks run once.
     """
-    silver = tables.read_silver(spark, lake, run_date)
+    silver = tables.read_silver(spark, lake, run_date, all_columns=True)
     tables.write_report(validation.report(silver, run_date, lake.silver_day(run_date)), lake, run_date)
     return tables.read_report(spark, lake, run_date)
 
@@ -57,7 +57,8 @@ def run_day(
     """Bronze to Silver, validation, and, if all checks pass, Gold.
 
     Raises ``ValidationFailed`` after the report is stored; Gold is then left as
-    it was.  Running a day again replaces it.
+    it was.  Running a day again replaces it, also by no rows: then the report says so
+    and nothing is built.
     """
     load_silver(spark, lake, salt, run_date)
     validation.enforce(validate_silver(spark, lake, run_date))

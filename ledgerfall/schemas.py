@@ -1,5 +1,7 @@
 """Column layouts of the three layers and of the validation report, as DDL."""
 
+# --- Fixed values: column layouts
+
 # Amounts are text in Bronze: writers emit them as JSON numbers or as quoted
 # decimals, and text takes both.  Silver holds them as double.
 BRONZE = """
@@ -38,7 +40,6 @@ SILVER_COLUMNS = (
     "atm_province",
     "atm_city",
 )
-SILVER_PARTITIONS = ("year", "month", "day")
 
 # run_date is the partition column of every Gold table: it is in the path only.
 GOLD = {

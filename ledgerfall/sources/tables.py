@@ -1,26 +1,21 @@
 """Reading and writing the layers.
 
-A day is read by its own folder, so that only that folder is listed: finding the
-day in the table's root would list every day there is.  Writes replace the day
-they are for and leave the others alone, so a job that is run again after a
-failure does not leave rows twice.
+A day is read and written by its own folder, so that only that folder is listed:
+finding the day in the table's root would list every day there is.  Writing replaces
+what the folder holds, also with no rows, and leaves other days alone: a job that is
+run again leaves neither rows twice nor rows of the run before.
 """
 
 from datetime import date
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfall.operators.gold import arrange, with_run_date
-from ledgerfall.schemas import BRONZE, GOLD, REPORT, SILVER_PARTITIONS
+from ledgerfall.schemas import BRONZE, GOLD, REPORT
 from ledgerfall.sources.layout import Lakehouse
 
 
-def _replacing_partitions(df: DataFrame, mode: str, *partitions: str) -> DataFrameWriter:
-    writer = df.write.mode(mode).partitionBy(*partitions)
-    return writer.option("partitionOverwriteMode", "dynamic")
-
-
 def read_bronze(spark: SparkSession, lake: Lakehouse, run_date: date) -> DataFrame:
     """One day of raw newline-delimited JSON.
 
@@ -33,18 +28,17 @@ def read_bronze(spark: SparkSession, lake: Lakehouse, run_date: date) -> DataFra
 
 def write_silver(silver: DataFrame, lake: Lakehouse, run_date: date, mode: str = "overwrite") -> None:
     """One day of Silver.  ``mode="append"`` adds to the day instead of replacing it."""
-    parts = dict(zip(SILVER_PARTITIONS, (f"{run_date:%Y}", f"{run_date:%m}", f"{run_date:%d}")))
-    stamped = silver.withColumns({name: F.lit(value) for name, value in parts.items()})
-    _replacing_partitions(stamped, mode, *parts).parquet(lake.silver_table)
+    silver.write.mode(mode).parquet(lake.silver_day(run_date))
 
 
-def read_silver(spark: SparkSession, lake: Lakehouse, run_date: date) -> DataFrame:
+def read_silver(spark: SparkSession, lake: Lakehouse, run_date: date, all_columns: bool = False) -> DataFrame:
     """One day of Silver, without partition columns.
 
-    The columns are those of the files, not the expected ones: whether they agree
-    is one of the checks.
+    The columns are those of one of the files, or, with ``all_columns``, those that
+    any file has: an added file with a further column is only seen so, and every
+    file's footer is read for it.
     """
-    return spark.read.parquet(lake.silver_day(run_date))
+    return spark.read.option("mergeSchema", str(all_columns).lower()).parquet(lake.silver_day(run_date))
 
 
 def write_gold(table: DataFrame, lake: Lakehouse, name: str, run_date: date) -> int:
@@ -54,7 +48,7 @@ def write_gold(table: DataFrame, lake: Lakehouse, name: str, run_date: date) ->
     """
     written = Observation(name)
     counted = arrange(name, table).observe(written, F.count(F.lit(1)).alias("rows"))
-    _replacing_partitions(with_run_date(counted, run_date), "overwrite", "run_date").parquet(lake.gold_table(name))
+    counted.write.mode("overwrite").parquet(lake.gold_day(name, run_date))
     return written.get["rows"]
 
 

@@ -4,7 +4,7 @@ Written for DuckDB on the same parquet tables.  Nothing here uses the package bu
 the text that derives transactions from ``events``, which both engines share.
 """
 
-from ledgerfall.fixture import BRONZE_SQL, DAMAGED_SQL, UNIDENTIFIED
+from ledgerfall.fixture import BRONZE_SQL, DAMAGED_SQL, IDENTIFIED_SQL
 
 RUN_DATE = "2026-03-30"
 SILVER_PATH = "silver"
@@ -31,23 +31,32 @@ HOUR_UTC = "CAST(hour(CAST(substr(transaction_datetime,1,19) AS TIMESTAMP) - INT
 HOUR_SAST = "CAST(hour(CAST(substr(transaction_datetime,1,19) AS TIMESTAMP)) AS INTEGER)"
 
 PRICED = f"""
-SELECT *, CAST(round(amount*100) AS BIGINT) AS c, CAST(round(running_balance*100) AS BIGINT) AS b,
+SELECT *, CAST(amount AS DECIMAL(24,6)) AS c, CAST(running_balance AS DECIMAL(24,6)) AS b,
   {AGE_BAND} AS age_band, {HOUR_UTC} AS hour_of_day
 FROM silver
 """
 
 N = "count(*)"
-SUM = "CAST(sum(c) AS BIGINT)/100.0"
-AVG = "((2*CAST(sum(c) AS BIGINT)+count(c))//(2*count(c)))/100.0"
-MAX = "max(c)/100.0"
+SUM = "CAST(round(sum(c), 2) AS DOUBLE)"
+# Amounts are not negative; 20000 halves of a cent's ten thousandth make a cent.
+AVG = "((2*CAST(sum(c)*1000000 AS HUGEINT)+10000*count(c))//(20000*count(c)))/100.0"
+MAX = "CAST(round(max(c), 2) AS DOUBLE)"
 ACCOUNTS = "count(DISTINCT account_number)"
 SETTLED = "status = 'SETTLED'"
 
 
-def _part(condition: str, measure: str = "c") -> str:
+def _part(condition: str, measure: str = "1") -> str:
     return f"CAST(sum(CASE WHEN {condition} THEN {measure} ELSE 0 END) AS BIGINT)"
 
 
+def _exact(condition: str) -> str:
+    return f"sum(CASE WHEN {condition} THEN c ELSE 0 END)"
+
+
+def _amount(exact: str) -> str:
+    return f"CAST(round({exact}, 2) AS DOUBLE)"
+
+
 GOLD = {
     "spend_by_age_band": f"""
 SELECT age_band, transaction_category, {N} AS transaction_count, {SUM} AS total_spend, {AVG} AS avg_spend, {MAX} AS max_spend
@@ -55,9 +64,9 @@ FROM priced WHERE {SETTLED} AND transaction_type = 'DEBIT' GROUP BY ALL""",
     "client_financial_activity": f"""
 SELECT account_number, {N} AS total_transactions,
   {_part("transaction_type='DEBIT'", "1")} AS debit_count, {_part("transaction_type='CREDIT'", "1")} AS credit_count,
-  {_part("transaction_type='DEBIT'")}/100.0 AS total_debited, {_part("transaction_type='CREDIT'")}/100.0 AS total_credited,
-  ({_part("transaction_type='CREDIT'")} - {_part("transaction_type='DEBIT'")})/100.0 AS net_movement,
-  {AVG} AS avg_transaction_amount, max(b)/100.0 AS closing_balance, {_part("reversal_flag", "1")} AS reversal_count,
+  {_amount(_exact("transaction_type='DEBIT'"))} AS total_debited, {_amount(_exact("transaction_type='CREDIT'"))} AS total_credited,
+  {_amount(_exact("transaction_type='CREDIT'") + " - " + _exact("transaction_type='DEBIT'"))} AS net_movement,
+  {AVG} AS avg_transaction_amount, {_amount("max(b)")} AS closing_balance, {_part("reversal_flag", "1")} AS reversal_count,
   count(DISTINCT transaction_category) AS distinct_categories_used, count(DISTINCT channel) AS distinct_channels_used
 FROM priced WHERE {SETTLED} GROUP BY account_number""",
     "channel_adoption": f"""
@@ -88,15 +97,18 @@ SELECT merchant_category_code, {N} AS transaction_count, {SUM} AS total_spend, {
 FROM priced WHERE {SETTLED} AND merchant_category_code IS NOT NULL GROUP BY merchant_category_code""",
 }
 
+# --- Fixed values: required columns, categories, statuses and currencies, and the checks' names
+REQUIRED = (
+    "transaction_id", "transaction_datetime", "transaction_type", "transaction_category", "channel", "status", "amount",
+    "currency", "running_balance", "reversal_flag", "account_number", "age", "gender",
+)
+CATEGORIES = ("ATM", "POS", "EFT", "SWIFT", "DebiCheck", "RTC")
+STATUSES = ("SETTLED", "PENDING", "REVERSED", "FAILED")
+CURRENCIES = ("ZAR", "USD", "EUR", "GBP", "CHF", "JPY", "AUD")
+
 # (category, check, violation, what follows the number)
 CHECKS = [
-    *(
-        ("Completeness", f"{c} is never null", f"{c} IS NULL", "null rows")
-        for c in (
-            "transaction_id transaction_datetime transaction_type transaction_category channel status amount "
-            "currency running_balance reversal_flag account_number age gender"
-        ).split()
-    ),
+    *(("Completeness", f"{c} is never null", f"{c} IS NULL", "null rows") for c in REQUIRED),
     *(
         ("Allowed Values", f"{c} within allowed set", f"NOT ({c} IN ({values}))", "unexpected values")
         for c, values in (
@@ -179,30 +191,36 @@ def _with(select: str, *needed: str) -> str:
     """A query with the common tables it needs."""
     common = {
         "bronze": BRONZE_SQL,
-        "clean_bronze": f"SELECT * FROM bronze WHERE NOT ({UNIDENTIFIED})",
+        "clean_bronze": IDENTIFIED_SQL,
         "silver": SILVER,
         "clean_silver": SILVER.replace("FROM bronze", "FROM clean_bronze"),
         "damaged": DAMAGED_SQL,
+        "empty": "SELECT * FROM silver WHERE false",
+        "subcent": "SELECT * REPLACE (amount/3 AS amount) FROM silver",
+        "unreal": "SELECT * REPLACE (CASE WHEN status <> 'FAILED' THEN amount END AS amount) FROM silver",
+        **{f"{kind}_priced": PRICED.replace("FROM silver", f"FROM {kind}") for kind in ("subcent", "unreal")},
         "priced": PRICED,
         "clean_priced": PRICED.replace("FROM silver", "FROM clean_silver"),
         **GOLD,
         **{f"clean_{name}": sql.replace("FROM priced", "FROM clean_priced") for name, sql in GOLD.items()},
         "checks": _checks("silver"),
+        **{f"{kind}_{name}": sql.replace("FROM priced", f"FROM {kind}_priced") for kind in ("subcent", "unreal") for name, sql in GOLD.items()},
         "damaged_checks": _checks("damaged"),
+        "unreal_checks": _checks("unreal"),
+        "empty_checks": _checks("empty"),
         "clean_checks": _checks("clean_silver"),
     }
     order = list(common)
     return "WITH " + ",\n".join(f"{n} AS ({common[n]})" for n in sorted(needed, key=order.index)) + "\n" + select
 
 
-def _cross(table: str, row: str, column: str, values: str, measure: str, how: str = "sum", kind: str = "DOUBLE") -> str:
+def _cross(table: str, row: str, column: str, values: tuple[str, ...], measure: str, how: str = "sum", kind: str = "DOUBLE") -> str:
     cells = ", ".join(
-        f"CAST(coalesce({how}(CASE WHEN {column} = '{v}' THEN {measure} END), 0) AS {kind}) AS \"{v}\"" for v in values.split()
+        f"CAST(coalesce({how}(CASE WHEN {column} = '{v}' THEN {measure} END), 0) AS {kind}) AS \"{v}\"" for v in values
     )
     return f"SELECT {row}, {cells} FROM {table} GROUP BY {row}"
 
 
-CATEGORIES = "ATM POS EFT SWIFT DebiCheck RTC"
 BANDS = "(SELECT unnest(['18-24','25-34','35-44','45-54','55-64','65+']) AS age_band)"
 HOURS = "(SELECT CAST(unnest(range(24)) AS INTEGER) AS hour_of_day)"
 BASE = ("bronze", "silver")
@@ -213,6 +231,26 @@ def _gold_query(name: str) -> str:
     return _with(f"SELECT *, '{RUN_DATE}' AS run_date FROM {name}", *FACTS, name)
 
 
+def _kind_of_gold(kind: str, name: str) -> str:
+    return _with(f"SELECT *, '{RUN_DATE}' AS run_date FROM {kind}_{name}", *BASE, kind, f"{kind}_priced", f"{kind}_{name}")
+
+
+# What each table but the client table is stored in order of.
+ORDER = {
+    "spend_by_age_band": "age_band, transaction_category",
+    "channel_adoption": "channel, transaction_category",
+    "provincial_flow": "atm_province, transaction_type",
+    "reversal_rates": "transaction_category, status",
+    "time_of_day": "hour_of_day, transaction_category",
+    "currency_by_age": "age_band, currency",
+    "mcc_spend": "total_spend DESC, merchant_category_code",
+}
+
+
+def _numbered(select: str, order: str, limit: str = "") -> str:
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position FROM ({select}) ORDER BY {order} {limit}"
+
+
 def _on(name: str, select: str) -> str:
     return _with(select, *FACTS, name)
 
@@ -270,6 +308,13 @@ ORACLE: dict[str, str] = {
         "SELECT transaction_id, CASE WHEN status <> 'FAILED' THEN amount END AS amount, running_balance FROM bronze", "bronze"),
     "silver_round_trip": _with("SELECT * FROM silver", *BASE),
     "gold_round_trip": _gold_query("channel_adoption"),
+    **{f"stored_{name}": _gold_query(name) for name in GOLD if name != "channel_adoption"},
+    "silver_rerun_empty": _with("SELECT * FROM empty", *BASE, "empty"),
+    "gold_rerun_empty": _with(f"SELECT *, '{RUN_DATE}' AS run_date FROM provincial_flow WHERE false", *FACTS, "provincial_flow"),
+    "bronze_raw_lines": _with(
+        "SELECT CASE WHEN k <> 2 THEN transaction_id END AS transaction_id, CASE WHEN k <> 2 THEN status END AS status, "
+        "CASE WHEN k <> 2 THEN amount END AS amount, CASE WHEN k <> 2 THEN running_balance END AS running_balance, "
+        "CASE WHEN k <> 2 THEN reversal_flag END AS reversal_flag FROM (SELECT *, CAST(round(amount*100) AS BIGINT) % 4 AS k FROM bronze)", "bronze"),
     "gold_row_counts": _with(ROW_COUNTS.format(""), *FACTS, *GOLD),
     "report_round_trip": _with("SELECT * FROM damaged_checks", *BASE, "damaged", "damaged_checks"),
     # Bronze to Silver
@@ -296,6 +341,14 @@ ORACLE: dict[str, str] = {
             ("conditional_nullability", "Conditional Nullability"),
         )
     },
+    "drifted_check_results": _with(
+        "SELECT category, \"check\", passed AND \"check\" NOT LIKE '%atm_city%' AND \"check\" <> 'column set matches expected schema' AS passed, "
+        "CASE WHEN \"check\" LIKE '%atm_city%' THEN 'missing column atm_city' "
+        "WHEN \"check\" = 'column set matches expected schema' THEN 'extra: [''novelty''] missing: [''atm_city'']' ELSE detail END AS detail "
+        "FROM checks", *BASE, "checks"),
+    "unreal_amounts": _with("SELECT transaction_id, amount FROM unreal", *BASE, "unreal"),
+    "unreal_check_results": _with("SELECT * FROM unreal_checks", *BASE, "unreal", "unreal_checks"),
+    "empty_day_report": _with("SELECT * FROM empty_checks", *BASE, "empty", "empty_checks"),
     "check_summary": _with(_summary("damaged_checks"), *BASE, "damaged", "damaged_checks"),
     "report_header": _with(
         f"SELECT '{RUN_DATE}' AS run_date, '{SILVER_PATH}' AS silver_path, (SELECT count(*) FROM damaged) AS total_rows, "
@@ -303,18 +356,21 @@ ORACLE: dict[str, str] = {
         f"FROM ({_outcomes('damaged_checks')})", *BASE, "damaged", "damaged_checks"),
     "gate_verdict": _with(_verdict("damaged_checks"), *BASE, "damaged", "damaged_checks"),
     "gate_verdict_clean": _with(
-        _verdict("clean_checks"), "bronze", "clean_bronze", "clean_silver", "clean_checks"),
+        _verdict("clean_checks"), "clean_bronze", "clean_silver", "clean_checks"),
     # Silver to Gold
     **{name: _gold_query(name) for name in GOLD},
     "time_of_day_sast": _with(
         f"SELECT *, '{RUN_DATE}' AS run_date FROM ("
         + GOLD["time_of_day"].replace("FROM priced", f"FROM (SELECT * REPLACE ({HOUR_SAST} AS hour_of_day) FROM priced)")
         + ")", *FACTS),
+    **{f"subcent_{name}": _kind_of_gold("subcent", name) for name in ("spend_by_age_band", "client_financial_activity", "mcc_spend")},
+    "unreal_reversal_rates": _kind_of_gold("unreal", "reversal_rates"),
+    **{f"arranged_{name}": _with(_numbered(f"SELECT *, '{RUN_DATE}' AS run_date FROM {name}", order), *FACTS, name) for name, order in ORDER.items()},
     "conditional_counts": _with(
         f"SELECT channel, {_part('reversal_flag', '1')} AS reversed, {_part('age < 35', '1')} AS under_35 FROM silver GROUP BY channel",
         *BASE),
     "conditional_sums": _with(
-        f"""SELECT channel, {_part("transaction_type='DEBIT'")}/100.0 AS debited, {_part("transaction_type='CREDIT'")}/100.0 AS credited
+        f"""SELECT channel, {_amount(_exact("transaction_type='DEBIT'"))} AS debited, {_amount(_exact("transaction_type='CREDIT'"))} AS credited
         FROM priced GROUP BY channel""", *FACTS),
     "distinct_accounts": _with(
         "SELECT status, count(DISTINCT account_number) AS accounts, count(DISTINCT beneficiary_account_number) AS beneficiaries "
@@ -340,22 +396,29 @@ ORACLE: dict[str, str] = {
         "FROM client_financial_activity GROUP BY 1)"),
     "client_summary": _on("client_financial_activity", MEDIAN),
     "status_mix": _on("reversal_rates", _cross(
-        "reversal_rates", "transaction_category", "status", "SETTLED PENDING REVERSED FAILED", "rate")),
+        "reversal_rates", "transaction_category", "status", STATUSES, "rate")),
     "failure_and_reversal_rates": _on("reversal_rates", _cross(
         "(SELECT * FROM reversal_rates WHERE status IN ('FAILED','REVERSED'))",
-        "transaction_category", "status", "FAILED REVERSED", "rate")),
+        "transaction_category", "status", ("FAILED", "REVERSED"), "rate")),
     "volume_by_hour": _on("time_of_day", _cross(
         f"{HOURS} LEFT JOIN time_of_day USING (hour_of_day)", "hour_of_day", "transaction_category", CATEGORIES,
         "transaction_count", kind="BIGINT")),
     "spend_by_hour": _on("time_of_day", _cross(
         f"{HOURS} LEFT JOIN time_of_day USING (hour_of_day)", "hour_of_day", "transaction_category", CATEGORIES, "total_spend")),
-    "provinces_by_amount": _on("provincial_flow", f"SELECT *, '{RUN_DATE}' AS run_date FROM provincial_flow ORDER BY total_amount"),
-    "top_merchant_categories_by_total": _with(
-        f"SELECT *, '{RUN_DATE}' AS run_date FROM mcc_spend ORDER BY total_spend DESC, merchant_category_code LIMIT 15", *MERCHANTS),
-    "top_merchant_categories_by_average": _with(
-        f"SELECT *, '{RUN_DATE}' AS run_date FROM mcc_spend ORDER BY avg_spend DESC, merchant_category_code LIMIT 15", *MERCHANTS),
+    "provinces_by_amount": _on("provincial_flow", _numbered(
+        f"SELECT *, '{RUN_DATE}' AS run_date FROM provincial_flow", "total_amount, atm_province, transaction_type")),
+    **{
+        f"{kind}_merchant_categories_by_{by}": _with(
+            _numbered(f"SELECT * REPLACE ({rough}), '{RUN_DATE}' AS run_date FROM mcc_spend",
+                      f"{column} DESC, merchant_category_code", "LIMIT 15"), *MERCHANTS)
+        for by, column in (("total", "total_spend"), ("average", "avg_spend"))
+        for kind, rough in (
+            ("top", "total_spend AS total_spend"),
+            ("level", "round(total_spend/1000)*1000 AS total_spend, round(avg_spend/50)*50 AS avg_spend"),
+        )
+    },
     "amount_by_band_and_currency": _on("currency_by_age", _cross(
-        f"{BANDS} LEFT JOIN currency_by_age USING (age_band)", "age_band", "currency", "ZAR USD EUR GBP CHF JPY AUD", "total_amount")),
+        f"{BANDS} LEFT JOIN currency_by_age USING (age_band)", "age_band", "currency", CURRENCIES, "total_amount")),
     "accounts_by_currency": _on("currency_by_age",
         "SELECT currency, CAST(sum(unique_accounts) AS BIGINT) AS unique_accounts FROM currency_by_age GROUP BY currency"),
     # analyses of the report
@@ -369,8 +432,8 @@ ORACLE: dict[str, str] = {
         "SELECT category, \"check\", detail FROM damaged_checks WHERE NOT passed", *BASE, "damaged", "damaged_checks"),
     # the day as a whole
     "daily_run": _with(
-        ROW_COUNTS.format("clean_"), "bronze", "clean_bronze", "clean_silver", "clean_priced", *(f"clean_{t}" for t in GOLD)),
+        ROW_COUNTS.format("clean_"), "clean_bronze", "clean_silver", "clean_priced", *(f"clean_{t}" for t in GOLD)),
     "daily_run_gold": _with(
         f"SELECT *, '{RUN_DATE}' AS run_date FROM clean_client_financial_activity",
-        "bronze", "clean_bronze", "clean_silver", "clean_priced", "clean_client_financial_activity"),
+        "clean_bronze", "clean_silver", "clean_priced", "clean_client_financial_activity"),
 }

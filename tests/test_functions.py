@@ -117,3 +117,24 @@ def test_divide_half_up(spark):
 def test_share_rounds_half_up(spark):
     df = spark.createDataFrame([(1, 3), (1, 32), (3, 20000), (0, 5)], "n bigint, d bigint")
     assert [r[0] for r in df.select(money.share(F.col("n"), F.col("d"))).collect()] == [0.3333, 0.0313, 0.0002, 0.0]
+
+
+@pytest.mark.parametrize("zone", ["Europe/London", "America/New_York", "UTC"])
+def test_named_hour_does_not_depend_on_the_session(spark, zone):
+    """Around both clock changes of the session's zone."""
+    moments = [f"{day} {hour:02d}:30:00+02:00" for day in ("2026-03-29", "2026-10-25", "2026-03-08", "2026-11-01") for hour in range(24)]
+    df = spark.createDataFrame([(m,) for m in moments], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = df.select("t", banding.hour_of_day(F.col("t"), "Africa/Johannesburg"), banding.hour_of_day(F.col("t"), "UTC")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [(r[1], r[2]) for r in got] == [(int(m[11:13]), (int(m[11:13]) - 2) % 24) for m in moments]
+
+
+def test_salt_of_a_secret(spark):
+    for secret in ("pepper", '{"password": "pepper"}'):
+        salt = spark.createDataFrame([(secret,)], "value string")
+        row = spark.range(1).select(identity.salt_value(salt).alias("s")).first()
+        assert row["s"] == "pepper"

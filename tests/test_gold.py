@@ -36,7 +36,7 @@ def test_spend_by_age_band(spark):
     )
     assert rows("spend_by_age_band", df) == [
         ("18-24", "EFT", 1, None, None, None),
-        ("18-24", "POS", 1, 1.0, 1.0, 1.0),
+        ("18-24", "POS", 1, 1.01, 1.01, 1.01),
         ("65+", "POS", 2, 0.03, 0.02, 0.02),
     ]
 
@@ -122,3 +122,20 @@ def test_totals_do_not_depend_on_row_order(spark):
 def test_amounts_may_be_text(spark):
     df = silver(spark, pos(1), pos(2)).withColumn("amount", F.lit("2.50"))
     assert rows("mcc_spend", df) == [("MCC 5411", 2, 5.0, 2.5, 2.5, 1)]
+
+
+def test_sums_are_rounded_once(spark):
+    df = silver(spark, *(pos(i, age=20, amount=0.004) for i in range(1000)))
+    assert rows("spend_by_age_band", df) == [("18-24", "POS", 1000, 4.0, 0.0, 0.0)]
+    assert [r[4] for r in rows("client_financial_activity", df)] == [4.0]
+
+
+def test_averages_are_rounded_from_the_exact_quotient(spark):
+    df = silver(spark, *(pos(i, age=20, amount=a) for i, a in enumerate((0.014999, 0.014999))), eft(9, age=20, amount=0.015))
+    assert [r[4] for r in rows("spend_by_age_band", df)] == [0.02, 0.01]
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), float("-inf"), 1e30])
+def test_amounts_that_are_no_money_count_as_missing(spark, amount):
+    df = silver(spark, pos(1, age=20, amount=amount), pos(2, age=20, amount=1.0))
+    assert rows("spend_by_age_band", df) == [("18-24", "POS", 2, 1.0, 1.0, 1.0)]

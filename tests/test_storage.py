@@ -13,6 +13,7 @@ from ledgerfall.plans import daily
 from ledgerfall.schemas import GOLD, SILVER_COLUMNS
 from ledgerfall.sources import tables
 from ledgerfall.sources.layout import Lakehouse
+from ledgerfall.sources.scratch import scratch_folder
 from tests.conftest import SF_DIR
 from tests.rows import atm, eft, pos, silver
 
@@ -113,12 +114,12 @@ def test_indented_report_is_read(spark, lake):
     assert [tuple(r) for r in rows] == [("Format", "c", False, None)]
 
 
-def store_fixture(spark, lake, where="true"):
-    fixture.bronze(spark, SF_DIR).where(where).write.json(lake.bronze_day(DAY))
+def store_fixture(spark, lake, bronze=fixture.bronze):
+    bronze(spark, SF_DIR).write.json(lake.bronze_day(DAY))
 
 
 def test_whole_day_and_again(spark, lake):
-    store_fixture(spark, lake, f"NOT ({fixture.UNIDENTIFIED})")
+    store_fixture(spark, lake, fixture.identified_bronze)
     first = daily.run_day(spark, lake, fixture.salt(spark), DAY)
     again = daily.run_day(spark, lake, fixture.salt(spark), DAY)
     assert first == again and list(first) == list(GOLD) and all(n > 0 for n in first.values())
@@ -133,3 +134,67 @@ def test_gate_stops_before_gold(spark, lake):
     report = tables.read_report(spark, lake, DAY).first()
     assert (report["overall"], report["checks_failed"], report["silver_path"]) == ("FAIL", 2, lake.silver_day(DAY))
     assert not Path(lake.gold, "aggregations").exists()
+
+
+def test_empty_rerun_replaces_the_day_and_stops(spark, lake):
+    store_fixture(spark, lake, fixture.identified_bronze)
+    daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    for file in Path(lake.bronze_day(DAY)).glob("part-*"):
+        file.write_text("")
+    with pytest.raises(validation.ValidationFailed, match="1/48"):
+        daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    report = tables.read_report(spark, lake, DAY).first()
+    failed = [r["detail"] for r in report["results"] if not r["passed"]]
+    assert (report["total_rows"], failed) == (0, ["0 rows"])
+    assert tables.read_silver(spark, lake, DAY).count() == 0
+
+
+def test_empty_day_builds_no_gold(spark, lake):
+    store_lines(lake, DAY, "")
+    with pytest.raises(validation.ValidationFailed, match="1/48"):
+        daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    assert not Path(lake.gold, "aggregations").exists()
+
+
+def test_unreal_amount_stops_at_the_gate(spark, lake):
+    store_fixture(spark, lake, fixture.identified_bronze)
+    first = Path(lake.bronze_day(DAY)).glob("part-*.json").__next__()
+    lines = first.read_text().splitlines()
+    lines[0] = json.dumps({**json.loads(lines[0]), "amount": "NaN"})
+    first.write_text("\n".join(lines) + "\n")
+    (first.parent / f".{first.name}.crc").unlink()
+    with pytest.raises(validation.ValidationFailed, match="1/48"):
+        daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    failed = [r for r in tables.read_report(spark, lake, DAY).first()["results"] if not r["passed"]]
+    assert [(r["check"], r["detail"]) for r in failed] == [("amount is never null", "1 null rows")]
+
+
+def test_a_column_of_an_added_file_is_seen(spark, lake):
+    tables.write_silver(silver(spark, pos(1)), lake, DAY)
+    tables.write_silver(silver(spark, pos(2)).selectExpr("*", "1 AS zz"), lake, DAY, mode="append")
+    results = validation.results(daily.validate_silver(spark, lake, DAY)).where("NOT passed").collect()
+    assert [(r["check"], r["detail"].strip()) for r in results] == [("column set matches expected schema", "extra: ['zz']")]
+
+
+class Session:
+    """What scratch_folder asks of a session."""
+
+    def __init__(self, master, shared=None):
+        self.sparkContext, self.conf = self, self
+        self.master, self.shared = master, shared
+
+    def get(self, key, default):
+        return self.shared or default
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"])
+def test_a_cluster_must_name_a_shared_folder(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(Session(master))
+    assert scratch_folder(Session(master, "hdfs://name/shared/")).startswith("hdfs://name/shared/ledgerfall-")
+
+
+@pytest.mark.parametrize("master", ["local", "local[*]", "local[8]"])
+def test_scratch_folders_have_a_scheme(master):
+    assert scratch_folder(Session(master)).startswith("file:///")
+    assert scratch_folder(Session(master, "/shared")).startswith("file:///shared/ledgerfall-")
