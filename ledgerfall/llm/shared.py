@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -114,3 +116,14 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
                 pass
 
     return wrapped
+
+
+def kept(name: str, mark: object, make: Callable[[], object]) -> object:
+    """What a worker process made for an earlier task of the same kind, if ``mark`` is the same; else made anew.
+
+    For memories of words: tasks that a worker runs one after the other share them.
+    """
+    memory = vars(sys.modules.setdefault("ledgerfall_kept", types.ModuleType("ledgerfall_kept")))
+    if name not in memory or memory[name][0] != mark:
+        memory[name] = mark, make()
+    return memory[name][1]

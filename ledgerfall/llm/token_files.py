@@ -22,8 +22,6 @@ from __future__ import annotations
 
 import os
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerfall.llm.shared import lean, stored
+from ledgerfall.llm.shared import kept, lean, stored
 from ledgerfall.sources.scratch import scratch_folder
 
 MAGIC = b"LFTOKEF1"
@@ -46,7 +44,6 @@ SAMPLE = 64
 FILE_IDS = 1 << 21
 #: Words a worker remembers before it starts anew: bounds its memory.
 MEMORY = 800_000
-KEPT = "ledgerfall_kept_words"
 #: New words that are encoded as one text.
 AT_ONCE = 500
 #: Documents whose words are learnt together.
@@ -205,15 +202,6 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, some)) for some in words]
 
 
-def worker_encoder(tokenizer: str) -> WordEncoder:
-    """The encoder of this worker process: its tasks, one after the other, share the words they know."""
-    kept = sys.modules.setdefault(KEPT, types.ModuleType(KEPT))
-    mark = zlib.crc32(tokenizer.encode())
-    if getattr(kept, "mark", None) != mark:
-        kept.mark, kept.encoder = mark, WordEncoder(tokenizer)
-    return kept.encoder
-
-
 def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Writes the files; one row per file: ``file, n_docs, n_ids, base`` (ids in all files before it).
 
@@ -225,7 +213,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
         tokenizer = file.read()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, end = worker_encoder(tokenizer), struct.pack("<I", end_id)
+        mark = zlib.crc32(tokenizer.encode())
+        encoder, end = kept("word encoder", mark, lambda: WordEncoder(tokenizer)), struct.pack("<I", end_id)
         task = TaskContext.get()
         store, base = fs.FileSystem.from_uri(folder) if "://" in folder or ":/" in folder else (fs.LocalFileSystem(), folder)
         store.create_dir(base, recursive=True)

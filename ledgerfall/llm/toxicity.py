@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfall.llm import shared
-from ledgerfall.llm.shared import lean, probability
+from ledgerfall.llm.shared import kept, lean, probability
 
 #: At most this many labelled texts of each class are used to fit.
 FIT_PER_CLASS = 1500
@@ -38,7 +38,7 @@ START = "^"
 KEEPS = 0.9
 #: A landmark is in this share of the toxic texts of the sample, three at least.
 RAREST = 0.01
-#: Words a task remembers before it starts anew: bounds its memory.
+#: Words a worker remembers before it starts anew: bounds its memory.
 MEMORY = 1_000_000
 
 SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){2,}(?!\S)")
@@ -308,7 +308,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("double")
     @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        margins = Margins(landmarks, weights, bias)
+        mark = (*landmarks, bias, weights.tobytes())
+        margins = kept("margins", mark, lambda: Margins(landmarks, weights, bias))
         for texts in batches:
             plain = list(texts.fillna(""))
             parts = [margins.of(plain[at : at + 256]) for at in range(0, len(plain), 256)]
