@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 Every block element of a page is a binary variable: content or not.  A node has
-evidence (its tag, its class and id words, how much text and link text it holds
-itself and with its descendants) and a potential with its parent.  Messages go
+evidence (its tag, its class and id words, how much text it holds itself and with
+its descendants, how much of it is links) and a potential with its parent.  Messages go
 from the leaves to the root and back; their product gives each block's marginal
 exactly.  Text of blocks above one half is the page's text, in page order.
 
@@ -54,6 +54,7 @@ LIMITS = frozenset("ul ol dl table body html".split())
 
 # --- Fixed values: what pages call their parts
 CONTENT_TAGS = frozenset(("article", "main"))
+WHOLE_TAGS = frozenset(("html", "body", "article", "main"))
 OTHER_TAGS = frozenset(("nav", "footer", "aside", "header", "form", "menu", "dialog"))
 CONTENT_WORDS = frozenset("article content main post story entry body text".split())
 OTHER_WORDS = frozenset(
@@ -64,6 +65,9 @@ OTHER_WORDS = frozenset(
     "alert gdpr signup login search".split()
 )
 
+#: Log potential of what cannot be; and the weight of evidence, whose parts overlap.
+NEVER, TEMPER = -1000.0, 0.25
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
@@ -74,11 +78,11 @@ WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "words", "parts", "own", "links", "below", "links_below", "silent")
+    __slots__ = ("tag", "parent", "words", "own", "links", "below", "silent")
 
     def __init__(self, tag: str, parent: int, words: frozenset[str], silent: bool):
         self.tag, self.parent, self.words, self.silent = tag, parent, words, silent
-        self.own = self.links = self.below = self.links_below = 0
+        self.own = self.links = self.below = 0
 
 
 def _names(rest: str) -> frozenset[str]:
@@ -177,13 +181,17 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     for i in range(len(nodes) - 1, -1, -1):
         node = nodes[i]
         node.below += node.own
-        node.links_below += node.links
         if node.parent >= 0:
             nodes[node.parent].below += node.below
-            nodes[node.parent].links_below += node.links_below
     return nodes, runs
 
 
+def says_other(node: Node) -> bool:
+    """Whether the page itself sets a block apart: no evidence outweighs that."""
+    named = node.words & OTHER_WORDS and not node.words & CONTENT_WORDS
+    return node.silent or node.tag in OTHER_TAGS or bool(named) and node.tag not in WHOLE_TAGS
+
+
 def labels(nodes: list[Node]) -> list[int]:
     """1 inside content, 0 inside other matter, -1 where the page says nothing.
 
@@ -192,7 +200,7 @@ def labels(nodes: list[Node]) -> list[int]:
     found: list[int] = []
     for node in nodes:
         above = found[node.parent] if node.parent >= 0 else -1
-        if above == 0 or node.silent or node.tag in OTHER_TAGS or node.words & OTHER_WORDS:
+        if above == 0 or says_other(node):
             found.append(0)
         elif above == 1 or node.tag in CONTENT_TAGS or node.words & CONTENT_WORDS and node.tag not in ("body", "html"):
             found.append(1)
@@ -205,15 +213,12 @@ def _bucket(value: int) -> int:
     return min(9, value.bit_length() - 3 if value >= 8 else 0)
 
 
-def _evidence(node: Node, links: int, text: int) -> tuple[str, ...]:
-    share = 0 if not text else 1 + min(4, 5 * links // text)
-    kind = "other" if node.words & OTHER_WORDS else "content" if node.words & CONTENT_WORDS else "none"
-    return f"tag {node.tag}", f"names {kind}", f"size {_bucket(text)}", f"links {share}"
-
-
 def evidence(node: Node) -> tuple[str, ...]:
-    own = _evidence(node, node.links, node.own)
-    return (*own, *(f"below {x}" for x in _evidence(node, node.links_below, node.below)[2:]))
+    share = 0 if not node.own else 1 + min(4, 5 * node.links // node.own)
+    kind = "other" if node.words & OTHER_WORDS else "content" if node.words & CONTENT_WORDS else "none"
+    return (
+        f"tag {node.tag}", f"names {kind}", f"size {_bucket(node.own)}", f"links {share}", f"below {_bucket(node.below)}",
+    )
 
 
 @dataclass(frozen=True)
@@ -242,8 +247,9 @@ def count(pages: list[str]) -> Model:
                 continue
             above = own[node.parent] if node.parent >= 0 else -1
             first[label] += above < 0
-            if above >= 0:
-                pairs[above, label] += 1
+            # Blocks that nothing is said of hold content and other matter; below those set apart there is no choice.
+            if above or node.parent < 0:
+                pairs[max(above, 0), label] += 1
             for name in evidence(node):
                 seen.setdefault(name, np.zeros(2))[label] += 1
     total = np.sum([v for k, v in seen.items() if k.startswith("size ")] or [np.zeros(2)], axis=0) + 1
@@ -258,14 +264,19 @@ def count(pages: list[str]) -> Model:
 def marginals(nodes: list[Node], model: Model) -> list[float]:
     """Probability of content per block: messages up, then down."""
     stay, leave = model.edge[1][1], model.edge[1][0]
-    enter, rest = model.edge[0][1], model.edge[0][0]
+    rest = model.edge[0][0]
     odds = model.evidence
+    apart = []
+    for node in nodes:
+        apart.append(says_other(node) or node.parent >= 0 and apart[node.parent])
+    # Content may begin below any block that is not set apart.
+    enter = model.edge[0][1]
     # Beliefs and messages are (log other, log content); sums run over children.
     other = [0.0] * len(nodes)
     content = [0.0] * len(nodes)
     for i, node in enumerate(nodes):
-        content[i] = -30.0 if node.silent else max(-12.0, min(12.0, sum(odds.get(x, 0.0) for x in evidence(node))))
-    content[0] = -30.0 if not nodes[0].own and len(nodes) > 1 else content[0]
+        content[i] = NEVER if apart[i] else TEMPER * sum(odds.get(x, 0.0) for x in evidence(node))
+    content[0] = NEVER if not nodes[0].own and len(nodes) > 1 else content[0]
     up = [(0.0, 0.0)] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):
         a, b = other[i], content[i]

@@ -1,0 +1,102 @@
+"""Site lines and benchmark templates against brute force."""
+
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgerfall.llm import site_lines, templates
+from tests.llm.cases import awkward, documents, sentence
+
+BLANK = " \t\r\f\v"
+
+
+def expected_lines(rows, ratio, min_pages):
+    pages, having = Counter(), defaultdict(Counter)
+    for _, text, host in rows:
+        pages[host] += 1
+        having[host].update({x.strip(BLANK) for x in (text or "").split("\n")} - {""})
+    out = []
+    for doc_id, text, host in rows:
+        if text is None:
+            out.append((str(doc_id), "None", 0, 0))
+            continue
+        bad = {x for x, n in having[host].items() if n >= min_pages and n > ratio * pages[host]}
+        lines = text.split("\n")
+        kept = [x for x in lines if x.strip(BLANK) not in bad]
+        if not any(x.strip(BLANK) for x in kept):
+            kept = lines
+        out.append((str(doc_id), "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("ratio, least", [(0.08, 5), (0.5, 1), (0.0, 2)])
+def test_site_lines(spark, ratio, least):
+    rows = [(*r, "s")[:3] for r in awkward()]
+    rows += [(100 + i, f"own {i}\n  menu \n\nmenu\n{'foot' if i % 2 else 'other foot'}", ["a", "b", None][i % 3]) for i in range(40)]
+    rows += [(200 + i, "menu\nfoot", "a") for i in range(8)]
+    docs = documents(spark, *rows)
+    got = site_lines.without_boilerplate(docs, "source", ratio, least)
+    assert got.columns == [*docs.columns, "n_lines", "n_dropped"]
+    found = sorted((str(r["doc_id"]), str(r["text"]), r["n_lines"], r["n_dropped"]) for r in got.collect())
+    assert found == expected_lines(rows, ratio, least)
+
+
+def test_no_site_lines(spark):
+    assert site_lines.without_boilerplate(documents(spark)).collect() == []
+
+
+ITEM = "Alice has 12 apples and gives 5 kg of them to her old friend Robert who lives 40 miles away from the big harbour"
+
+
+def hits(spark, texts, items):
+    docs = documents(spark, *enumerate(texts))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = templates.contaminated(docs, bench).collect()
+    return sorted((r["doc_id"], r["item_id"]) for r in found)
+
+
+def noise(i):
+    return sentence(500 + i, 30)
+
+
+def test_verbatim_and_reparameterised(spark):
+    changed = ITEM.replace("12", "97").replace("Robert", "Wilhelm").replace("40", "3").replace("kg", "lb")
+    texts = [
+        ITEM, f"{noise(0)} {ITEM} {noise(1)}", f"{noise(2)}. Then {changed}, {noise(3)}", noise(4), None, "", "12 12 12 12 12 12 12 12",
+        ITEM.upper(), ITEM.replace(" ", "\n"), " ".join(ITEM.split()[:16]), " ".join(ITEM.split()[:6]),
+    ]
+    assert hits(spark, texts, [ITEM]) == [(0, 0), (1, 0), (2, 0), (7, 0), (8, 0), (9, 0)]
+
+
+def test_values_must_map_consistently(spark):
+    item = "a train leaves at 9 and another train leaves at 9 so both of them meet again at 9 in the station"
+    same, mixed = item.replace("9", "8"), item.replace("9", "8", 1).replace("9", "7", 1)
+    assert hits(spark, [item, same, mixed], [item]) == [(0, 0), (1, 0)]
+
+
+def test_items_of_one_template_and_awkward_items(spark):
+    items = [ITEM, ITEM.replace("12", "30"), None, "", "... ---", "too short", "1 2 3 4 5 6 7 8"]
+    texts = [ITEM, "too short", "this is too short, of course", "1 2 3 4 5 6 7 8", None]
+    assert hits(spark, texts, items) == [(0, 0), (1, 5)]
+
+
+def test_windows_against_all_pairs(spark):
+    """Shares of common windows, found without any join."""
+    items = [noise(i) for i in range(6)]
+    texts = [" ".join([noise(20 + i), *items[i % 6].split()[: 5 * (i % 7)], noise(40 + i)]) for i in range(42)]
+    grams = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    wanted = [
+        (d, i) for d, t in enumerate(texts) for i, x in enumerate(items)
+        if len(grams(t) & grams(x)) >= 0.6 * len(grams(x)) or len(grams(t) & grams(x)) >= 9
+    ]
+    assert hits(spark, texts, items) == wanted
+
+
+def test_contaminated_rows_go_and_others_stay(spark):
+    rows = [*awkward(), (50, f"{noise(0)} {ITEM}"), (None, ITEM), (4, f"other text of the same id {ITEM}")]
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    docs = documents(spark, *rows)
+    kept = templates.without_contaminated(docs, bench)
+    assert kept.columns == docs.columns and kept.count() == len(awkward())
+    assert templates.without_contaminated(documents(spark), bench).collect() == []
+    assert templates.without_contaminated(docs, bench.limit(0)).count() == len(rows)
