@@ -247,9 +247,9 @@ def count(pages: list[str]) -> Model:
                 continue
             above = own[node.parent] if node.parent >= 0 else -1
             first[label] += above < 0
-            # Blocks that nothing is said of hold content and other matter; below those set apart there is no choice.
-            if above or node.parent < 0:
-                pairs[max(above, 0), label] += 1
+            # Only of content: what plain blocks hold, pages that label themselves do not show, so either is as likely.
+            if above == 1 and not says_other(node):
+                pairs[1, label] += 1
             for name in evidence(node):
                 seen.setdefault(name, np.zeros(2))[label] += 1
     total = np.sum([v for k, v in seen.items() if k.startswith("size ")] or [np.zeros(2)], axis=0) + 1
@@ -280,7 +280,8 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     up = [(0.0, 0.0)] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):
         a, b = other[i], content[i]
-        message = (_plus(rest + a, enter + b), _plus(leave + a, stay + b))
+        # A block set apart tells its parent nothing.
+        message = (0.0, 0.0) if apart[i] else (_plus(rest + a, enter + b), _plus(leave + a, stay + b))
         up[i] = message
         parent = nodes[i].parent
         other[parent] += message[0]
@@ -288,7 +289,7 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     out = [0.0] * len(nodes)
     down = [(0.0, 0.0)] * len(nodes)
     for i, node in enumerate(nodes):
-        if i:
+        if i and not apart[i]:
             p = node.parent
             a = other[p] + down[p][0] - up[i][0]
             b = content[p] + down[p][1] - up[i][1]

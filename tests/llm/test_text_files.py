@@ -187,7 +187,7 @@ def test_messages_give_exact_marginals(model):
         total, content = 0.0, np.zeros(len(nodes))
         for labels in product((0, 1), repeat=len(nodes)):
             power = sum(w * x for w, x in zip(weigh, labels)) + sum(
-                model.edge[labels[n.parent]][x] for n, x in zip(nodes, labels) if n.parent >= 0
+                model.edge[labels[n.parent]][x] for n, x, a in zip(nodes, labels, apart) if n.parent >= 0 and not a
             )
             total += math.exp(power)
             content += math.exp(power) * np.array(labels)
