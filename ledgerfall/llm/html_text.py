@@ -67,6 +67,8 @@ OTHER_WORDS = frozenset(
 
 #: Log potential of what cannot be; and the weight of evidence, whose parts overlap.
 NEVER, TEMPER = -1000.0, 0.25
+#: Log odds that a block which calls itself the content is it.
+DECLARED = 10.0
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
@@ -261,6 +263,11 @@ def count(pages: list[str]) -> Model:
     return Model(odds, float(np.log(first[1] / first[0])), np.log(np.maximum(share, 1e-3)))
 
 
+def log_odds(node: Node, odds: dict[str, float]) -> float:
+    declared = DECLARED if node.tag in CONTENT_TAGS else 0.0
+    return declared + TEMPER * sum(odds.get(x, 0.0) for x in evidence(node))
+
+
 def marginals(nodes: list[Node], model: Model) -> list[float]:
     """Probability of content per block: messages up, then down."""
     stay, leave = model.edge[1][1], model.edge[1][0]
@@ -275,7 +282,7 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     other = [0.0] * len(nodes)
     content = [0.0] * len(nodes)
     for i, node in enumerate(nodes):
-        content[i] = NEVER if apart[i] else TEMPER * sum(odds.get(x, 0.0) for x in evidence(node))
+        content[i] = NEVER if apart[i] else log_odds(node, odds)
     content[0] = NEVER if not nodes[0].own and len(nodes) > 1 else content[0]
     up = [(0.0, 0.0)] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):

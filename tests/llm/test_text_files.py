@@ -179,7 +179,7 @@ def test_messages_give_exact_marginals(model):
         for n in nodes:
             apart.append(html_text.says_other(n) or n.parent >= 0 and apart[n.parent])
         weigh = [
-            html_text.NEVER if x else html_text.TEMPER * sum(model.evidence.get(e, 0.0) for e in html_text.evidence(n))
+            html_text.NEVER if x else html_text.log_odds(n, model.evidence)
             for n, x in zip(nodes, apart)
         ]
         if not nodes[0].own and len(nodes) > 1:
