@@ -245,7 +245,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
                         size = 0
         if parts:
             close()
-        yield pd.DataFrame(made, columns=["file", "n_docs", "n_ids"])
+        if made:
+            yield pd.DataFrame(made, columns=["file", "n_docs", "n_ids"])
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     rows = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)

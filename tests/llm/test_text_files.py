@@ -233,7 +233,7 @@ def expected_search(docs, queries, k):
 
 @pytest.mark.parametrize("shard, run, k", [(8192, 64, 10), (7, 2, 5), (100, 1, 1)])
 def test_search(spark, monkeypatch, shard, run, k):
-    for name, value in (("SHARD_DOCS", shard), ("RUN", run), ("BLOCK_DOCS", 4), ("QUERY_BLOCK", 3), ("AT_ONCE", 2)):
+    for name, value in (("SHARD_DOCS", shard), ("RUN", run), ("BLOCK_DOCS", 4), ("QUERY_BLOCK", 3), ("TOGETHER", 2), ("FIRST_BLOCKS", 2)):
         monkeypatch.setattr(search, name, value)
     docs = [(i, t) for i, t, *_ in awkward() if i not in (6, 7)] + [(100 + i, sentence(i % 25, 30 + i)) for i in range(60)]
     queries = [(i, t) for i, t in docs if i is not None and i % 20 == 0] + [(1, None), (2, ""), (3, "zzz never seen"), (4, "one ONE Two")]
