@@ -24,6 +24,7 @@ and each join has one row per key on one side.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from itertools import compress, repeat
 
@@ -162,11 +163,13 @@ class Automata:
 
     def __init__(self) -> None:
         self.shards: list[tuple[dict[bytes, str], ahocorasick.Automaton]] = []
+        self.shortest = 1 << 30
 
     def add(self, phrase: list[bytes], first: tuple[int, int]) -> None:
         if not self.shards or len(self.shards[-1][0]) + len(phrase) > ALPHABET:
             self.shards.append(({}, ahocorasick.Automaton()))
         codes, automaton = self.shards[-1]
+        self.shortest = min(self.shortest, len(phrase))
         try:
             text = "".join([codes[word] for word in phrase])
         except KeyError:
@@ -189,13 +192,17 @@ class Automata:
         for codes, automaton in self.shards:
             text = "".join(map(codes.get, words, repeat("\0")))
             starts, ends = [], []
-            for end, (length, first) in automaton.iter(text):
-                start = end - length + 1
-                if first < (seq, start):
-                    starts.append(start)
-                    ends.append(end + 1)
-            np.add.at(steps, starts, 1)
-            np.add.at(steps, ends, -1)
+            # Words of no passage part the text; what is too short for any passage needs no look.
+            for run in re.finditer(f"[^\0]{{{self.shortest},}}", text):
+                shift = run.start() + 1
+                for end, (length, first) in automaton.iter(run[0]):
+                    end += shift
+                    if first < (seq, end - length):
+                        starts.append(end - length)
+                        ends.append(end)
+            if starts:
+                np.add.at(steps, starts, 1)
+                np.add.at(steps, ends, -1)
         return np.cumsum(steps[:-1]) > 0
 
 
