@@ -47,10 +47,15 @@ STOP = (".", "!", "?", ".\"", "!\"", "?\"")
 
 
 def _codes(words: list[str], width: int) -> np.ndarray:
-    out = np.zeros((len(words), width), np.int32)
-    for row, word in zip(out, words):
-        row[: len(word)] = np.frombuffer(word.encode("utf-32-le"), np.int32)
-    return out
+    """Code points per word, zeros after its end."""
+    padded = "".join([word.ljust(width, "\0") for word in words])
+    return np.frombuffer(padded.encode("utf-32-le"), np.int32).reshape(len(words), width)
+
+
+def _letters(codes: np.ndarray) -> np.ndarray:
+    """The set of letters as bits; letters whose codes are 61 apart share one."""
+    bits = np.left_shift(np.uint64(1), (codes % 61).astype(np.uint64))
+    return np.bitwise_or.reduce(np.where(codes > 0, bits, np.uint64(0)), axis=1)
 
 
 def _raw_kernel(codes: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -79,27 +84,28 @@ def _raw_kernel(codes: np.ndarray, other: np.ndarray) -> np.ndarray:
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normalised kernel of each word with each landmark, 0 to 1; small values are zero."""
     out = np.zeros((len(words), len(landmarks)), np.float32)
-    bits = lambda word: sum({1 << (ord(c) % 61) for c in word})
-    masks = np.array([bits(word) for word in words], np.uint64)
-    lengths = np.array([len(word) for word in words])
+    width = max(map(len, landmarks), default=1)
+    marks = _codes(landmarks, width)
+    letters = _letters(marks)
+    enough = SHARED_LETTERS * np.bitwise_count(letters)
+    own_mark = np.maximum(_raw_kernel(marks, marks), 1e-9)
+    lengths = np.array([len(word) for word in words], int)
     for low, high in ((ORDER, 6), (7, LONGEST + 1)):
         some = np.flatnonzero((lengths >= low) & (lengths <= high))
-        for at in range(0, len(some), 4096):
-            part = some[at : at + 4096]
+        for at in range(0, len(some), 8192):
+            part = some[at : at + 8192]
             codes = _codes([words[i] for i in part], high)
-            own = np.zeros(len(part), np.float32)
-            for k, landmark in enumerate(landmarks):
-                mask = np.uint64(bits(landmark))
-                near = np.bitwise_count(masks[part] & mask) >= SHARED_LETTERS * int(mask).bit_count()
-                near = np.flatnonzero(near)
-                if not len(near):
-                    continue
-                mark = _codes([landmark], len(landmark))
-                fresh = near[own[near] == 0]
-                if len(fresh):
-                    own[fresh] = _raw_kernel(codes[fresh], codes[fresh])
-                values = _raw_kernel(codes[near], mark) / np.sqrt(own[near] * _raw_kernel(mark, mark))
-                out[part[near], k] = np.where(values >= FLOOR, values, 0)
+            shared = np.bitwise_count(_letters(codes)[:, None] & letters[None, :])
+            left, right = np.nonzero(shared >= enough[None, :])
+            if not len(left):
+                continue
+            used, back = np.unique(left, return_inverse=True)
+            own = _raw_kernel(codes[used], codes[used])[back]
+            for a in range(0, len(left), 8192):
+                pair = slice(a, a + 8192)
+                raw = _raw_kernel(codes[left[pair]], marks[right[pair]])
+                value = raw / np.sqrt(np.maximum(own[pair], 1e-9) * own_mark[right[pair]])
+                out[part[left[pair]], right[pair]] = np.where(value >= FLOOR, value, 0)
     return out
 
 
