@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from ledgerfall.llm.shared import lean
+from ledgerfall.llm.shared import kept, lean
 
 MARK = "▁"
 #: Texts encoded at once: bounds a task's memory beside the longest text.
@@ -188,7 +188,7 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
     schema = "doc_id long, n_pieces long, ids_crc32 long, parity boolean, round_trip boolean"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(data)
+        codec = kept("codec", zlib.crc32(data), lambda: Codec(data))
         for batch in batches:
             for rows in _in_turns(batch):
                 texts = list(rows["text"].fillna(""))
@@ -213,7 +213,7 @@ def decoded(ids: DataFrame, model_path: str) -> DataFrame:
         data = file.read()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(data)
+        codec = kept("codec", zlib.crc32(data), lambda: Codec(data))
         for batch in batches:
             for rows in _in_turns(batch):
                 parts = [[] if some is None else list(some) for some in rows["ids"]]
