@@ -287,7 +287,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
     """
     docs = _in_order(docs)
     anchors = stored(_anchors(docs.select("seq", "text"), window))
-    recurring = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Stored, so that the join below has an exchange of its own on both sides and a frequent anchor can be split.
+    recurring = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     wanted = anchors.join(recurring, "h").groupBy("seq").agg(F.collect_set("h").alias("hs"))
     pieces = _pieces(docs.select("seq", "text").join(wanted, "seq"), window)
     found = _found(pieces, window).groupBy("seq").agg(
