@@ -27,6 +27,8 @@ from ledgerfall.llm.shared import kept, lean
 MARK = "▁"
 #: Texts encoded at once: bounds a task's memory beside the longest text.
 BATCH = 256
+#: Words whose pieces the library remembers: bounds a worker's memory.
+CACHED = 300_000
 #: Threads of a task's encoder; tasks run side by side, and each thread has memory of its own.
 THREADS = "2"
 
@@ -117,7 +119,7 @@ def build(model: Model) -> Tokenizer:
         vocabulary = {text: i for i, (text, _, _) in enumerate(model.pieces)}
         tokenizer = Tokenizer(
             models.BPE(
-                vocabulary, _merges(model), unk_token=model.pieces[unknown][0], fuse_unk=True,
+                vocabulary, _merges(model), unk_token=model.pieces[unknown][0], fuse_unk=True, cache_capacity=CACHED,
                 byte_fallback=model.byte_fallback,
             )
         )

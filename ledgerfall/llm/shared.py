@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,3 +129,21 @@ def kept(name: str, mark: object, make: Callable[[], object]) -> object:
     if name not in memory or memory[name][0] != mark:
         memory[name] = mark, make()
     return memory[name][1]
+
+
+def put_file(folder: str, name: str, data: bytes) -> str:
+    """Writes a file of a task in a shared folder, whole or not at all; its path.
+
+    Written aside and renamed.  Another attempt of the task may have been first: its
+    file is the same and stays.
+    """
+    store, base = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+    store.create_dir(base, recursive=True)
+    aside = f"{base}/_{name}.{TaskContext.get().taskAttemptId()}"
+    with store.open_output_stream(aside) as out:
+        out.write(data)
+    if store.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound:
+        store.move(aside, f"{base}/{name}")
+    else:
+        store.delete_file(aside)
+    return f"{folder}/{name}"

@@ -28,13 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerfall.llm.shared import kept, lean, stored
+from ledgerfall.llm.shared import kept, lean, put_file, stored
 from ledgerfall.sources.scratch import scratch_folder
 
 MAGIC = b"LFTOKEF1"
@@ -216,18 +215,13 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
         mark = zlib.crc32(tokenizer.encode())
         encoder, end = kept("word encoder", mark, lambda: WordEncoder(tokenizer)), struct.pack("<I", end_id)
         task = TaskContext.get()
-        store, base = fs.FileSystem.from_uri(folder) if "://" in folder or ":/" in folder else (fs.LocalFileSystem(), folder)
-        store.create_dir(base, recursive=True)
         names: list[int | None] = []
         parts: list[bytes] = []
         made = []
 
         def close() -> None:
             name = f"{task.partitionId():08d}-{len(made):06d}.ids"
-            aside = f"{base}/_{name}.{task.taskAttemptId()}"
-            with store.open_output_stream(aside) as out:
-                out.write(to_bytes(names, parts))
-            store.move(aside, f"{base}/{name}")
+            put_file(folder, name, to_bytes(names, parts))
             made.append((name, len(parts), sum(map(len, parts)) // 4))
             names.clear()
             parts.clear()
