@@ -74,6 +74,23 @@ def test_values_must_map_consistently(spark):
     assert hits(spark, [item, same, mixed], [item]) == [(0, 0), (1, 0)]
 
 
+def test_each_copy_is_judged_alone(spark):
+    copies = [ITEM]
+    for new in (("97", "Wilhelm", "3", "lb", "8"), ("61", "Ernest", "70", "oz", "31")):
+        changed = ITEM
+        for old, value in zip(("12", "Robert", "40", "kg", "5"), new):
+            changed = changed.replace(old, value, 1)
+        copies.append(changed)
+    words = ITEM.split()
+    stray = " and ".join(f"{' '.join(words[1:6])} {n} {noise(n)}".replace("12", str(n)) for n in range(20, 60))
+    broken = " ".join([*words[:11], "very", "nice", *words[11:]])
+    texts = [
+        f"{copies[0]}. {noise(1)} {copies[1]}. {copies[2]}.", f"{copies[1]}. {copies[2]}.", f"{stray} {copies[0]} {stray}",
+        f"{copies[1]} {noise(2)} {broken}. {noise(3)} {copies[2]}.", stray,
+    ]
+    assert hits(spark, texts, [ITEM]) == [(0, 0), (1, 0), (2, 0), (3, 0)]
+
+
 def test_items_of_one_template_and_awkward_items(spark):
     items = [ITEM, ITEM.replace("12", "30"), None, "", "... ---", "too short", "1 2 3 4 5 6 7 8"]
     texts = [ITEM, "too short", "this is too short, of course", "1 2 3 4 5 6 7 8", None]
