@@ -16,7 +16,9 @@ starts earlier (smaller document, or earlier in the same one) go.
    over words, and all documents of the shard are streamed through it.  Whatever it
    finds after the passage's first place is marked.
 
-Steps 1 and 2 use hashes of 96 bits in all; step 3 compares words.  Nothing is
+Anchors, pieces and windows have hashes of 64 bits; within one anchor, where all rows
+share the anchor's, those of pieces and windows tell them apart, all 64 bits of them.
+Step 3 compares words at later places; first places are known by these hashes.  Nothing is
 gathered per passage, however many documents share it: groupings are pre-aggregated,
 and each join has one row per key on one side.
 """
@@ -116,9 +118,9 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
         edges = np.r_[0, np.cumsum(count)].astype(np.int32)
         return pyarrow.record_batch(
             {
-                "h": h.view(np.int64), "k": whole.astype(np.int32), "seq": seq, "a": first.astype(np.int32),
+                "h": h.view(np.int64), "k": whole.view(np.int64), "seq": seq, "a": first.astype(np.int32),
                 "n_windows": count.astype(np.int32),
-                "wins": pyarrow.ListArray.from_arrays(edges, each.astype(np.int32)),
+                "wins": pyarrow.ListArray.from_arrays(edges, each.view(np.int64)),
             }
         )
 
@@ -128,7 +130,7 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                 yield of(batch.slice(at, 500))
 
     return docs.select("seq", "text", "hs").mapInArrow(
-        lean(run), "h long, k int, seq long, a int, n_windows int, wins array<int>"
+        lean(run), "h long, k long, seq long, a int, n_windows int, wins array<long>"
     )
 
 

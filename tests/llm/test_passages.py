@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from ledgerfall.llm import passages
@@ -66,3 +67,15 @@ def test_small_shards(spark, monkeypatch):
     monkeypatch.setattr(passages, "SHARD_WORDS", 50)
     monkeypatch.setattr(passages, "ALPHABET", 60)
     test_overlapping_passages(spark, 7)
+
+
+def test_all_bits_of_a_hash_count(spark, monkeypatch):
+    """Phrases other than anchors get hashes that are told apart by their upper half only."""
+    real, anchor, upper = passages._sequences, passages.ANCHOR, np.uint64(0xFFFFFFFF00000000)
+
+    def halved(sums, inverse, starts, length):
+        found = real(sums, inverse, starts, length)
+        return found & upper if getattr(length, "ndim", 0) or length != anchor else found
+
+    monkeypatch.setattr(passages, "_sequences", halved)
+    test_overlapping_passages(spark, 8)
