@@ -35,8 +35,8 @@ FIT_CHARS = 200_000
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 SILENT = frozenset(
-    "head script style title textarea template svg math iframe object noscript select button input form canvas audio video "
-    "dialog menu datalist noembed noframes xmp".split()
+    "head script style title textarea template svg math iframe object noscript select button input canvas audio video "
+    "datalist noembed noframes xmp".split()
 )
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span "
@@ -80,11 +80,12 @@ WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "words", "own", "links", "below", "silent")
+    __slots__ = ("tag", "parent", "words", "own", "links", "below", "silent", "wraps")
 
     def __init__(self, tag: str, parent: int, words: frozenset[str], silent: bool):
         self.tag, self.parent, self.words, self.silent = tag, parent, words, silent
         self.own = self.links = self.below = 0
+        self.wraps = False
 
 
 def _names(rest: str) -> frozenset[str]:
@@ -185,11 +186,39 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         node.below += node.own
         if node.parent >= 0:
             nodes[node.parent].below += node.below
+    _find_wrappers(nodes)
     return nodes, runs
 
 
+def _find_wrappers(nodes: list[Node]) -> None:
+    """Marks the blocks around the page's content: they are not set apart, whatever they are called.
+
+    The content is the largest block that a tag or, without one, a name declares as
+    such; where nothing is declared, whatever holds most of the page's text.
+    """
+    if not any(says_other(node) for node in nodes):
+        return
+    tagged = [i for i, node in enumerate(nodes) if node.tag in CONTENT_TAGS and node.below]
+    named = [
+        i for i, node in enumerate(nodes)
+        if node.words & CONTENT_WORDS and node.tag not in ("html", "body") and not says_other(node) and node.below
+    ]
+    declared = tagged or named
+    if declared:
+        # The innermost of equals, so that all around it are wrappers.
+        i = nodes[max(declared, key=lambda i: (nodes[i].below, i))].parent
+        while i >= 0:
+            nodes[i].wraps = True
+            i = nodes[i].parent
+    else:
+        for node in nodes:
+            node.wraps = 2 * node.below > nodes[0].below
+
+
 def says_other(node: Node) -> bool:
     """Whether the page itself sets a block apart: no evidence outweighs that."""
+    if node.wraps and not node.silent:
+        return False
     named = node.words & OTHER_WORDS and not node.words & CONTENT_WORDS
     return node.silent or node.tag in OTHER_TAGS or bool(named) and node.tag not in WHOLE_TAGS
 

@@ -162,6 +162,20 @@ def test_no_self_description(model):
     assert text == " ".join(f"{sentence(i, 60)}." for i in range(5))
 
 
+@pytest.mark.parametrize("around", ["div class='page has-sidebar'", "div id='two-column-side'", "form action=x", "div class=widget><div class=side"])
+def test_names_around_the_content_do_not_lose_it(model, around):
+    tags = [x.split()[0] for x in around.split("><")]
+    close = "".join(f"</{tag}>" for tag in reversed(tags))
+    story = " ".join(f"{sentence(i, 60)}." for i in range(4))
+    paragraphs = "".join(f"<p>{sentence(i, 60)}.</p>" for i in range(4))
+    other = f"<aside><article>{sentence(8, 9)}</article></aside><section id=comments><p>{sentence(9, 400)}</p></section>"
+    menu = "".join(f"<li><a href=/{i}>Entry {i}</a></li>" for i in range(8))
+    for inner in (f"<article>{paragraphs}</article>{other}", f"<div class=content>{paragraphs}</div>{other.replace('article', 'p')}"):
+        assert html_text.main_text(f"<body><{around}>{inner}{close}", model) == story
+        assert html_text.main_text(f"<body>{inner}<{around}>{sentence(9, 20)}{close}", model) == story
+    assert html_text.main_text(f"<body><nav><ul>{menu}</ul></nav><{around}>{paragraphs}{close}", model) == story
+
+
 @pytest.mark.parametrize("page", ["", "plain", "<", "<p", "</p></div>", "<script>x", "<!--", "<a<b>", "<p>&bogus;&#xZZ;", "<div>" * 3000, "<b>" * 3000 + "x", "<article>é😀"])
 def test_broken_pages_do_not_fail(model, page):
     assert isinstance(html_text.main_text(page, model), str)
