@@ -2,7 +2,8 @@
 
 Two word beginnings are alike by the letters they share in order, gaps discounted,
 so an insult is met with inserted characters, stretched, inflected or compounded.
-A word counts with the beginning of it that is most alike.  A sentence's features
+A word counts with the piece of it that is most alike: pieces begin at each letter,
+also with its repeated letters taken once or twice, and of every second letter.  A sentence's features
 are, per landmark, the largest kernel value among its words, turned by the inverse
 root of the landmarks' kernel matrix (Nyström); a linear SVM on them is trained on
 sentences of labelled texts.  A text's score is calibrated from its two highest
@@ -34,13 +35,16 @@ FLOOR, SHARED_LETTERS = 0.5, 0.75
 #: Beginnings of these many letters are compared; a start marker counts as a letter of theirs.
 SHORTEST, LONGEST = 4, 8
 START = "^"
-#: Landmarks are beginnings of at least four letters; a longer one must keep this share of the texts.
+#: Of every second letter, pieces count that are a landmark but for little.
+HALVES_FLOOR = 0.8
+#: Landmarks are beginnings of at least four letters, or whole words of three (met by whole words); a longer one must keep this share of the texts.
 KEEPS = 0.9
 #: A landmark is in this share of the toxic texts of the sample, three at least.
 RAREST = 0.01
 #: Words a worker remembers before it starts anew: bounds its memory.
 MEMORY = 1_000_000
 
+REPEATED = re.compile(r"(\w)\1{2,}")
 SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
 STOP = (".", "!", "?", ".\"", "!\"", "?\"")
@@ -109,23 +113,55 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
-def _beginnings(word: str) -> list[str]:
-    """Beginnings of a cleaned word that are compared; none of words under three letters."""
+def _pieces(word: str) -> set[str]:
+    """Pieces of a cleaned word that are compared; none of words under three letters."""
     if len(word) < SHORTEST:
-        return [START + word] if len(word) == SHORTEST - 1 else []
-    return [START + word[:size] for size in range(SHORTEST, min(len(word), LONGEST) + 1)]
+        return {START + word} if len(word) == SHORTEST - 1 else set()
+    return {
+        START + word[at : at + size]
+        for at in range(len(word) - SHORTEST + 1)
+        for size in range(SHORTEST, min(len(word) - at, LONGEST) + 1)
+    }
+
+
+def _forms(word: str) -> tuple[set[str], set[str]]:
+    """Pieces of the word, stretched letters also shortened; and pieces of every second letter."""
+    found = _pieces(word)
+    if REPEATED.search(word):
+        found |= _pieces(REPEATED.sub(r"\1\1", word)) | _pieces(REPEATED.sub(r"\1", word))
+    halves = _pieces(word[::2]) | _pieces(word[1::2]) if len(word) >= 2 * SHORTEST - 3 else set()
+    return found, halves - found
 
 
 def likeness(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Per cleaned word its largest kernel value with each landmark, over its beginnings."""
-    pieces = [_beginnings(word) for word in words]
+    """Per cleaned word its largest kernel value with each landmark, over its pieces."""
+    out = np.zeros((len(words), len(landmarks)), np.float32)
+    if not words or not landmarks:
+        return out
+    # A word that lacks too many letters of every landmark has no piece that has them.
+    letters = _letters(_codes(landmarks, max(map(len, landmarks))))
+    enough = SHARED_LETTERS * np.bitwise_count(letters)
+    begin = np.uint64(1) << np.uint64(ord(START) % 61)
+    bit = lambda word: sum({1 << ord(letter) % 61 for letter in word})
+    own = np.fromiter(map(bit, words), np.uint64, len(words)) | begin
+    usable = np.flatnonzero((np.bitwise_count(own[:, None] & letters[None, :]) >= enough).any(1))
     code: dict[str, int] = {}
-    flat = np.array([code.setdefault(piece, len(code)) for some in pieces for piece in some], int)
+    owner, flat, half = [], [], []
+    for i in usable.tolist():
+        for n, some in enumerate(_forms(words[i])):
+            flat += [code.setdefault(piece, len(code)) for piece in some]
+            owner += [i] * len(some)
+            half += [n > 0] * len(some)
     values = kernel(list(code), landmarks)
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    owner = np.repeat(np.arange(len(words)), [len(some) for some in pieces])
-    some = values.any(1)[flat] if len(flat) else np.zeros(0, bool)
-    np.maximum.at(out, owner[some], values[flat[some]])
+    # Landmarks of three letters are whole words.
+    short = np.array([len(mark) == SHORTEST for mark in landmarks])
+    longer = np.array([len(piece) > SHORTEST for piece in code], bool)
+    values[np.ix_(longer, short)] = 0
+    flat, owner, half = np.array(flat, int), np.array(owner, int), np.array(half, bool)
+    some = np.flatnonzero(values.any(1)[flat]) if len(flat) else flat
+    near = values[flat[some]]
+    near[half[some]] *= near[half[some]] >= HALVES_FLOOR
+    np.maximum.at(out, owner[some], near)
     return out
 
 
@@ -209,7 +245,9 @@ class Margins:
 
 def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int) -> list[str]:
     """Word beginnings that many toxic texts have and other texts hardly, each for new texts."""
-    begins = lambda words: {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST - 1) + 1)}
+    begins = lambda words: {w for w in words if len(w) == SHORTEST - 1} | {
+        w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST - 1) + 1)
+    }
     in_other = Counter(g for words in other for g in begins(words))
     holders: dict[str, set[int]] = {}
     for i, words in enumerate(toxic):
@@ -220,7 +258,7 @@ def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int)
     rich = {g: t for g, t in holders.items() if len(t) >= enough and len(t) > 5 * weight * in_other[g]}
     chosen: list[str] = []
     times = np.zeros(len(toxic))
-    short = {g for g in rich if len(g) == SHORTEST}
+    short = {g for g in rich if len(g) <= SHORTEST}
     while short and len(chosen) < count:
         # Texts that have landmarks already count less, so that rarer insults get theirs.
         value = lambda g: sum(0.6 ** times[i] for i in rich[g]) - 3 * weight * in_other[g]
@@ -229,7 +267,7 @@ def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int)
             break
         short.remove(g)
         times[list(rich[g])] += 1
-        while longer := [x for x in rich if len(x) == len(g) + 1 and x.startswith(g) and len(rich[x]) >= KEEPS * len(rich[g])]:
+        while len(g) >= SHORTEST and (longer := [x for x in rich if len(x) == len(g) + 1 and x.startswith(g) and len(rich[x]) >= KEEPS * len(rich[g])]):
             g = max(longer)
         chosen.append(START + g)
     return chosen

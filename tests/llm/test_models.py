@@ -84,3 +84,13 @@ def test_inserted_and_spaced_letters_are_met():
         words = [word for some in toxicity.sentences(f"you {text} there") for word in some]
         assert toxicity.likeness(words, marks).max() >= 0.5, text
     assert toxicity.likeness(["nothing", "alike", "here"], marks).max() == 0
+
+
+def test_whole_words_are_compared():
+    words = ["superidiot", "vollidiot", "megaidiot", "iiiiiiiiidiot", "idiiiiiiiot", "ixdxixoxt", "idioooooot", "theixdxixoxt"]
+    for mark in ("^idio", "^idiot"):
+        assert (toxicity.likeness(words, [mark]) >= toxicity.FLOOR).all(), mark
+    assert toxicity.likeness(["nothing", "alike", "internationalisation"], ["^idiot"]).max() == 0
+    assert toxicity.likeness(["fop", "foppish", "f"], ["^fop"])[:, 0] == pytest.approx([1, 0, 0])
+    toxic, other = [{"you", "fop"}] * 9, [{"you", "are"}] * 9
+    assert toxicity._choose_landmarks(toxic, other, 4) == ["^fop"]
