@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfall.llm import (
-    compression, html_text, passages, pieces, search, simhash, site_lines, templates, token_files, toxicity,
+    compression, html_text, merkle, passages, pieces, search, simhash, site_lines, templates, token_files, toxicity,
 )
 from ledgerfall.llm.shared import fold, table
 
@@ -87,6 +87,11 @@ def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = fold(F.col("doc_id"), 5) == 0
+    return merkle.document_proofs(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_search": op9_search,
     "op10_passages": op10_passages,
+    "op11_manifest": op11_manifest,
 }
 
-ORACLE = {"op5_line_dedup": site_lines.ORACLE}
+ORACLE = {"op5_line_dedup": site_lines.ORACLE, "op11_manifest": merkle.ORACLE}
