@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfall.llm import (
-    compression, html_text, merkle, passages, pieces, search, simhash, site_lines, templates, token_files, toxicity,
+    compression, html_text, merkle, passages, pieces, ranked_terms, search, simhash, site_lines, templates, token_files, toxicity,
 )
 from ledgerfall.llm.shared import fold, table
 
@@ -92,6 +92,11 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(table(spark, sf_dir, "documents"), tampered)
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for each benchmark item."""
+    return ranked_terms.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -104,6 +109,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_search": op9_search,
     "op10_passages": op10_passages,
     "op11_manifest": op11_manifest,
+    "op12_ranked": op12_ranked,
 }
 
-ORACLE = {"op5_line_dedup": site_lines.ORACLE, "op11_manifest": merkle.ORACLE}
+ORACLE = {
+    "op5_line_dedup": site_lines.ORACLE,
+    "op11_manifest": merkle.ORACLE,
+    "op12_ranked": ranked_terms.ORACLE,
+}
