@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfall.llm import (
-    compression, html_text, merkle, passages, pieces, ranked_terms, search, simhash, site_lines, templates, token_files, toxicity,
+    compression, html_text, languages, merkle, passages, pieces, ranked_terms, search, simhash, site_lines, templates, token_files, toxicity,
 )
 from ledgerfall.llm.shared import fold, table
 
@@ -97,6 +97,13 @@ def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_terms.top_k(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = languages.train(docs, ~held_out)
+    return languages.predicted(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_quality": op2_quality,
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_passages": op10_passages,
     "op11_manifest": op11_manifest,
     "op12_ranked": op12_ranked,
+    "op13_language": op13_language,
 }
 
 ORACLE = {
