@@ -32,8 +32,8 @@ from ledgerfall.llm.shared import kept, lean
 FIT_TEXTS, FIT_CHARS = 4000, 100_000
 #: Languages that are learned at most, the most frequent ones; words that the model knows at most, likewise.
 FIT_LANGUAGES, FIT_WORDS = 400, 60_000
-#: Cost of a change of language between two words, in nats.
-SWITCH = 8.0
+#: Cost of a change of language between two words, in nats; and what a single word can say against a language at most.
+SWITCH, MOST = 8.0, 5.0
 #: A language is a candidate in a script that it writes this share of its letters in.
 SCRIPT_SHARE = 0.002
 #: Part of the probability that known words have; weight of single letters against three in a row.
@@ -108,7 +108,7 @@ def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 def _table(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Different keys, sorted, and their counts per language."""
-    every = np.unique(np.concatenate(keys))
+    every = np.unique(np.concatenate([np.empty(0, np.int64), *keys]))
     found = np.zeros((len(every), len(keys)))
     for language, (some, n) in enumerate(zip(keys, counts)):
         np.add.at(found[:, language], np.searchsorted(every, some), n)
@@ -149,7 +149,7 @@ def fit(texts: dict[str, list[str]], prior: dict[str, int]) -> Model:
     for i, some in enumerate(counted):
         for word, n in some.items():
             scripts.setdefault(script_of(word[0]), np.zeros(len(languages)))[i] += n * len(word)
-    letters = np.sum(list(scripts.values()) or [np.ones(len(languages))], axis=0)
+    letters = sum(scripts.values(), np.zeros(len(languages)))
     usable = {name: n >= SCRIPT_SHARE * np.maximum(letters, 1) for name, n in scripts.items()}
     places = [_letters(list(some)) for some in counted]
     weights = [np.array(list(some.values()), float)[place[3]] for some, place in zip(counted, places)]
@@ -211,6 +211,8 @@ class Scorer:
         candidates = np.array([m.scripts.get(script_of(word[0]), none) for word in words]).reshape(len(words), -1)
         told = candidates.any(1)
         found[~candidates] = NEVER
+        found = np.maximum(found, found.max(1, keepdims=True) - MOST)
+        found[~candidates] = NEVER
         found[~told] = 0.0
         return found.astype(np.float32), told
 
