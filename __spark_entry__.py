@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from ledgerfall.functions import banding, identity, money  # noqa: E402
 from ledgerfall.operators import facts as X  # noqa: E402
 from ledgerfall.operators import gold, insights, minimise, rules, validation  # noqa: E402
 from ledgerfall.plans import daily  # noqa: E402
-from ledgerfall.sources import tables  # noqa: E402
+from ledgerfall.sources import footers, releases, tables  # noqa: E402
 from ledgerfall.sources.layout import Lakehouse  # noqa: E402
 from ledgerfall.sources.scratch import scratch_folder  # noqa: E402
 from oracle_queries import ORACLE  # noqa: E402
@@ -186,6 +188,78 @@ def gold_rerun_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_gold(spark, lake, name, DAY)
 
 
+def _breaking(rows: DataFrame) -> DataFrame:
+    """Rows of which some cannot be written: a task that meets one fails."""
+    broken = F.raise_error(F.lit("a row that cannot be written"))
+    return rows.withColumn("amount", F.when(F.crc32("transaction_id") % 100 == 0, broken.cast("double")).otherwise(F.col("amount")))
+
+
+def _fails(work: Callable[[], object]) -> None:
+    try:
+        work()
+    except PySparkException:
+        return
+    raise AssertionError("the run was meant to fail")
+
+
+def silver_failed_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of Silver after a second run of it failed on the way."""
+    lake = _lake(spark)
+    tables.write_silver(_silver(spark, sf_dir), lake, DAY)
+    _fails(lambda: tables.write_silver(_breaking(_silver(spark, sf_dir)), lake, DAY))
+    return tables.read_silver(spark, lake, DAY)
+
+
+def gold_failed_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A Gold table after a second run of it failed on the way."""
+    lake, name = _lake(spark), "mcc_spend"
+    tables.write_gold(gold.build(name, X.facts(_silver(spark, sf_dir), UTC)), lake, name, DAY)
+    _fails(lambda: tables.write_gold(gold.build(name, X.facts(_breaking(_silver(spark, sf_dir)), UTC)), lake, name, DAY))
+    return tables.read_gold(spark, lake, name, DAY)
+
+
+def _failed_day(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """A day that was run, then run again with half the rows: its Silver passes, one Gold table fails."""
+    lake, _ = _run_day(spark, sf_dir)
+    half = fixture.identified_bronze(spark, sf_dir).where(F.crc32("transaction_id") % 2 == 0)
+    half.write.mode("overwrite").option("ignoreNullFields", "false").json(lake.bronze_day(DAY))
+    _fails(lambda: daily.run_day(spark, lake, fixture.salt(spark), DAY, "No/Such_Zone"))
+    return lake
+
+
+def daily_failed_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of Silver and of each Gold table after a second run of the day failed."""
+    lake = _failed_day(spark, sf_dir)
+    stored = {"silver": tables.read_silver(spark, lake, DAY)}
+    stored |= {name: tables.read_gold(spark, lake, name, DAY) for name in gold.TABLES}
+    counts = [rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")) for name, rows in stored.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def daily_failed_rerun_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Gold table that the failed second run had already written."""
+    return tables.read_gold(spark, _failed_day(spark, sf_dir), "channel_adoption", DAY)
+
+
+def type_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a day in which some files have ages, and flags, as text."""
+    lake, rows = _lake(spark), _silver(spark, sf_dir)
+    other = F.crc32("transaction_id") % 3 == 0
+    tables.write_silver(rows.where(~other), lake, DAY)
+    as_text = {name: F.col(name).cast("string") for name in ("age", "reversal_flag")}
+    tables.write_silver(rows.where(other).withColumns(as_text), lake, DAY, mode="append")
+    return validation.results(daily.validate_silver(spark, lake, DAY))
+
+
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the files of such a day say of their columns: files' kinds per column and type."""
+    lake, rows = _lake(spark), _silver(spark, sf_dir)
+    tables.write_silver(rows, lake, DAY)
+    tables.write_silver(rows.withColumn("age", F.col("age").cast("string")).drop("atm_city"), lake, DAY, mode="append")
+    folders = [lake.silver_day(DAY, run) for run in releases.current(spark, lake, DAY)["silver"]]
+    return footers.catalogue(spark, folders).select("column", "type").distinct()
+
+
 def empty_day_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report of a day whose delivery, after one with rows, has none."""
     lake = _lake(spark)
@@ -321,6 +395,9 @@ def queries() -> dict[str, Query]:
         "silver_round_trip": silver_round_trip,
         "bronze_raw_lines": bronze_raw_lines,
         "silver_rerun_empty": silver_rerun_empty,
+        "silver_failed_rerun": silver_failed_rerun,
+        "gold_failed_rerun": gold_failed_rerun,
+        "column_types": column_types,
         "gold_round_trip": _gold_round_trip("channel_adoption"),
         **{f"stored_{name}": _gold_round_trip(name) for name in gold.TABLES if name != "channel_adoption"},
         "gold_rerun_empty": gold_rerun_empty,
@@ -347,6 +424,7 @@ def queries() -> dict[str, Query]:
         "unreal_amounts": lambda spark, sf_dir: _unreal(spark, sf_dir).select("transaction_id", "amount"),
         "unreal_check_results": _on_checks(lambda checks: checks, _unreal),
         "empty_day_report": empty_day_report,
+        "type_drift_report": type_drift_report,
         "check_summary": _on_checks(validation.summary, _damaged),
         "report_header": report_header,
         "gate_verdict": gate_verdict,
@@ -390,6 +468,8 @@ def queries() -> dict[str, Query]:
         # the day as a whole
         "daily_run": daily_run,
         "daily_run_gold": daily_run_gold,
+        "daily_failed_rerun": daily_failed_rerun,
+        "daily_failed_rerun_gold": daily_failed_rerun_gold,
     }
 
 

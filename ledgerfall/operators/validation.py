@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerfall.operators import rules as R
 from ledgerfall.operators.minimise import normalise_amounts
-from ledgerfall.schemas import SILVER_COLUMNS
+from ledgerfall.schemas import SILVER_COLUMNS, mixed
 
 
 class ValidationFailed(Exception):
@@ -53,10 +53,12 @@ def _distinct_values(silver: DataFrame, column: str) -> Column:
     return silver.select(column).distinct().agg(F.count("*")).scalar()
 
 
-def _schema_difference(columns: list[str]) -> str | None:
+def _schema_difference(columns: list[str], mixed: dict[str, list[str]]) -> str | None:
     extra = sorted(set(columns) - set(SILVER_COLUMNS))
     missing = sorted(set(SILVER_COLUMNS) - set(columns))
+    several = [f"{name}: {', '.join(types)}" for name, types in sorted(mixed.items())]
     parts = (f"extra: {extra} " if extra else "") + (f"missing: {missing}" if missing else "")
+    parts += (" " if missing and several else "") + (f"several types: {several}" if several else "")
     return parts or None
 
 
@@ -68,13 +70,13 @@ def _literal(text: str | None) -> str:
     return f"'{escaped}'"
 
 
-def _outcome(i: int, rule: R.Rule, columns: list[str]) -> str:
+def _outcome(i: int, rule: R.Rule, columns: list[str], mixed: dict[str, list[str]]) -> str:
     """SQL of the result of one rule over a tally row."""
     absent = _missing(rule, set(columns))
     if absent:
         passed, detail = "false", _literal(f"missing column {', '.join(absent)}")
     elif isinstance(rule, R.SchemaRule):
-        difference = _schema_difference(columns)
+        difference = _schema_difference(columns, mixed)
         passed, detail = str(difference is None).lower(), _literal(difference)
     elif isinstance(rule, R.NotEmptyRule):
         passed, detail = "total_rows > 0", "concat(total_rows, ' rows')"
@@ -87,8 +89,12 @@ def _outcome(i: int, rule: R.Rule, columns: list[str]) -> str:
 
 
 def report(silver: DataFrame, run_date: date, silver_path: str, rules: tuple[R.Rule, ...] = R.ALL) -> DataFrame:
-    """One row: the validation report, with the results in the order of the rules."""
-    outcomes = ", ".join(_outcome(i, rule, silver.columns) for i, rule in enumerate(rules))
+    """One row: the validation report, with the results in the order of the rules.
+
+    A column that the files behind ``silver`` have in several types is reported with the schema.
+    """
+    drift = mixed(silver)
+    outcomes = ", ".join(_outcome(i, rule, silver.columns, drift) for i, rule in enumerate(rules))
     return (
         tally(silver, rules)
         .selectExpr("total_rows", f"array({outcomes}) AS results")

@@ -8,28 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerfall.operators import facts as X
 from ledgerfall.operators import gold, minimise, validation
-from ledgerfall.sources import tables
+from ledgerfall.sources import releases, tables
 from ledgerfall.sources.layout import Lakehouse
 
 
+def _silver(spark: SparkSession, lake: Lakehouse, salt: DataFrame, run_date: date) -> DataFrame:
+    return minimise.to_silver(tables.read_bronze(spark, lake, run_date), salt, run_date)
+
+
 def load_silver(spark: SparkSession, lake: Lakehouse, salt: DataFrame, run_date: date, mode: str = "overwrite") -> None:
-    """Bronze to Silver."""
-    bronze = tables.read_bronze(spark, lake, run_date)
-    tables.write_silver(minimise.to_silver(bronze, salt, run_date), lake, run_date, mode)
+    """Bronze to Silver, released by itself."""
+    tables.write_silver(_silver(spark, lake, salt, run_date), lake, run_date, mode)
 
 
-def validate_silver(spark: SparkSession, lake: Lakehouse, run_date: date) -> DataFrame:
+def validate_silver(spark: SparkSession, lake: Lakehouse, run_date: date, run: str | None = None) -> DataFrame:
     """Check a day of Silver, store the report, and return it as stored.
 
-    What decides afterwards is the stored row, so the checks run once.
+    What decides afterwards is the stored row, so the checks run once.  With a run,
+    its Silver is checked and its report is not released.
     """
-    silver = tables.read_silver(spark, lake, run_date, all_columns=True)
-    tables.write_report(validation.report(silver, run_date, lake.silver_day(run_date)), lake, run_date)
-    return tables.read_report(spark, lake, run_date)
+    silver = tables.read_silver(spark, lake, run_date, all_columns=True, run=run)
+    report = validation.report(silver, run_date, lake.silver_day(run_date))
+    if run is None:
+        tables.write_report(report, lake, run_date)
+    else:
+        tables.stage_report(report, lake, run_date, run)
+    return tables.read_report(spark, lake, run_date, run)
 
 
-def load_gold(spark: SparkSession, lake: Lakehouse, run_date: date, tz: str | None = None) -> dict[str, int]:
-    """All Gold tables of a day; rows written per table.
+def _stage_gold(spark: SparkSession, lake: Lakehouse, silver: DataFrame, run_date: date, tz: str | None, run: str) -> dict[str, int]:
+    """All Gold tables of a run; rows written per table.
 
     Every table scans the columns it needs of Silver: keeping the rows of a day in
     memory or on executor disks for eight passes would cost more than reading a
@@ -37,16 +45,24 @@ def load_gold(spark: SparkSession, lake: Lakehouse, run_date: date, tz: str | No
     depend on each other, so their jobs are submitted together and fill the
     cluster while the last tasks of others run.
     """
-    rows = X.facts(tables.read_silver(spark, lake, run_date), tz)
+    rows = X.facts(silver, tz)
 
     @inheritable_thread_target(spark)
     def store(name: str) -> int:
-        return tables.write_gold(gold.build(name, rows), lake, name, run_date)
+        return tables.stage_gold(gold.build(name, rows), lake, name, run_date, run)
 
     with ThreadPoolExecutor(len(gold.TABLES)) as pool:
         return dict(zip(gold.TABLES, pool.map(store, gold.TABLES)))
 
 
+def load_gold(spark: SparkSession, lake: Lakehouse, run_date: date, tz: str | None = None) -> dict[str, int]:
+    """All Gold tables of a day's released Silver, released together; rows written per table."""
+    run = releases.new_run()
+    written = _stage_gold(spark, lake, tables.read_silver(spark, lake, run_date), run_date, tz, run)
+    releases.publish(spark, lake, run_date, run, gold.TABLES)
+    return written
+
+
 def run_day(
     spark: SparkSession,
     lake: Lakehouse,
@@ -56,10 +72,19 @@ def run_day(
 ) -> dict[str, int]:
     """Bronze to Silver, validation, and, if all checks pass, Gold.
 
-    Raises ``ValidationFailed`` after the report is stored; Gold is then left as
-    it was.  Running a day again replaces it, also by no rows: then the report says so
-    and nothing is built.
+    Silver, report and Gold are released together at the end, so whatever fails on
+    the way leaves the day as it was, of one run.  If checks fail, that is a result
+    and no accident: Silver and its report are released, Gold is left as it was,
+    and ``ValidationFailed`` is raised.  Running a day again replaces it, also by no
+    rows: then the report says so and nothing is built.
     """
-    load_silver(spark, lake, salt, run_date)
-    validation.enforce(validate_silver(spark, lake, run_date))
-    return load_gold(spark, lake, run_date, tz)
+    run = releases.new_run()
+    tables.stage_silver(_silver(spark, lake, salt, run_date), lake, run_date, run)
+    try:
+        validation.enforce(validate_silver(spark, lake, run_date, run))
+    except validation.ValidationFailed:
+        releases.publish(spark, lake, run_date, run, [tables.SILVER, tables.CHECKS])
+        raise
+    written = _stage_gold(spark, lake, tables.read_silver(spark, lake, run_date, run=run), run_date, tz, run)
+    releases.publish(spark, lake, run_date, run, [tables.SILVER, tables.CHECKS, *gold.TABLES])
+    return written

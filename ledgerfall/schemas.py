@@ -1,5 +1,16 @@
 """Column layouts of the three layers and of the validation report, as DDL."""
 
+from pyspark.sql import DataFrame
+
+#: Key of a column's metadata that has the types which the files behind it give the column, if several.
+FILE_TYPES = "file_types"
+
+
+def mixed(df: DataFrame) -> dict[str, list[str]]:
+    """Columns that the files behind ``df`` have in several types, with these types."""
+    return {f.name: list(f.metadata[FILE_TYPES]) for f in df.schema if f.metadata and FILE_TYPES in f.metadata}
+
+
 # --- Fixed values: column layouts
 
 # Amounts are text in Bronze: writers emit them as JSON numbers or as quoted
@@ -41,6 +52,14 @@ SILVER_COLUMNS = (
     "atm_city",
 )
 
+#: Types of Silver columns that are no text.
+SILVER_TYPES = {"amount": "double", "running_balance": "double", "reversal_flag": "boolean", "age": "int"}
+
+
+def silver_type(column: str) -> str:
+    return SILVER_TYPES.get(column, "string")
+
+
 # run_date is the partition column of every Gold table: it is in the path only.
 GOLD = {
     "spend_by_age_band": """

@@ -315,6 +315,14 @@ ORACLE: dict[str, str] = {
         "SELECT CASE WHEN k <> 2 THEN transaction_id END AS transaction_id, CASE WHEN k <> 2 THEN status END AS status, "
         "CASE WHEN k <> 2 THEN amount END AS amount, CASE WHEN k <> 2 THEN running_balance END AS running_balance, "
         "CASE WHEN k <> 2 THEN reversal_flag END AS reversal_flag FROM (SELECT *, CAST(round(amount*100) AS BIGINT) % 4 AS k FROM bronze)", "bronze"),
+    "silver_failed_rerun": _with("SELECT * FROM silver", *BASE),
+    "gold_failed_rerun": _gold_query("mcc_spend"),
+    "column_types": """
+SELECT unnest(['transaction_id', 'transaction_datetime', 'transaction_type', 'transaction_category', 'channel', 'status', 'currency',
+  'reversal_reference', 'account_number', 'beneficiary_account_number', 'age', 'gender', 'merchant_name', 'merchant_category_code',
+  'merchant_city', 'atm_terminal_id', 'atm_province', 'atm_city']) AS "column", 'string' AS type
+UNION ALL VALUES ('age', 'int'), ('amount', 'double'), ('running_balance', 'double'), ('reversal_flag', 'boolean')
+""",
     "gold_row_counts": _with(ROW_COUNTS.format(""), *FACTS, *GOLD),
     "report_round_trip": _with("SELECT * FROM damaged_checks", *BASE, "damaged", "damaged_checks"),
     # Bronze to Silver
@@ -349,6 +357,11 @@ ORACLE: dict[str, str] = {
     "unreal_amounts": _with("SELECT transaction_id, amount FROM unreal", *BASE, "unreal"),
     "unreal_check_results": _with("SELECT * FROM unreal_checks", *BASE, "unreal", "unreal_checks"),
     "empty_day_report": _with("SELECT * FROM empty_checks", *BASE, "empty", "empty_checks"),
+    "type_drift_report": _with(
+        "SELECT category, \"check\", passed AND \"check\" <> 'column set matches expected schema' AS passed, "
+        "CASE WHEN \"check\" = 'column set matches expected schema' "
+        "THEN 'several types: [''age: int, string'', ''reversal_flag: boolean, string'']' ELSE detail END AS detail "
+        "FROM checks", *BASE, "checks"),
     "check_summary": _with(_summary("damaged_checks"), *BASE, "damaged", "damaged_checks"),
     "report_header": _with(
         f"SELECT '{RUN_DATE}' AS run_date, '{SILVER_PATH}' AS silver_path, (SELECT count(*) FROM damaged) AS total_rows, "
@@ -436,4 +449,10 @@ ORACLE: dict[str, str] = {
     "daily_run_gold": _with(
         f"SELECT *, '{RUN_DATE}' AS run_date FROM clean_client_financial_activity",
         "clean_bronze", "clean_silver", "clean_priced", "clean_client_financial_activity"),
+    "daily_failed_rerun": _with(
+        f"SELECT 'silver' AS table_name, count(*) AS n_rows FROM clean_silver UNION ALL SELECT table_name, rows_written FROM ({ROW_COUNTS.format('clean_')})",
+        "clean_bronze", "clean_silver", "clean_priced", *(f"clean_{t}" for t in GOLD)),
+    "daily_failed_rerun_gold": _with(
+        f"SELECT *, '{RUN_DATE}' AS run_date FROM clean_channel_adoption",
+        "clean_bronze", "clean_silver", "clean_priced", "clean_channel_adoption"),
 }

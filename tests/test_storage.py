@@ -4,14 +4,17 @@ import json
 from datetime import date
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerfall import fixture
 from ledgerfall.operators import facts, gold, minimise, validation
 from ledgerfall.plans import daily
 from ledgerfall.schemas import GOLD, SILVER_COLUMNS
-from ledgerfall.sources import tables
+from ledgerfall.sources import footers, releases, tables
 from ledgerfall.sources.layout import Lakehouse
 from ledgerfall.sources.scratch import scratch_folder
 from tests.conftest import SF_DIR
@@ -73,7 +76,7 @@ def test_gold_is_in_order_and_dated_by_path(spark, lake):
     rows = facts.facts(silver(spark, *(pos(i, merchant_category_code=f"MCC {i}", amount=float(i % 7)) for i in range(50))))
     written = tables.write_gold(gold.build("mcc_spend", rows), lake, "mcc_spend", DAY)
     assert written == 50
-    files = sorted(Path(lake.gold_day("mcc_spend", DAY)).glob("*.parquet"))
+    files = sorted(Path(lake.gold_table("mcc_spend")).rglob("*.parquet"))
     stored = [r for f in files for r in pq.ParquetFile(f).read().to_pylist()]
     assert "run_date" not in stored[0]
     assert [r["total_spend"] for r in stored] == sorted((r["total_spend"] for r in stored), reverse=True)
@@ -90,7 +93,7 @@ def test_gold_days_are_independent(spark, lake):
 def test_report_round_trip(spark, lake):
     report = validation.report(silver(spark, pos(age=17), eft()), DAY, "p")
     tables.write_report(report, lake, DAY)
-    (part,) = Path(lake.report_day(DAY)).glob("part-*.json")
+    (part,) = Path(lake.gold).rglob("part-*.json")
     document = json.loads(part.read_text())
     assert len(document["results"]) == 48 and document["results"][0]["detail"] is None
     back = tables.read_report(spark, lake, DAY)
@@ -198,3 +201,97 @@ def test_a_cluster_must_name_a_shared_folder(master):
 def test_scratch_folders_have_a_scheme(master):
     assert scratch_folder(Session(master)).startswith("file:///")
     assert scratch_folder(Session(master, "/shared")).startswith("file:///shared/ledgerfall-")
+
+
+def broken(rows):
+    """The last transaction cannot be written."""
+    return rows.withColumn("currency", F.when(F.col("transaction_id") == rows.agg({"transaction_id": "max"}).first()[0], F.raise_error(F.lit("broken"))).otherwise(F.col("currency")))
+
+
+def test_a_failed_rerun_leaves_silver(spark, lake):
+    tables.write_silver(silver(spark, *(pos(i) for i in range(1000))), lake, DAY)
+    for mode in ("overwrite", "append"):
+        with pytest.raises(PySparkException):
+            tables.write_silver(broken(silver(spark, *(pos(i) for i in range(500)))), lake, DAY, mode)
+        assert tables.read_silver(spark, lake, DAY).count() == 1000
+    tables.write_silver(silver(spark, pos(1)), lake, DAY)
+    assert tables.read_silver(spark, lake, DAY).count() == 1
+
+
+@pytest.mark.parametrize("at", ["silver", "report", *GOLD, "publish"])
+def test_a_run_that_fails_anywhere_leaves_the_day(spark, lake, at, monkeypatch):
+    """All tables are of the first run, wherever the second one, of other rows, ends."""
+    store_fixture(spark, lake, fixture.identified_bronze)
+    daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    state = lambda: {
+        "silver": tables.read_silver(spark, lake, DAY).count(), "report": tables.read_report(spark, lake, DAY).first()["total_rows"],
+        **{name: sorted(map(tuple, tables.read_gold(spark, lake, name, DAY).collect()), key=str) for name in ("channel_adoption", "mcc_spend")},
+        **{f"n {name}": tables.read_gold(spark, lake, name, DAY).count() for name in GOLD},
+    }
+    before = state()
+    fixture.identified_bronze(spark, SF_DIR).limit(40).write.mode("overwrite").json(lake.bronze_day(DAY))
+
+    def fail(name, work):
+        def failing(*args, **kwargs):
+            if at in (name, *args):
+                raise OSError(at)
+            return work(*args, **kwargs)
+
+        return failing
+
+    for name, function in (("silver", "stage_silver"), ("report", "stage_report"), ("gold", "stage_gold")):
+        monkeypatch.setattr(tables, function, fail(name, getattr(tables, function)))
+    monkeypatch.setattr(releases, "publish", fail("publish", releases.publish))
+    with pytest.raises(OSError, match=at):
+        daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    assert state() == before
+    monkeypatch.undo()
+    daily.run_day(spark, lake, fixture.salt(spark), DAY)
+    assert state()["silver"] == state()["report"] == 40
+
+
+def test_releases_add_up(spark, lake):
+    for run, of, adds in (("a", ["silver", "report"], False), ("b", ["silver"], True), ("c", ["report"], False)):
+        releases.publish(spark, lake, DAY, run, of, adds)
+    assert releases.current(spark, lake, DAY) == {"silver": ["a", "b"], "report": ["c"]}
+    assert releases.current(spark, lake, NEXT_DAY) == {}
+    releases.publish(spark, lake, DAY, "d", ["silver"])
+    assert releases.current(spark, lake, DAY)["silver"] == ["d"]
+    assert releases.superseded(spark, lake, DAY) == {"silver": ["a", "b"], "report": ["a"]}
+
+
+def test_a_release_that_was_not_committed_is_none(spark, lake):
+    releases.publish(spark, lake, DAY, "a", ["silver"])
+    folder = Path(lake.releases_day(DAY), "release=00000002/run=b/how=replace/of=silver")
+    (folder / "_temporary" / "0").mkdir(parents=True)
+    (folder / "_temporary" / "0" / "part-0").write_text("b")
+    assert releases.current(spark, lake, DAY) == {"silver": ["a"]}
+
+
+def test_a_lake_without_releases_is_read(spark, lake):
+    silver(spark, pos(1), pos(2)).write.parquet(lake.silver_day(DAY))
+    assert tables.read_silver(spark, lake, DAY).count() == 2
+    tables.write_silver(silver(spark, pos(1)), lake, DAY)
+    assert tables.read_silver(spark, lake, DAY).count() == 1
+
+
+def test_files_that_disagree_on_a_type(spark, lake):
+    """A file that another writer has put into the day, with ages as text, one of them no number."""
+    silver(spark, pos(1), pos(2, age=30)).write.parquet(lake.silver_day(DAY))
+    text = silver(spark, pos(3), pos(4)).withColumn("age", F.when(F.col("transaction_id") == pos(4)["transaction_id"], "x").otherwise("41"))
+    text.withColumn("extra", F.lit(1.5)).write.mode("append").parquet(lake.silver_day(DAY))
+    failed = validation.results(daily.validate_silver(spark, lake, DAY)).where("NOT passed").collect()
+    assert [(r["check"], r["detail"]) for r in failed] == [
+        ("age is never null", "1 null rows"),
+        ("column set matches expected schema", "extra: ['extra'] several types: ['age: int, string']"),
+    ]
+    whole = footers.read_all(spark, [lake.silver_day(DAY)])
+    assert whole.columns == [*SILVER_COLUMNS, "extra"] and whole.count() == 4
+    assert sorted(str(r["age"]) for r in whole.collect()) == sorted(["30", "41", "None", str(pos(1)["age"])])
+
+
+def test_catalogue_of_other_writers(spark, tmp_path):
+    table = pa.table({"a b": pa.array([1], pa.int32()), "d": pa.array([None], pa.decimal128(9, 2)), "t": pa.array(["x"])})
+    pq.write_table(table, tmp_path / "one file.parquet")
+    rows = footers.catalogue(spark, [str(tmp_path)]).collect()
+    assert {(r["column"], r["type"]) for r in rows} == {("a b", "int"), ("d", "decimal(9, 2)"), ("t", "string")}
