@@ -61,6 +61,11 @@ def _subcent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir).withColumn("amount", F.col("amount") / 3)
 
 
+def _large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver with amounts of up to 10**16, of the size that the gate lets pass."""
+    return _silver(spark, sf_dir).withColumn("amount", F.rint(F.col("amount") * 1e13))
+
+
 def _unreal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver of Bronze in which failed transactions have amounts that are no numbers or no money."""
     kinds = F.array(*map(F.lit, ("NaN", "Infinity", "-Infinity", "1e400", "1e30")))
@@ -94,8 +99,8 @@ def _stored_form(name: str, rows: DataFrame) -> DataFrame:
     return gold.with_run_date(gold.arrange(name, gold.build(name, rows)), DAY)
 
 
-def _on_gold(name: str, work: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_facts(lambda rows: work(gold.build(name, rows)))
+def _on_gold(name: str, work: Callable[[DataFrame], DataFrame], source: Query | None = None) -> Query:
+    return _on_facts(lambda rows: work(gold.build(name, rows)), source=source)
 
 
 def _in_order(rows: DataFrame) -> DataFrame:
@@ -450,6 +455,15 @@ def queries() -> dict[str, Query]:
         "net_movement_histogram": _on_gold("client_financial_activity", insights.net_movement_histogram),
         "reversal_exposure": _on_gold("client_financial_activity", insights.reversal_exposure),
         "client_summary": _on_gold("client_financial_activity", insights.client_summary),
+        "large_amount_activity": _on_gold(
+            "client_financial_activity",
+            lambda clients: clients.select(
+                "account_number", *(F.round(c).cast("bigint").alias(c) for c in ("total_debited", "total_credited", "net_movement"))
+            ),
+            _large,
+        ),
+        "large_amount_histogram": _on_gold("client_financial_activity", insights.net_movement_histogram, _large),
+        "large_amount_summary": _on_gold("client_financial_activity", insights.client_summary, _large),
         "status_mix": _on_gold("reversal_rates", insights.status_mix),
         "failure_and_reversal_rates": _on_gold("reversal_rates", insights.failure_and_reversal_rates),
         "volume_by_hour": _on_gold("time_of_day", insights.volume_by_hour),

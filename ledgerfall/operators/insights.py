@@ -81,15 +81,15 @@ def failure_rate_by_channel(channels: DataFrame) -> DataFrame:
 
 
 def _net_cents() -> Column:
-    return money.cents(F.col("net_movement"))
+    return money.wide_cents(F.col("net_movement"))
 
 
 def net_movement_histogram(clients: DataFrame, bins: int = V.HISTOGRAM_BINS) -> DataFrame:
     """Clients by net movement, in bins of equal width from lowest to highest.
 
     The last bin includes its upper end.  If all values are equal the range is
-    one unit around them.  Worked out in whole cents, so bin limits are exact.
-    The limits are one row, used as scalars.
+    one unit around them.  Worked out in whole cents, of any size, so bin limits are
+    exact.  The limits are one row, used as scalars.
     """
     cents = clients.select(_net_cents().alias("c")).where("c IS NOT NULL")
     ends = cents.agg(F.min("c").alias("low"), F.max("c").alias("high"))
@@ -98,6 +98,12 @@ def net_movement_histogram(clients: DataFrame, bins: int = V.HISTOGRAM_BINS) ->
     low, high = span["low"], span["high"]
     width = high - low
     position = F.call_function("div", (F.col("c") - low) * bins, width)
+
+    def limit(step: Column) -> Column:
+        """As doubles where they are exact, else as decimals, whose quotients have six digits after the point."""
+        whole = low * bins + width * step
+        return F.when(F.abs(whole) < 1 << 53, whole.cast("double") / (100 * bins)).otherwise((whole / (100 * bins)).cast("double"))
+
     binned = cents.select(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"), F.lit(1).alias("client"))
     return (
         _with_scale(binned, "bin", range(bins))
@@ -105,8 +111,8 @@ def net_movement_histogram(clients: DataFrame, bins: int = V.HISTOGRAM_BINS) ->
         .agg(F.count("client").alias("clients"))
         .select(
             "bin",
-            ((low * bins + width * F.col("bin")) / (100 * bins)).alias("lower"),
-            ((low * bins + width * (F.col("bin") + 1)) / (100 * bins)).alias("upper"),
+            limit(F.col("bin")).alias("lower"),
+            limit(F.col("bin") + 1).alias("upper"),
             "clients",
         )
         .orderBy("bin")
@@ -129,14 +135,35 @@ def reversal_exposure(clients: DataFrame) -> DataFrame:
     )
 
 
-# Cents of less than 10**18 are below 2**60 in size.  Adding 2**60 makes them
-# 61-bit numbers without sign, in the same order.
+# Amounts in whole cents are zero or at least 2**-7 in size, and less than 2**100.  With
+# 52 bits of fraction and their exponent as the bits before, they are numbers below
+# 2**59 in the same order.  Adding 2**60 makes them 61-bit numbers without sign.
+_FRACTION, _EXPONENT = 52, 8
 _OFFSET = 1 << 60
 _SHIFTS = (42, 21, 0)
 
 
-def _median_cents(values: DataFrame) -> DataFrame:
-    """One row ``low, high``: the two middle values of column ``c``, exactly.
+def _ordered(amount: Column) -> Column:
+    """A whole number for a double in whole cents, in the order of the doubles; powers of two are exact."""
+    size = F.abs(amount)
+    rough = F.floor(F.log2(size))
+    # A logarithm next to a whole number may be rounded to it.
+    exponent = rough + F.when(size < F.pow(F.lit(2.0), rough), -1).when(size >= F.pow(F.lit(2.0), rough + 1), 1).otherwise(0)
+    fraction = (size / F.pow(F.lit(2.0), exponent) * (1 << _FRACTION)).cast("bigint") - (1 << _FRACTION)
+    key = F.shiftleft((exponent + _EXPONENT).cast("bigint"), _FRACTION) + fraction
+    return F.when(amount == 0, F.lit(0).cast("bigint")).when(amount < 0, -key).otherwise(key)
+
+
+def _amount_of(key: Column) -> Column:
+    """The double, as an exact decimal in cents, that ``_ordered`` gives the number for."""
+    size = F.abs(key)
+    fraction = size.bitwiseAND(F.lit((1 << _FRACTION) - 1)) + (1 << _FRACTION)
+    value = fraction.cast("double") / (1 << _FRACTION) * F.pow(F.lit(2.0), F.shiftright(size, _FRACTION) - _EXPONENT)
+    return F.when(key == 0, 0.0).when(key < 0, -value).otherwise(value).cast("decimal(32,2)")
+
+
+def _middle_keys(values: DataFrame) -> DataFrame:
+    """One row ``low, high``: the two middle values of column ``c``, whole numbers of under 2**60 in size, exactly.
 
     Selection from the highest bits down, as in a radix sort: count the values by
     their leading bits, find the prefixes that hold the middle ranks, go on with
@@ -183,8 +210,9 @@ def _median_cents(values: DataFrame) -> DataFrame:
 
 def client_summary(clients: DataFrame) -> DataFrame:
     """One row: clients, mean transactions, median net movement, clients with reversals."""
-    movements = clients.select(_net_cents().alias("c")).where("c IS NOT NULL")
-    median = _median_cents(movements).select((F.col("low") + F.col("high")) / 200).scalar()
+    movements = clients.select(_ordered(F.col("net_movement")).alias("c")).where("c IS NOT NULL")
+    middle = _middle_keys(movements)
+    median = middle.select(((_amount_of(F.col("low")) + _amount_of(F.col("high"))) / 2).cast("double")).scalar()
     return clients.agg(
         F.count("*").alias("total_clients"),
         F.avg("total_transactions").alias("avg_transactions"),

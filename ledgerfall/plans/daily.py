@@ -1,6 +1,6 @@
 """One day, from raw files to Gold tables."""
 
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from datetime import date
 
 from pyspark import inheritable_thread_target
@@ -39,19 +39,30 @@ def validate_silver(spark: SparkSession, lake: Lakehouse, run_date: date, run: s
 def _stage_gold(spark: SparkSession, lake: Lakehouse, silver: DataFrame, run_date: date, tz: str | None, run: str) -> dict[str, int]:
     """All Gold tables of a run; rows written per table.
 
-    Every table scans the columns it needs of Silver: keeping the rows of a day in
-    memory or on executor disks for eight passes would cost more than reading a
-    few columns again, and would be lost with an executor.  The tables do not
-    depend on each other, so their jobs are submitted together and fill the
-    cluster while the last tasks of others run.
+    Three tables are made of one small grouping that is stored first, so they cost one
+    scan.  The others scan the columns they need of Silver: keeping the rows of a day in
+    memory or on executor disks for them would cost more than reading a few columns
+    again, and would be lost with an executor.  The tables do not depend on each
+    other, so their jobs are submitted together and fill the cluster while the last
+    tasks of others run.
     """
     rows = X.facts(silver, tz)
+    shared: Future[DataFrame] = Future()
 
     @inheritable_thread_target(spark)
     def store(name: str) -> int:
-        return tables.stage_gold(gold.build(name, rows), lake, name, run_date, run)
+        source = shared.result() if name in gold.FROM_CUBE else rows
+        return tables.stage_gold(gold.build(name, source), lake, name, run_date, run)
 
-    with ThreadPoolExecutor(len(gold.TABLES)) as pool:
+    @inheritable_thread_target(spark)
+    def share() -> None:
+        try:
+            shared.set_result(tables.stored(gold.cube(rows), lake.gold_day("_cube", run_date, run)))
+        except BaseException as error:  # noqa: BLE001 - for the tables that wait for it
+            shared.set_exception(error)
+
+    with ThreadPoolExecutor(len(gold.TABLES) + 1) as pool:
+        pool.submit(share)
         return dict(zip(gold.TABLES, pool.map(store, gold.TABLES)))
 
 

@@ -2,12 +2,12 @@
 
 A run writes its tables into folders of its own, so nothing that can be read is ever
 overwritten.  One published release then says for some tables of the day which run
-they are of; it appears at once or not at all, as the single file of a committed
-job.  A run that fails has published nothing: readers go on with the release before,
-and the run's folders are never looked at.
+they are of.  A release is an empty file, and what it says is its name: it is there or not,
+never half.  A run that fails has published nothing: readers go on with the release
+before, and the run's folders are never looked at.
 
-What a release says is in the path of its file, so finding a day's tables is a listing
-of the releases' folder and no job.
+Finding a day's tables is a listing of one small folder, and no job.  The files are made
+and listed through the file systems that the session has.
 """
 
 import re
@@ -15,33 +15,35 @@ from collections.abc import Iterable
 from datetime import date
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
+from py4j.java_gateway import JavaObject
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from ledgerfall.sources.layout import Lakehouse
 
-RELEASE = re.compile(r"/release=(\d+)/run=(\w+)/how=(replace|append)/of=([\w+]+)/[^/]+$")
+#: Number, what it does to the runs before, tables, run.
+RELEASE = re.compile(r"(\d+)\.(replace|append)\.([\w+]+)\.(\w+)")
 
 
 def new_run() -> str:
     return uuid4().hex
 
 
+def _folder(spark: SparkSession, lake: Lakehouse, run_date: date) -> tuple[JavaObject, JavaObject]:
+    path = spark._jvm.org.apache.hadoop.fs.Path(lake.releases_day(run_date))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
 def history(spark: SparkSession, lake: Lakehouse, run_date: date) -> list[tuple[int, str, bool, list[str]]]:
     """The day's releases in order: number, run, whether it adds to what there is, tables.
 
     Of releases with one number, published by two runs at a time, the later one is
     that with the larger run.
     """
-    try:
-        files = spark.read.format("text").load(lake.releases_day(run_date)).inputFiles()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    store, folder = _folder(spark, lake, run_date)
+    if not store.exists(folder):
         return []
-    found = (RELEASE.search(file) for file in files)
-    return sorted((int(m[1]), m[2], m[3] == "append", m[4].split("+")) for m in found if m)
+    found = (RELEASE.fullmatch(file.getPath().getName()) for file in store.listStatus(folder))
+    return sorted((int(m[1]), m[4], m[2] == "append", m[3].split("+")) for m in found if m)
 
 
 def current(spark: SparkSession, lake: Lakehouse, run_date: date) -> dict[str, list[str]]:
@@ -56,9 +58,10 @@ def current(spark: SparkSession, lake: Lakehouse, run_date: date) -> dict[str, l
 def publish(spark: SparkSession, lake: Lakehouse, run_date: date, run: str, tables: Iterable[str], adds: bool = False) -> None:
     """From now on the tables are those of the run, all at once; or, if it ``adds``, of it and the runs before."""
     number = max((release[0] for release in history(spark, lake, run_date)), default=0) + 1
-    how = "append" if adds else "replace"
-    folder = f"{lake.releases_day(run_date)}/release={number:08d}/run={run}/how={how}/of={'+'.join(tables)}"
-    spark.range(0, 1, 1, 1).select(F.lit(run).alias("value")).write.text(folder)
+    store, folder = _folder(spark, lake, run_date)
+    store.mkdirs(folder)
+    name = f"{number:08d}.{'append' if adds else 'replace'}.{'+'.join(tables)}.{run}"
+    store.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(folder, name))
 
 
 def superseded(spark: SparkSession, lake: Lakehouse, run_date: date) -> dict[str, list[str]]:

@@ -91,6 +91,12 @@ def read_gold(spark: SparkSession, lake: Lakehouse, name: str, run_date: date) -
     return with_run_date(spark.read.schema(GOLD[name]).parquet(*folders), run_date)
 
 
+def stored(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows that several tables are made of, written once and read back."""
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def stage_report(report: DataFrame, lake: Lakehouse, run_date: date, run: str) -> None:
     report.write.option("ignoreNullFields", "false").json(lake.report_day(run_date, run))
 

@@ -197,14 +197,15 @@ def _with(select: str, *needed: str) -> str:
         "damaged": DAMAGED_SQL,
         "empty": "SELECT * FROM silver WHERE false",
         "subcent": "SELECT * REPLACE (amount/3 AS amount) FROM silver",
+        "large": "SELECT * REPLACE (round(amount*1e13) AS amount) FROM silver",
         "unreal": "SELECT * REPLACE (CASE WHEN status <> 'FAILED' THEN amount END AS amount) FROM silver",
-        **{f"{kind}_priced": PRICED.replace("FROM silver", f"FROM {kind}") for kind in ("subcent", "unreal")},
+        **{f"{kind}_priced": PRICED.replace("FROM silver", f"FROM {kind}") for kind in ("subcent", "large", "unreal")},
         "priced": PRICED,
         "clean_priced": PRICED.replace("FROM silver", "FROM clean_silver"),
         **GOLD,
         **{f"clean_{name}": sql.replace("FROM priced", "FROM clean_priced") for name, sql in GOLD.items()},
         "checks": _checks("silver"),
-        **{f"{kind}_{name}": sql.replace("FROM priced", f"FROM {kind}_priced") for kind in ("subcent", "unreal") for name, sql in GOLD.items()},
+        **{f"{kind}_{name}": sql.replace("FROM priced", f"FROM {kind}_priced") for kind in ("subcent", "large", "unreal") for name, sql in GOLD.items()},
         "damaged_checks": _checks("damaged"),
         "unreal_checks": _checks("unreal"),
         "empty_checks": _checks("empty"),
@@ -290,6 +291,16 @@ SELECT bin, (lo*40 + (hi-lo)*bin)/4000.0 AS lower, (lo*40 + (hi-lo)*(bin+1))/400
 FROM bins, ends
 """
 
+# All movements are multiples of 10**11 here, 10**13 cents, so limits are whole numbers.
+LARGE_HISTOGRAM = """
+WITH n AS (SELECT CAST(round(net_movement/1e11) AS BIGINT) AS c FROM large_client_financial_activity),
+ends AS (SELECT min(c) AS lo, max(c) AS hi FROM n),
+bins AS (SELECT CAST(unnest(range(40)) AS INTEGER) AS bin)
+SELECT bin, CAST((lo*40 + (hi-lo)*bin)*2500000000 AS DOUBLE) AS lower, CAST((lo*40 + (hi-lo)*(bin+1))*2500000000 AS DOUBLE) AS upper,
+  (SELECT count(*) FROM n WHERE (c-lo)*40 >= bin*(hi-lo) AND ((c-lo)*40 < (bin+1)*(hi-lo) OR (bin = 39 AND c = hi))) AS clients
+FROM bins, ends
+"""
+
 MEDIAN = """
 SELECT count(*) AS total_clients, avg(total_transactions) AS avg_transactions,
   (SELECT (CAST(sum(c) FILTER (WHERE r = (n+1)//2) AS BIGINT) + CAST(sum(c) FILTER (WHERE r = n//2+1) AS BIGINT))/200.0 FROM
@@ -408,6 +419,15 @@ UNION ALL VALUES ('age', 'int'), ('amount', 'double'), ('running_balance', 'doub
         "(SELECT CASE WHEN reversal_count > 0 THEN 'Has Reversals' ELSE 'No Reversals' END AS exposure, count(*) AS n "
         "FROM client_financial_activity GROUP BY 1)"),
     "client_summary": _on("client_financial_activity", MEDIAN),
+    "large_amount_activity": _with(
+        "SELECT account_number, " + ", ".join(f"CAST(round({c}) AS BIGINT) AS {c}" for c in ("total_debited", "total_credited", "net_movement"))
+        + " FROM large_client_financial_activity",
+        *BASE, "large", "large_priced", "large_client_financial_activity"),
+    "large_amount_histogram": _with(
+        f"SELECT * FROM ({LARGE_HISTOGRAM})", *BASE, "large", "large_priced", "large_client_financial_activity"),
+    "large_amount_summary": _with(
+        f"SELECT * FROM ({MEDIAN.replace('BIGINT', 'HUGEINT').replace('FROM client', 'FROM large_client')})",
+        *BASE, "large", "large_priced", "large_client_financial_activity"),
     "status_mix": _on("reversal_rates", _cross(
         "reversal_rates", "transaction_category", "status", STATUSES, "rate")),
     "failure_and_reversal_rates": _on("reversal_rates", _cross(

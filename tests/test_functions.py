@@ -1,6 +1,7 @@
 """Identity numbers, pseudonyms, bands, hours and money."""
 
 import hashlib
+import random
 from datetime import date
 
 import pytest
@@ -138,3 +139,24 @@ def test_salt_of_a_secret(spark):
         salt = spark.createDataFrame([(secret,)], "value string")
         row = spark.range(1).select(identity.salt_value(salt).alias("s")).first()
         assert row["s"] == "pepper"
+
+
+def test_totals_in_lanes_are_exact(spark):
+    """Against decimals: of every size, with many digits, negative, null, in groups."""
+    choose = random.Random(3)
+    sizes = [10 ** choose.uniform(-7, 17.9) for _ in range(400)]
+    values = [choose.choice((1, -1)) * (round(v, 2) if i % 2 else v) for i, v in enumerate(sizes)]
+    values += [None, 0.0, -0.0, 1e-7, 5e-7, 0.0000005, 1.0000005, 999999999.999999, -999999999.999999, 1e9, 9.99e17, -9.99e17, 0.1]
+    df = spark.createDataFrame([(i % 7, v) for i, v in enumerate(values)], "g int, amount double")
+    exact = df.groupBy("g").agg(F.sum(money.exact(F.col("amount"))).alias("total"))
+    lanes = money.in_lanes(df).groupBy("g").agg(money.total().alias("total"))
+    assert sorted(map(tuple, lanes.collect())) == sorted(map(tuple, exact.collect()))
+    assert lanes.schema["total"].dataType == exact.schema["total"].dataType
+    none = money.in_lanes(df.where("amount IS NULL")).agg(money.total().alias("t")).first()
+    assert none["t"] is None
+
+
+def test_a_mean_beyond_whole_numbers(spark):
+    df = spark.createDataFrame([(9.9e17,), (9.7e17,), (None,)], "amount double").selectExpr("*", "CAST(amount IS NOT NULL AS BIGINT) AS priced")
+    got = money.in_lanes(df).agg(money.mean(money.total(), F.sum("priced")).alias("m")).first()["m"]
+    assert got == 9.8e17

@@ -2,6 +2,7 @@
 
 import random
 import statistics
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -144,3 +145,26 @@ def test_accounts_by_currency_adds_bands(spark):
     assert [tuple(r) for r in insights.accounts_by_currency(currency).collect()] == [("EUR", 9), ("USD", 5)]
     cells = {r["age_band"]: r.asDict() for r in insights.amount_by_band_and_currency(currency).collect()}
     assert cells["65+"]["EUR"] == 1.0 and cells["18-24"]["EUR"] == 0.0 and len(cells) == 6
+
+
+def movements(spark, *values):
+    rows = [(str(i), float(v), 3, i % 2) for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "account_number string, net_movement double, total_transactions long, reversal_count long")
+
+
+@pytest.mark.parametrize("count", [1, 2, 7, 40])
+def test_median_of_amounts_of_any_size(spark, count):
+    choose = random.Random(count)
+    values = [0.0, -0.01, 0.01, 0.07, 1e28, -1e28, 2.0**60, 2.0**53 - 1, 8.0, 7.99, 1234567.89]
+    values += [round(choose.choice((-1, 1)) * 10 ** choose.uniform(-2, 27), 2) for _ in range(60)]
+    values = choose.sample(values, count)
+    ordered = sorted(Decimal(repr(v)) for v in values)
+    want = float((ordered[(count - 1) // 2] + ordered[count // 2]) / 2)
+    assert insights.client_summary(movements(spark, *values)).first()["median_net_movement"] == want
+
+
+def test_histogram_of_amounts_of_any_size(spark):
+    values = [-1e27, -5e26, 0.0, 3e26, 1e27, 1e27]
+    rows = insights.net_movement_histogram(movements(spark, *values), 4).collect()
+    assert [r["clients"] for r in rows] == [1, 1, 2, 2]
+    assert (rows[0]["lower"], rows[3]["upper"], rows[2]["lower"]) == (-1e27, 1e27, 0.0)

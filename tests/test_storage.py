@@ -260,11 +260,9 @@ def test_releases_add_up(spark, lake):
     assert releases.superseded(spark, lake, DAY) == {"silver": ["a", "b"], "report": ["a"]}
 
 
-def test_a_release_that_was_not_committed_is_none(spark, lake):
+def test_other_files_are_no_releases(spark, lake):
     releases.publish(spark, lake, DAY, "a", ["silver"])
-    folder = Path(lake.releases_day(DAY), "release=00000002/run=b/how=replace/of=silver")
-    (folder / "_temporary" / "0").mkdir(parents=True)
-    (folder / "_temporary" / "0" / "part-0").write_text("b")
+    (Path(lake.releases_day(DAY)) / "_notes.txt").write_text("b")
     assert releases.current(spark, lake, DAY) == {"silver": ["a"]}
 
 
