@@ -458,7 +458,7 @@ def queries() -> dict[str, Query]:
         "large_amount_activity": _on_gold(
             "client_financial_activity",
             lambda clients: clients.select(
-                "account_number", *(F.round(c).cast("bigint").alias(c) for c in ("total_debited", "total_credited", "net_movement"))
+                "account_number", *(F.round(F.col(c) / 1e6).cast("bigint").alias(c) for c in ("total_debited", "total_credited", "net_movement"))
             ),
             _large,
         ),

@@ -420,7 +420,7 @@ UNION ALL VALUES ('age', 'int'), ('amount', 'double'), ('running_balance', 'doub
         "FROM client_financial_activity GROUP BY 1)"),
     "client_summary": _on("client_financial_activity", MEDIAN),
     "large_amount_activity": _with(
-        "SELECT account_number, " + ", ".join(f"CAST(round({c}) AS BIGINT) AS {c}" for c in ("total_debited", "total_credited", "net_movement"))
+        "SELECT account_number, " + ", ".join(f"CAST(round({c}/1e6) AS BIGINT) AS {c}" for c in ("total_debited", "total_credited", "net_movement"))
         + " FROM large_client_financial_activity",
         *BASE, "large", "large_priced", "large_client_financial_activity"),
     "large_amount_histogram": _with(
