@@ -20,6 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from ledgerfall import fixture  # noqa: E402
 from ledgerfall import vocabulary as V  # noqa: E402
 from ledgerfall.functions import banding, identity, money  # noqa: E402
+from ledgerfall.operators import account_sets as sets  # noqa: E402
 from ledgerfall.operators import facts as X  # noqa: E402
 from ledgerfall.operators import gold, insights, minimise, rules, validation  # noqa: E402
 from ledgerfall.plans import daily  # noqa: E402
@@ -321,6 +322,46 @@ def daily_run_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_gold(spark, lake, "client_financial_activity", DAY)
 
 
+# Sets of accounts
+
+
+def _store(rows: DataFrame) -> DataFrame:
+    return tables.stored(rows, f"{scratch_folder(rows.sparkSession)}/rows")
+
+
+def _two_days(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    silver = _silver(spark, sf_dir)
+    second = F.crc32("transaction_id") % 2 == 1
+    return [silver.where(~second), silver.where(second)]
+
+
+def _sets_of_days(days: list[DataFrame], *keys: str) -> list[DataFrame]:
+    """Each day's sets as stored; the dictionary grows by the day's new accounts first."""
+    dictionary, stored = None, []
+    for day in days:
+        dictionary = sets.extended(dictionary, day, _store)
+        stored.append(_store(sets.account_sets(day, dictionary, *keys)))
+    return stored
+
+
+def channel_accounts_from_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts per channel and category of one day, from its bitmaps."""
+    keys = ("channel", "transaction_category")
+    return sets.counted(*_sets_of_days([_silver(spark, sf_dir)], *keys), *keys)
+
+
+def channel_accounts_of_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts per channel over both days and all categories, from each day's bitmaps by channel and category."""
+    days = _sets_of_days(_two_days(spark, sf_dir), "channel", "transaction_category")
+    return sets.counted(sets.united(days, "channel"), "channel")
+
+
+def currency_accounts_of_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts per currency over both days and all age bands, none counted twice."""
+    days = [X.facts(gold.settled(day), UTC).where("transaction_category = 'SWIFT'") for day in _two_days(spark, sf_dir)]
+    return sets.counted(sets.united(_sets_of_days(days, "age_band", "currency"), "currency"), "currency")
+
+
 # Queries of one operator
 
 
@@ -475,6 +516,10 @@ def queries() -> dict[str, Query]:
         "level_merchant_categories_by_average": _on_dated_gold("mcc_spend", lambda mcc: insights.top_by_average_spend(_roughly(mcc))),
         "amount_by_band_and_currency": _on_gold("currency_by_age", insights.amount_by_band_and_currency),
         "accounts_by_currency": _on_gold("currency_by_age", insights.accounts_by_currency),
+        # sets of accounts that merge
+        "channel_accounts_from_sets": channel_accounts_from_sets,
+        "channel_accounts_of_two_days": channel_accounts_of_two_days,
+        "currency_accounts_of_two_days": currency_accounts_of_two_days,
         # analyses of the report
         "checks_by_category": _on_checks(insights.checks_by_category),
         "checks_by_outcome": _on_checks(insights.checks_by_outcome),

@@ -454,6 +454,13 @@ UNION ALL VALUES ('age', 'int'), ('amount', 'double'), ('running_balance', 'doub
         f"{BANDS} LEFT JOIN currency_by_age USING (age_band)", "age_band", "currency", CURRENCIES, "total_amount")),
     "accounts_by_currency": _on("currency_by_age",
         "SELECT currency, CAST(sum(unique_accounts) AS BIGINT) AS unique_accounts FROM currency_by_age GROUP BY currency"),
+    # sets of accounts that merge
+    "channel_accounts_from_sets": _with(
+        f"SELECT channel, transaction_category, {ACCOUNTS} AS unique_accounts FROM silver GROUP BY ALL", *BASE),
+    "channel_accounts_of_two_days": _with(f"SELECT channel, {ACCOUNTS} AS unique_accounts FROM silver GROUP BY ALL", *BASE),
+    "currency_accounts_of_two_days": _with(
+        f"SELECT currency, {ACCOUNTS} AS unique_accounts FROM silver WHERE {SETTLED} AND transaction_category = 'SWIFT' GROUP BY ALL",
+        *BASE),
     # analyses of the report
     "checks_by_category": _with(
         "SELECT category, count(*) FILTER (WHERE NOT passed) AS failed, count(*) FILTER (WHERE passed) AS passed "
