@@ -1,19 +1,25 @@
 """Main text of web pages by a tree-structured graphical model.
 
-Every block element of a page is a binary variable: content or not.  A node has
-evidence (its tag, its class and id words, how much text it holds itself and with
-its descendants, how much of it is links) and a potential with its parent.  Messages go
-from the leaves to the root and back; their product gives each block's marginal
-exactly.  Text of blocks above one half is the page's text, in page order.
-
-The tables behind evidence and potentials are counts from labelled pages.  Blocks
-are labelled by what a page says of itself: inside ``article`` or ``main``, inside
-``nav``, ``footer`` and so on, or by class words; evidence for these tags and words
-is learned with that of sizes and links, which speaks where a page says nothing.
+Every block element of a page is a variable with three states: a shell around other
+blocks, content, or matter set apart.  A node has evidence (what its tag and names say,
+how much text it holds itself and with its descendants, how much of it is links) and a
+potential with its parent.  Messages go from the leaves to the root and back; their
+product gives each block's marginals exactly.  Text of blocks that are content more
+likely than not is the page's text, in page order.
+
+What tags and names say are log odds like all evidence, counted on labelled pages on
+top of what is known beforehand of words such as ``comments`` or ``widget``; nothing but
+scripts, styles and the controls of forms is left out by rule.  A name around the page's
+content, or a loose name that most of its text bears, says nothing on that page.  Below
+a block that is firmly set apart, prose is no evidence, reader comments are prose too; and
+within ``article`` or ``main`` lists and short lines are none against it.
+Blocks of pages are labelled by their tags: inside ``article`` or ``main``, inside
+``nav``, ``footer`` and so on.
 """
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -57,42 +63,131 @@ CONTENT_TAGS = frozenset(("article", "main"))
 WHOLE_TAGS = frozenset(("html", "body", "article", "main"))
 OTHER_TAGS = frozenset(("nav", "footer", "aside", "header", "form", "menu", "dialog"))
 CONTENT_WORDS = frozenset("article content main post story entry body text".split())
-OTHER_WORDS = frozenset(
+LOOSE_WORDS = frozenset("alert header legal overlay rail search side tags toolbar widget widgets".split())
+FIRM_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
-    "disqus footer foot footnav header masthead menu menubar modal nav navbar navigation newsletter notice notices overlay "
-    "pager pagination popup promo promoted promotion related recommended respond reply replies rail share sharing sidebar "
-    "side skyscraper social sponsor sponsored subscribe tags toolbar topbar widget widgets disclaimer copyright legal "
-    "alert gdpr signup login search".split()
-)
-
-#: Log potential of what cannot be; and the weight of evidence, whose parts overlap.
-NEVER, TEMPER = -1000.0, 0.25
-#: Log odds that a block which calls itself the content is it.
-DECLARED = 10.0
-
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
+    "disqus footer foot footnav masthead menu menubar modal nav navbar navigation newsletter notice notices "
+    "pager pagination popup promo promoted promotion related recommended respond reply replies share sharing sidebar "
+    "skyscraper social sponsor sponsored subscribe topbar disclaimer copyright gdpr signup login".split()
 )
+OTHER_WORDS = FIRM_WORDS | LOOSE_WORDS
+
+#: States of a block.
+SHELL, CONTENT, APART = 0, 1, 2
+#: Log potential of what cannot be; the weight of evidence from text, whose parts overlap, and of what is said by names.
+NEVER, TEMPER, SAID = -1000.0, 0.25, 2.0
+#: Blocks that a word or tag is taken to have been seen on beforehand.
+FIRM, LOOSE, KNOWN_CONTENT = 400, 30, 20
+#: Log odds that a block which declares itself the content by its tag is it; and from where on it is firmly apart.
+DECLARED, FIRMLY = 10.0, -8.0
+#: Log potential of a shell's own text, and of the pairs parent, child.
+OWN_TEXT = -4.0
+EDGE = np.log(np.array([[0.5, 0.25, 0.25], [1e-4, 1.0, 1e-4], [1e-6, 1e-6, 1.0]]))
+#: Text that counts when a name is learned as one of content: so much of it, and so little of it links.
+PROSE_CHARS, PROSE_LINKS = 100, 0.3
+
+NAME_START = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+TAG_NAME = re.compile(r"[^\s/>]+")
+TAG_STEP = re.compile(r"[>=]")
+NOT_SPACE = re.compile(r"\S")
 NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "words", "own", "links", "below", "silent", "wraps")
+    __slots__ = ("tag", "parent", "names", "words", "own", "links", "below", "silent", "wraps", "inside")
 
-    def __init__(self, tag: str, parent: int, words: frozenset[str], silent: bool):
-        self.tag, self.parent, self.words, self.silent = tag, parent, words, silent
+    def __init__(self, tag: str, parent: int, names: tuple[tuple[str, ...], ...], silent: bool, inside: bool):
+        self.tag, self.parent, self.names, self.silent, self.inside = tag, parent, names, silent, inside
+        self.words = frozenset(word for name in names for word in name)
         self.own = self.links = self.below = 0
         self.wraps = False
 
 
-def _names(rest: str) -> frozenset[str]:
+def _names(rest: str) -> tuple[tuple[str, ...], ...]:
+    """The words of each name in class, id and role."""
     if "=" not in rest:
-        return frozenset()
+        return ()
     found = [a or b or c for a, b, c in NAMED.findall(rest)]
-    return frozenset(word.lower() for name in found for word in WORD.findall(name))
+    split = (tuple(word.lower() for word in WORD.findall(name)) for value in found for name in value.split())
+    return tuple(words for words in split if words)
+
+
+def _markup(page: str, at: int) -> tuple[int, str, str, str]:
+    """What begins with the ``<`` at a place: where it ends, its kind, and for tags their name and the rest.
+
+    Kinds are ``start``, ``end``, ``cdata`` (the rest is its text), ``none`` (comments and
+    the like) and ``text`` for a ``<`` that begins nothing.  Every character is looked at a
+    bounded number of times: what is not closed takes the rest of the page with it.
+    """
+    after = page[at + 1 : at + 2]
+    if after == "!" or after == "?":
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4 if not page.startswith("<!-->", at) else at + 2)
+            return (len(page) if end < 0 else end + 3), "none", "", ""
+        if page.startswith("<![CDATA[", at):
+            end = page.find("]]>", at + 9)
+            return (len(page), "none", "", "") if end < 0 else (end + 3, "cdata", "", page[at + 9 : end])
+        end = page.find(">", at + 2)
+        return (len(page) if end < 0 else end + 1), "none", "", ""
+    closing = after == "/"
+    start = at + 1 + closing
+    if page[start : start + 1] not in NAME_START or start >= len(page):
+        return at + 1, "text", "", ""
+    name = TAG_NAME.match(page, start)
+    here = name.end()
+    # A quote counts after an equals sign only, as in browsers.
+    while (step := TAG_STEP.search(page, here)) and step[0] == "=":
+        here = step.end()
+        value = NOT_SPACE.search(page, here)
+        if value and value[0] in "\"'":
+            here = page.find(value[0], value.end()) + 1
+            if not here:
+                return len(page), "none", "", ""
+    if not step:
+        return len(page), "none", "", ""
+    return step.end(), "end" if closing else "start", name[0].lower(), page[name.end() : step.start()]
+
+
+class _Open:
+    """Open elements, with what is asked of them kept up to date, so that no tag has to look through them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = []  # and the block that was current before
+        self.blocks: list[int] = []  # places of elements that are not inline
+        self.inline: list[dict[str, int]] = [{}]  # inline elements since each of these
+        self.scopes: list[dict[str, int]] = [{}]  # all elements since each one that list items and cells do not leave
+        self.count: dict[str, int] = {}
+        self.anchors = 0
+
+    def push(self, tag: str, before: int) -> None:
+        if tag in INLINE:
+            self.inline[-1][tag] = self.inline[-1].get(tag, 0) + 1
+        else:
+            self.blocks.append(len(self.stack))
+            self.inline.append({})
+        if tag in LIMITS:
+            self.scopes.append({})
+        else:
+            self.scopes[-1][tag] = self.scopes[-1].get(tag, 0) + 1
+        self.count[tag] = self.count.get(tag, 0) + 1
+        self.stack.append((tag, before))
+        self.anchors += tag == "a"
+
+    def pop(self) -> tuple[str, int]:
+        tag, before = self.stack.pop()
+        if tag in INLINE:
+            self.inline[-1][tag] -= 1
+        else:
+            self.blocks.pop()
+            self.inline.pop()
+        if tag in LIMITS:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        self.count[tag] -= 1
+        self.anchors -= tag == "a"
+        return tag, before
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -100,12 +195,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
     Inline elements belong to their block; an inline element whose names speak of
     other matter is a block of its own.  A break inside a block parts its text.
-    Missing and stray end tags are put up with as browsers do.
+    Missing and stray end tags are put up with as browsers do.  Takes time in
+    proportion to the page, however broken it is.
     """
-    nodes = [Node("html", -1, frozenset(), False)]
+    nodes = [Node("html", -1, (), False, False)]
     runs: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []  # open elements and the block that was current before
-    at, current, anchors = 0, 0, 0
+    open_ = _Open()
+    current = 0
 
     def text(raw: str) -> None:
         node = nodes[current]
@@ -116,70 +212,56 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         size = len(plain) - plain.count(" ")
         if not plain.isspace():
             node.own += size
-            if anchors:
+            if open_.anchors:
                 node.links += size
 
-    def close(depth: int) -> None:
-        nonlocal current, anchors
-        while len(stack) > depth:
-            tag, before = stack.pop()
-            if tag == "a":
-                anchors -= 1
-            current = before
+    def leave(*tags: str) -> None:
+        """Closes elements up to the last open one of these."""
+        nonlocal current
+        while True:
+            tag, current = open_.pop()
+            if tag in tags:
+                return
 
-    size = len(page)
+    at, size = 0, len(page)
     while at < size:
-        m = TOKEN.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             text(page[at:])
             break
-        text(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
-            if m["cdata"]:
-                text(html.escape(m["cdata"]))
-            continue
-        tag = tag.lower()
-        if m["end"]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    close(depth)
-                    break
-                if tag in INLINE and stack[depth][0] not in INLINE:
-                    break
+        text(page[at:start])
+        at, kind, tag, rest = _markup(page, start)
+        if kind == "text":
+            text("<")
+        elif kind == "cdata":
+            text(html.escape(rest))
+        elif kind == "end":
+            if (open_.inline[-1] if tag in INLINE else open_.count).get(tag):
+                leave(tag)
             if tag not in INLINE:
                 runs.append((current, " "))
+        if kind != "start":
             continue
         if tag == "br" or tag == "hr":
             runs.append((current, " "))
         if tag in VOID:
             continue
-        if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == "p":
-                    close(depth)
-                    break
-                if stack[depth][0] not in INLINE:
-                    break
+        if tag in CLOSES_P and open_.blocks and open_.stack[open_.blocks[-1]][0] == "p":
+            leave("p")
         if tag in SIBLINGS:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in SIBLINGS[tag]:
-                    close(depth)
-                elif stack[depth][0] in LIMITS:
-                    break
-        names = _names(m["rest"])
-        stack.append((tag, current))
-        if tag == "a":
-            anchors += 1
-        if tag not in INLINE or names & OTHER_WORDS:
-            silent = nodes[current].silent or tag in SILENT
-            nodes.append(Node(tag, current, names, silent))
+            while any(open_.scopes[-1].get(other) for other in SIBLINGS[tag]):
+                leave(*SIBLINGS[tag])
+        names = _names(rest)
+        open_.push(tag, current)
+        if tag not in INLINE or any(word in OTHER_WORDS for name in names for word in name):
+            above = nodes[current]
+            inside = above.inside or above.tag in CONTENT_TAGS
+            nodes.append(Node(tag, current, names, above.silent or tag in SILENT, inside))
             current = len(nodes) - 1
             if tag not in INLINE:
                 runs.append((current, " "))
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+            end = _raw_end(tag).search(page, at)
             at = end.start() if end else size
     for i in range(len(nodes) - 1, -1, -1):
         node = nodes[i]
@@ -190,18 +272,23 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     return nodes, runs
 
 
+@functools.cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I)
+
+
 def _find_wrappers(nodes: list[Node]) -> None:
     """Marks the blocks around the page's content: they are not set apart, whatever they are called.
 
     The content is the largest block that a tag or, without one, a name declares as
     such; where nothing is declared, whatever holds most of the page's text.
     """
-    if not any(says_other(node) for node in nodes):
+    if not any(_set_apart(node) for node in nodes):
         return
     tagged = [i for i, node in enumerate(nodes) if node.tag in CONTENT_TAGS and node.below]
     named = [
         i for i, node in enumerate(nodes)
-        if node.words & CONTENT_WORDS and node.tag not in ("html", "body") and not says_other(node) and node.below
+        if node.words & CONTENT_WORDS and node.tag not in ("html", "body") and not _set_apart(node) and node.below
     ]
     declared = tagged or named
     if declared:
@@ -215,28 +302,50 @@ def _find_wrappers(nodes: list[Node]) -> None:
             node.wraps = 2 * node.below > nodes[0].below
 
 
-def says_other(node: Node) -> bool:
-    """Whether the page itself sets a block apart: no evidence outweighs that."""
-    if node.wraps and not node.silent:
-        return False
-    named = node.words & OTHER_WORDS and not node.words & CONTENT_WORDS
-    return node.silent or node.tag in OTHER_TAGS or bool(named) and node.tag not in WHOLE_TAGS
+def _set_apart(node: Node) -> bool:
+    """Whether a tag or name speaks of other matter, before anything is weighed."""
+    return node.silent or node.tag in OTHER_TAGS or any(_head(name) in OTHER_WORDS for name in node.names)
+
+
+def _head(name: tuple[str, ...]) -> str | None:
+    """The word that a name is taken by: of one with words of both kinds the last, else that of other matter, firm first."""
+    if any(word in CONTENT_WORDS for word in name):
+        return name[-1]
+    return next((word for words in (FIRM_WORDS, LOOSE_WORDS) for word in name if word in words), name[-1])
+
+
+def features_said(node: Node) -> list[str]:
+    """What a block is called: its tag, and the word of each of its names."""
+    tag = f"tag {node.tag}" + (" inside" if node.tag == "header" and node.inside else "")
+    named = () if node.tag in WHOLE_TAGS else sorted({f"word {_head(name)}" for name in node.names})
+    return [tag, *named]
+
+
+#: What is known of tags and words beforehand: blocks of content and blocks apart that they were seen on.
+KNOWN = {
+    **{f"word {word}": (0, FIRM) for word in FIRM_WORDS},
+    **{f"word {word}": (0, LOOSE) for word in LOOSE_WORDS},
+    **{f"word {word}": (KNOWN_CONTENT, 0) for word in CONTENT_WORDS},
+    **{f"tag {tag}": (0, FIRM) for tag in OTHER_TAGS},
+    "tag header inside": (LOOSE, 0),
+}
+#: Tags that say something; of others only what they hold counts.
+TELLING = frozenset(f"tag {tag}" for tag in OTHER_TAGS) | {"tag header inside"}
 
 
 def labels(nodes: list[Node]) -> list[int]:
-    """1 inside content, 0 inside other matter, -1 where the page says nothing.
+    """1 inside content, 0 inside other matter, -1 where tags say nothing.
 
     Other matter inside content is other matter, not the other way round.
     """
     found: list[int] = []
     for node in nodes:
         above = found[node.parent] if node.parent >= 0 else -1
-        if above == 0 or says_other(node):
+        apart = (node.tag in OTHER_TAGS and not (node.tag == "header" and node.inside)) and not node.wraps
+        if above == 0 or node.silent or apart:
             found.append(0)
-        elif above == 1 or node.tag in CONTENT_TAGS or node.words & CONTENT_WORDS and node.tag not in ("body", "html"):
-            found.append(1)
         else:
-            found.append(-1)
+            found.append(1 if above == 1 or node.tag in CONTENT_TAGS else -1)
     return found
 
 
@@ -245,105 +354,129 @@ def _bucket(value: int) -> int:
 
 
 def evidence(node: Node) -> tuple[str, ...]:
+    """What a block holds."""
     share = 0 if not node.own else 1 + min(4, 5 * node.links // node.own)
-    kind = "other" if node.words & OTHER_WORDS else "content" if node.words & CONTENT_WORDS else "none"
-    return (
-        f"tag {node.tag}", f"names {kind}", f"size {_bucket(node.own)}", f"links {share}", f"below {_bucket(node.below)}",
-    )
+    return f"holds {node.tag}", f"size {_bucket(node.own)}", f"links {share}", f"below {_bucket(node.below)}"
 
 
 @dataclass(frozen=True)
 class Model:
-    evidence: dict[str, float]  # log odds of content
-    start: float
-    edge: np.ndarray  # log potential [parent, child]
+    evidence: dict[str, float]  # log odds of content against matter apart, by what a block holds
+    said: dict[str, float]  # the same, by what it is called
 
 
 def count(pages: list[str]) -> Model:
     """Tables from pages that label their blocks."""
-    seen: dict[str, np.ndarray] = {}
-    first = np.ones(2)
-    pairs = np.ones((2, 2))
-    # What names say is known beforehand, as a few pages' worth of counts.
-    for tag in CONTENT_TAGS:
-        seen[f"tag {tag}"] = np.array([0.0, 30.0])
-    for tag in OTHER_TAGS:
-        seen[f"tag {tag}"] = np.array([60.0, 0.0])
-    seen["names other"], seen["names content"] = np.array([60.0, 0.0]), np.array([0.0, 20.0])
+    seen: dict[str, np.ndarray] = {f"holds {tag}": np.array([0.0, 30.0]) for tag in CONTENT_TAGS}
+    said = {name: np.array([float(apart), float(content)]) for name, (content, apart) in KNOWN.items()}
     for page in pages:
         nodes, _ = parse(page)
-        own = labels(nodes)
-        for node, label in zip(nodes, own):
-            if label < 0:
+        # Links below, for names: of a block with its descendants.
+        links = [node.links for node in nodes]
+        for i in range(len(nodes) - 1, 0, -1):
+            links[nodes[i].parent] += links[i]
+        for node, label, linked in zip(nodes, labels(nodes), links):
+            if label < 0 or node.silent:
                 continue
-            above = own[node.parent] if node.parent >= 0 else -1
-            first[label] += above < 0
-            # Only of content: what plain blocks hold, pages that label themselves do not show, so either is as likely.
-            if above == 1 and not says_other(node):
-                pairs[1, label] += 1
             for name in evidence(node):
                 seen.setdefault(name, np.zeros(2))[label] += 1
+            if label == 1 and (node.below < PROSE_CHARS or linked > PROSE_LINKS * node.below):
+                continue
+            for name in features_said(node):
+                if name.startswith("word") or name in TELLING:
+                    said.setdefault(name, np.zeros(2))[label] += 1
     total = np.sum([v for k, v in seen.items() if k.startswith("size ")] or [np.zeros(2)], axis=0) + 1
-    odds = {
-        name: float(np.clip(np.log((n[1] + 0.5) / total[1]) - np.log((n[0] + 0.5) / total[0]), -6, 6))
-        for name, n in seen.items()
-    }
-    share = pairs / pairs.sum(1, keepdims=True)
-    return Model(odds, float(np.log(first[1] / first[0])), np.log(np.maximum(share, 1e-3)))
-
+    # A tag alone tells less than text does: lists are menus on some pages and content on others.
+    odds = {}
+    for name, n in seen.items():
+        most = 3 if name.startswith("holds") else 6
+        odds[name] = float(np.clip(np.log((n[1] + 0.5) / total[1]) - np.log((n[0] + 0.5) / total[0]), -most, most))
+    return Model(odds, {name: float(np.clip(np.log((n[1] + 1) / (n[0] + 1)), -6, 6)) for name, n in said.items()})
+
+
+def said_odds(nodes: list[Node], model: Model) -> list[float]:
+    """Log odds of content by what each block is called, on its page."""
+    bearing: dict[str, int] = {}
+    above: list[frozenset[str]] = []
+    for node in nodes:
+        up = above[node.parent] if node.parent >= 0 else frozenset()
+        own = frozenset(f"word {word}" for word in node.words & LOOSE_WORDS)
+        for name in own - up:
+            bearing[name] = bearing.get(name, 0) + node.below
+        above.append(up | own if own - up else up)
+    whole = max(1, nodes[0].below)
+    found = []
+    for node in nodes:
+        if node.wraps:
+            found.append(0.0)
+            continue
+        odds = [model.said.get(name, 0.0) * (1 - bearing.get(name, 0) / whole) ** 2 for name in features_said(node)]
+        # The strongest word against it counts, or else the strongest for it.
+        low = min(odds)
+        found.append(SAID * (low if low < 0 else max(odds)))
+    return found
 
-def log_odds(node: Node, odds: dict[str, float]) -> float:
-    declared = DECLARED if node.tag in CONTENT_TAGS else 0.0
-    return declared + TEMPER * sum(odds.get(x, 0.0) for x in evidence(node))
 
+def potentials(nodes: list[Node], model: Model) -> tuple[np.ndarray, list[bool]]:
+    """Log potential of each block's states, ``[n, 3]``, and whether it is independent of the block around it.
 
-def marginals(nodes: list[Node], model: Model) -> list[float]:
-    """Probability of content per block: messages up, then down."""
-    stay, leave = model.edge[1][1], model.edge[1][0]
-    rest = model.edge[0][0]
-    odds = model.evidence
-    apart = []
-    for node in nodes:
-        apart.append(says_other(node) or node.parent >= 0 and apart[node.parent])
-    # Content may begin below any block that is not set apart.
-    enter = model.edge[0][1]
-    # Beliefs and messages are (log other, log content); sums run over children.
-    other = [0.0] * len(nodes)
-    content = [0.0] * len(nodes)
+    What is silent or called other matter firmly says nothing about what it stands in:
+    an article is no less one for the adverts in it.
+    """
+    said = said_odds(nodes, model)
+    found = np.zeros((len(nodes), 3))
+    firm: list[bool] = []
+    alone = [i == 0 or node.silent or said[i] <= FIRMLY for i, node in enumerate(nodes)]
     for i, node in enumerate(nodes):
-        content[i] = NEVER if apart[i] else log_odds(node, odds)
-    content[0] = NEVER if not nodes[0].own and len(nodes) > 1 else content[0]
-    up = [(0.0, 0.0)] * len(nodes)
+        below_firm = node.parent >= 0 and firm[node.parent]
+        firm.append(below_firm or alone[i] and i > 0)
+        if node.silent:
+            found[i] = NEVER, NEVER, 0.0
+            continue
+        # Firmly apart, prose is no evidence, and where a tag declares content, lists and short lines are none.
+        shape = not (firm[i] or node.inside or node.tag in CONTENT_TAGS)
+        held = TEMPER * sum(model.evidence.get(x, 0.0) for x in evidence(node)) if shape else 0.0
+        found[i, SHELL] = OWN_TEXT if node.own else 0.0
+        found[i, CONTENT] = held / 2 + max(0.0, said[i]) + (DECLARED if node.tag in CONTENT_TAGS else 0.0)
+        found[i, APART] = -held / 2 + max(0.0, -said[i])
+    return found, alone
+
+
+def marginals(nodes: list[Node], model: Model) -> np.ndarray:
+    """Probabilities of each block's states, ``[n, 3]``: messages up, then down."""
+    own, alone = potentials(nodes, model)
+    edge = EDGE.tolist()
+    inner = own.tolist()
+    up: list[list[float]] = [[0.0] * 3] * len(nodes)
     for i in range(len(nodes) - 1, 0, -1):
-        a, b = other[i], content[i]
-        # A block set apart tells its parent nothing.
-        message = (0.0, 0.0) if apart[i] else (_plus(rest + a, enter + b), _plus(leave + a, stay + b))
+        if alone[i]:
+            continue
+        message = [_plus(*(edge[a][b] + inner[i][b] for b in range(3))) for a in range(3)]
         up[i] = message
-        parent = nodes[i].parent
-        other[parent] += message[0]
-        content[parent] += message[1]
-    out = [0.0] * len(nodes)
-    down = [(0.0, 0.0)] * len(nodes)
+        parent = inner[nodes[i].parent]
+        for a in range(3):
+            parent[a] += message[a]
+    down: list[list[float]] = [[0.0] * 3] * len(nodes)
+    out = np.empty((len(nodes), 3))
     for i, node in enumerate(nodes):
-        if i and not apart[i]:
+        if not alone[i]:
             p = node.parent
-            a = other[p] + down[p][0] - up[i][0]
-            b = content[p] + down[p][1] - up[i][1]
-            top = max(a, b)
-            down[i] = (_plus(a - top + rest, b - top + leave), _plus(a - top + enter, b - top + stay))
-        difference = (other[i] + down[i][0]) - (content[i] + down[i][1])
-        out[i] = 1 / (1 + math.exp(min(50.0, max(-50.0, difference))))
-    return out
+            from_above = [inner[p][a] + down[p][a] - up[i][a] for a in range(3)]
+            top = max(from_above)
+            down[i] = [_plus(*(from_above[a] - top + edge[a][b] for a in range(3))) for b in range(3)]
+        out[i] = [x + y for x, y in zip(inner[i], down[i])]
+    out = np.exp(out - out.max(1, keepdims=True))
+    return out / out.sum(1, keepdims=True)
 
 
-def _plus(a: float, b: float) -> float:
-    high, low = (a, b) if a > b else (b, a)
-    return high + math.log1p(math.exp(max(-50.0, low - high)))
+def _plus(a: float, b: float, c: float) -> float:
+    high = max(a, b, c)
+    return high + math.log(math.exp(a - high) + math.exp(b - high) + math.exp(c - high))
 
 
 def main_text(page: str, model: Model) -> str:
     nodes, runs = parse(page)
-    chance = marginals(nodes, model)
+    chance = marginals(nodes, model)[:, CONTENT].tolist()
     kept = []
     for block, part in runs:
         if chance[block] > 0.5 or part.isspace():
@@ -368,8 +501,9 @@ def train(pages: DataFrame, limit: int = FIT_PAGES, longest: int = FIT_CHARS) ->
 def extracted(pages: DataFrame, model: Model) -> DataFrame:
     """Per row: ``page_id, url, text, n_chars``.
 
-    Null, empty and textless pages give the empty text.  Repeated rows give repeated
-    results; other columns are not read.
+    Null, empty and textless pages give the empty text, an empty table no rows.  Very
+    long pages are read whole, in time in proportion to them.  Repeated rows give
+    repeated results; other columns are not read.
     """
 
     @F.pandas_udf("string")

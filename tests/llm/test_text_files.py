@@ -4,6 +4,7 @@ import html
 import io
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -185,27 +186,91 @@ def test_messages_give_exact_marginals(model):
     """Against the sum over all labellings of small trees."""
     from itertools import product
 
-    for page in ("<div><p>one</p><nav><a>x</a></nav></div>", PAGE[:600], "<article><p>a</p><div class=ad>b</div></article><p>c</p>"):
+    for page in ("<div><p>one</p><nav><a>x</a></nav></div>", PAGE[:420], "<article><p>a</p><div class=ad>b</div></article><p>c</p>"):
         nodes, _ = html_text.parse(page)
-        nodes = nodes[:12]
-        got = html_text.marginals(nodes, model)
-        apart = []
-        for n in nodes:
-            apart.append(html_text.says_other(n) or n.parent >= 0 and apart[n.parent])
-        weigh = [
-            html_text.NEVER if x else html_text.log_odds(n, model.evidence)
-            for n, x in zip(nodes, apart)
-        ]
-        if not nodes[0].own and len(nodes) > 1:
-            weigh[0] = html_text.NEVER
-        total, content = 0.0, np.zeros(len(nodes))
-        for labels in product((0, 1), repeat=len(nodes)):
-            power = sum(w * x for w, x in zip(weigh, labels)) + sum(
-                model.edge[labels[n.parent]][x] for n, x, a in zip(nodes, labels, apart) if n.parent >= 0 and not a
-            )
-            total += math.exp(power)
-            content += math.exp(power) * np.array(labels)
-        assert got == pytest.approx((content / total).tolist(), abs=1e-6)
+        nodes = nodes[:9]
+        weigh, alone = html_text.potentials(nodes, model)
+        chance = np.zeros((len(nodes), 3))
+        for states in product(range(3), repeat=len(nodes)):
+            power = sum(weigh[i, x] for i, x in enumerate(states))
+            power += sum(html_text.EDGE[states[n.parent], x] for n, x, a in zip(nodes, states, alone) if not a)
+            chance[range(len(nodes)), states] += math.exp(power)
+        assert html_text.marginals(nodes, model) == pytest.approx(chance / chance.sum(1, keepdims=True), abs=1e-9)
+
+
+def paragraphs(count, first=0):
+    return [f"{sentence(first + i, 60)}." for i in range(count)]
+
+
+@pytest.mark.parametrize("around", ["body", "article", "main", "div"])
+@pytest.mark.parametrize("block", ['<div class="elementor-widget-container"><p>{}</p></div>', '<div class="elementor-widget-container">{}</div>', '<div class="side-by-side"><p>{}</p></div>'])
+def test_a_name_that_most_of_the_page_bears_says_nothing(model, around, block):
+    for count in (3, 12):
+        page = f"<body><nav><a href=/>Home</a></nav><{around}>{''.join(block.format(x) for x in paragraphs(count))}</{around}></body>"
+        assert html_text.main_text(page, model) == " ".join(paragraphs(count))
+
+
+def test_headline_of_an_article(model):
+    page = f"<body><header><h1>Site</h1></header><article><header><h1>Big title</h1></header><p>{sentence(1)}</p></article>"
+    assert html_text.main_text(page, model) == f"Big title {sentence(1)}"
+
+
+@pytest.mark.parametrize("comments", [5, 60])
+@pytest.mark.parametrize("content", ["<article>{}</article>", "<div class=content>{}</div>", "<main><div>{}</div></main>"])
+@pytest.mark.parametrize("around", ["<section id=comments>{}</section>", "<ol class='comment-list'>{}</ol>", "<div class='post-comments'>{}</div>", "<aside>{}</aside>"])
+def test_prose_of_readers_is_not_content(model, comments, content, around):
+    """However much of it there is, beside the content or within it."""
+    story = "".join(f"<p>{x}</p>" for x in paragraphs(6))
+    replies = around.format("".join(f"<div><p>{x}</p></div>" for x in paragraphs(comments, 100)))
+    for page in (content.format(story) + replies, content.format(story + replies)):
+        assert html_text.main_text(f"<body>{page}</body>", model) == " ".join(paragraphs(6))
+
+
+def test_lists_and_short_lines_of_an_article(model):
+    page = "<body><article><h1>Tt</h1><p>Short one.</p><ul><li>Item</li><li><a href=x>linked</a></li></ul><table><tr><td>a<td>b</table></article>"
+    assert html_text.main_text(page, model) == "Tt Short one. Item linked a b"
+
+
+def test_the_model_corrects_the_words():
+    """What pages show of a name outweighs what was known of it, either way."""
+    story = lambda i: "".join(f"<p>{x}</p>" for x in paragraphs(3, 3 * i))
+    plain = html_text.count([f"<body><nav><a href=/>x y</a></nav><article>{story(i)}</article>" for i in range(60)])
+    taught = html_text.count([
+        f"<body><nav class=strip><a href=/>x y</a></nav><aside class=strip>{sentence(i, 50)}</aside><article><div class=rail>{story(i)}</div></article>"
+        for i in range(60)
+    ])
+    other = f"<div><p>{sentence(500, 500)}</p></div>"
+    rail, strip = f"<div class=rail>{sentence(9, 40)}</div>", f"<div class=strip><p>{sentence(9, 40)}</p></div>"
+    has = lambda block, model: sentence(9, 40) in html_text.main_text(f"<body>{other}{block}</body>", model)
+    assert (has(rail, plain), has(rail, taught)) == (False, True)
+    assert (has(strip, plain), has(strip, taught)) == (True, False)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, "</x>" * 250_000, "<b>" * 350_000, "<b>" * 150_000 + "<p>" * 150_000, "<i><div>" + "<b>" * 150_000 + "</i>" * 150_000,
+     "<div>" * 80_000 + "<td>" * 80_000, "<!--" * 250_000, '<a href="' * 120_000, "<![CDATA[" * 110_000, "<" * 1_000_000, "<li><div>" * 60_000,
+     "<script>" * 130_000, "<p class='" * 100_000, "&amp" * 250_000, "<a b=c " * 150_000],
+    ids=lambda page: page[:12],
+)
+def test_broken_pages_take_time_in_proportion(page, model):
+    start = time.process_time()
+    html_text.parse(page[: len(page) // 4])
+    quarter = time.process_time() - start
+    start = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - start < max(1.0, 10 * quarter)
+    assert isinstance(html_text.main_text(page[:20_000], model), str)
+
+
+def test_quotes_and_markup_in_attributes(model):
+    text = lambda page: html_text.main_text(f"<article>{page}</article>", model)
+    assert text("<p title='a > b' data-x=\"<p>\">one</p> two") == "one two"
+    assert text('<p a"b>one</p>') == "one"
+    assert text("<p title=it's>one</p> two 'three'") == "one two 'three'"
+    assert text("a < b <3 c") == "a < b <3 c"
+    assert text("<![CDATA[x <b> y]]> z") == "x <b> y z"
+    assert text("one <p unclosed='two> three") == "one"
 
 
 def test_pages_of_the_table(spark, model):
