@@ -1,5 +1,6 @@
 """Site lines and benchmark templates against brute force."""
 
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -94,7 +95,117 @@ def test_each_copy_is_judged_alone(spark):
 def test_items_of_one_template_and_awkward_items(spark):
     items = [ITEM, ITEM.replace("12", "30"), None, "", "... ---", "too short", "1 2 3 4 5 6 7 8"]
     texts = [ITEM, "too short", "this is too short, of course", "1 2 3 4 5 6 7 8", None]
-    assert hits(spark, texts, items) == [(0, 0), (1, 5)]
+    assert hits(spark, texts, items) == [(0, 0), (1, 5), (3, 6)]
+
+
+FAMILY = "{} walked {} miles from the old mill to {} and slept there for {} hours before the rain began again"
+FIRST = [f"{a}{b}" for a in ("Al", "Be", "Cor", "Da", "Em") for b in ("ma", "na", "rin", "lia", "do")]
+
+
+def test_a_family_of_items_that_differ_in_one_word(spark):
+    """More items than tell anything share all windows but one."""
+    assert len(FIRST) > templates.COMMON
+    items = [FAMILY.format(name, 12, "Paris", 5) for name in FIRST]
+    new = f"{noise(1)}. {FAMILY.format('Zoe', 31, 'Bristol', 9)}. {noise(2)}"
+    texts = [new, "Alma walked from the old ruins and slept", "Zoe walked 4 miles from the old mill", noise(3), items[3]]
+    assert hits(spark, texts, items) == [(d, i) for d in (0, 4) for i in range(len(items))]
+
+
+def test_items_of_numbers_are_found_verbatim(spark):
+    items = ["2 4 6 8 10 12 14 16 next", "compute 12 + 7 * 3 - 4 = 25 exactly"]
+    texts = [f"{noise(i)} {item} {noise(i + 5)}" for i, item in enumerate(items)]
+    texts += [items[0].replace("8", "9"), "1 3 5 7 9 11 13 15 next", "compute 10 + 5 * 2 - 1 = 19 exactly", "3 1 4 1 5 9 2 6 5 3 5 8"]
+    assert hits(spark, texts, items) == [(0, 0), (1, 1)]
+
+
+def test_names_with_marks(spark):
+    item = "the box that Mary-Jane gave to O'Neil and then to McDonald had 7 coins in it when it was opened"
+    changed = item.replace("Mary-Jane", "Tom").replace("O'Neil", "Jean-Luc Brown".split()[0]).replace("McDonald", "Ann").replace("7", "31")
+    assert hits(spark, [item, changed, f"\x01{changed}", changed.replace(" ", " \x02"), item.replace("box", "ring thing")], [item]) == [
+        (d, 0) for d in range(5)
+    ]
+
+
+def test_wording_that_many_items_share_tells_none(spark):
+    wording = "Choose the correct answer from the following options and explain in a few words why you have chosen it."
+    items = [f"{wording} {noise(100 + i)}" for i in range(30)]
+    assert hits(spark, [f"{noise(1)} {wording} {noise(2)}", f"{noise(3)} {items[7]}"], items) == [(1, 7)]
+
+
+def plain_tokens(text):
+    """Templates of texts without capitals or units: numbers as placeholders but for four in a row."""
+    words = [w.strip(".") for w in text.split()]
+    slots = [w.isdigit() for w in words]
+    rows = [any(all(slots[a : a + 4]) and len(slots[a : a + 4]) == 4 for a in range(max(0, i - 3), i + 1)) for i in range(len(words))]
+    return [("#" if slot and not row else w) for w, slot, row in zip(words, slots, rows)], words
+
+
+def plainly(texts, items):
+    """Every text against every item and every alignment, by the rules themselves."""
+    tell = Counter(g for item in items for g in set(windows(plain_tokens(item)[0])))
+    found = []
+    for d, text in enumerate(texts):
+        tokens, raw = plain_tokens(text)
+        for i, item in enumerate(items):
+            own, values = plain_tokens(item)
+            n, steps = len(windows(own)), {}
+            for j, g in enumerate(windows(own)):
+                for k, h in enumerate(windows(tokens)):
+                    if g == h:
+                        steps.setdefault(k - j, set()).add(j)
+            groups = set()
+            for apart in (0, 4, 16, 64, 10**9):
+                run = []
+                for step in sorted(steps):
+                    if run and step - run[-1] > apart:
+                        groups.add(tuple(run))
+                        run = []
+                    run.append(step)
+                groups.add(tuple(run))
+            for group in groups - {()}:
+                matched = set().union(*(steps[s] for s in group))
+                told = max(sum(tell[windows(own)[j]] <= templates.COMMON for j in steps[s]) for s in group)
+                if len(matched) < templates.COVERAGE * n and told < templates.IN_STEP:
+                    continue
+                places = {(j + o, s) for s in group for j in steps[s] for o in range(5)}
+                pairs = Counter((values[q], raw[q + s]) for q, s in places if own[q] == "#")
+                slots = sum(pairs.values())
+                most = sum(max(c for (v, _), c in pairs.items() if v == value) for value in {v for v, _ in pairs})
+                if most >= templates.CONSISTENT * slots:
+                    found.append((d, i))
+                    break
+    return found
+
+
+def windows(tokens):
+    return [tuple(tokens[i : i + 5]) for i in range(len(tokens) - 4)]
+
+
+def test_placeholders_against_all_pairs(spark):
+    """Re-parameterised, cut, mixed and interleaved copies of items of which many share their wording."""
+    choose = random.Random(8)
+    stem = sentence(700, 9).split()
+    items = []
+    for i in range(40):
+        words = (stem if i < 30 else []) + sentence(800 + i, 14 if i % 3 else 4).split()
+        for _ in range(choose.randint(0, 5)):
+            words[choose.randrange(len(words))] = str(choose.randint(1, 4))
+        items.append(" ".join(words + (["9", "8", "7", "6"] if i % 7 == 0 else [])))
+    texts = []
+    for d in range(80):
+        parts = [noise(900 + d)]
+        for item in choose.sample(items, 2):
+            new = {str(v): str(choose.randint(1, 40)) for v in range(1, 10)}
+            words = [new[w] if w in new and choose.random() < choose.choice((0.6, 1.0)) else w for w in item.split()]
+            cut = choose.choice((0, 0, 3, 7))
+            parts += [" ".join(words[cut:])] + ([noise(2000 + d)] if d % 2 else [])
+        texts.append(" ".join(parts))
+    different = {}
+    for i, item in enumerate(items):
+        different.setdefault(tuple(plain_tokens(item)[0]), i)
+    assert len(different) == len(items)
+    got, want = hits(spark, texts, items), plainly(texts, items)
+    assert got == want and len(want) > 60
 
 
 def test_windows_against_all_pairs(spark):
