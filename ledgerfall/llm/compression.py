@@ -100,7 +100,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``score``, the calibrated probability of good quality.
 
     Null and empty texts have no difference and no size: their score is that of
-    these features.  Every other column is kept as it is, repeated rows too.
+    these features.  Very long texts are compressed whole, block by block; an empty
+    table gives no rows.  Every other column is kept as it is, repeated rows too; one
+    named ``score`` is replaced.
     """
     good, bad, fit = model.good, model.bad, model.fit
 

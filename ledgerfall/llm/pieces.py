@@ -136,12 +136,6 @@ def plain_steps(model: Model) -> list[normalizers.Normalizer]:
     return steps
 
 
-def _surface(text: str, kind: int) -> bytes:
-    if kind == BYTE:
-        return bytes([int(text[3:5], 16)])
-    return b"" if kind == CONTROL else text.replace(MARK, " ").encode()
-
-
 class Codec:
     """Encodes and decodes texts with one model."""
 
@@ -150,7 +144,7 @@ class Codec:
         self.model = parse(data)
         self.tokenizer = build(self.model)
         self.plain = normalizers.Sequence(plain_steps(self.model))
-        self.surface = [_surface(text, kind) for text, _, kind in self.model.pieces]
+        self.control = frozenset(i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
@@ -159,8 +153,9 @@ class Codec:
         return ids, [ours == theirs for ours, theirs in zip(ids, self.reference.encode(texts, num_threads=1))]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        """As the library's decoder does it, by a table: pieces, bytes, and nothing for control pieces."""
-        texts = (b"".join(map(self.surface.__getitem__, some)).decode("utf-8", "replace") for some in ids)
+        """Texts by the library's decoder; control pieces are none of them."""
+        plain = [some if self.control.isdisjoint(some) else [i for i in some if i not in self.control] for some in ids]
+        texts = self.tokenizer.decode_batch(plain, skip_special_tokens=False)
         return [text[1:] if self.model.dummy_prefix and text[:1] == " " else text for text in texts]
 
     def normalized(self, text: str) -> str:
@@ -180,8 +175,9 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
     decoding gives the normalised text, which is the text itself if the model has
     no rules (a word-start marker in a text counts as a blank).  ``ids_crc32`` is of the ids as little-endian unsigned 32-bit integers.
     Null and empty texts have no ids.  The model is read from ``model_path`` by the
-    driver and sent to the tasks.  Repeated rows give repeated results; other
-    columns are not read.
+    driver and sent to the tasks.  Very long texts are encoded whole, each by itself;
+    repeated rows give repeated results, an empty table none; other columns are not
+    read, whatever their names.
     """
     with open(model_path, "rb") as file:
         data = file.read()
@@ -208,7 +204,7 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
 
 
 def decoded(ids: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id, text`` of rows ``doc_id, ids``; null or no ids are the empty text."""
+    """``doc_id, text`` of rows ``doc_id, ids``; null or no ids are the empty text, no rows none."""
     with open(model_path, "rb") as file:
         data = file.read()
 

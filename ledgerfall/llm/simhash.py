@@ -155,22 +155,28 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return groups.where(F.size("fps") > 1).mapInPandas(lean(forests), "a long, b long")
 
 
+def _named(known: DataFrame, max_bits: int) -> DataFrame:
+    """``fp, component`` of every fingerprint, and ``least``, its least id; stored."""
+    nodes = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    members = components(fingerprint_links(nodes, max_bits))
+    return stored(
+        nodes.join(members, F.col("fp") == F.col("node"), "left").select(
+            "fp", "least", F.coalesce("component", "fp").alias("component")
+        )
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
 
     ``component_id`` is the least id of the component.  Repeated rows give repeated
     results; a row without id has its fingerprint but no part in choosing the
     least, so a component of such rows alone has a null ``component_id``.  Null
-    texts are empty: fingerprint zero, linked like any other.  Other columns are
-    not read.
+    texts are empty: fingerprint zero, linked like any other.  Very long texts are
+    fingerprinted whole, an empty table gives no rows.  Other columns are not read.
     """
     known = stored(fingerprints(docs, shingle))
-    nodes = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    members = components(fingerprint_links(nodes, max_bits))
-    named = nodes.join(members, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
-    named = stored(named)
+    named = _named(known, max_bits)
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = named.join(ids, "component").select("fp", "component_id")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
@@ -178,12 +184,24 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The row of each component with the least id; the other members go.
+    """One row of each component, that with the least id; the other members go.
 
-    Of rows that repeat an id one stays.  Rows without id can be no one's copy to
-    name: they all stay.
+    Of rows that share this id the one with the least hash of its text stays, so an
+    id given to different texts costs none of them its own component's row; of rows
+    that share the text as well, the first by a hash of all columns.  Rows without
+    id can be no one's copy to name: they all stay.  Null texts are empty ones, an empty table
+    gives no rows, and very long texts are fingerprinted whole.
     """
-    found = near_duplicates(docs, shingle, max_bits)
-    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(heads, docs["doc_id"] == heads["__id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    mark = F.xxhash64("text")
+    # The text's hash takes the place of an id beside it, so that a row is told by both.
+    rows = docs.select(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", mark.alias("mark"))).alias("doc_id"), "text")
+    known = stored(fingerprints(rows, shingle))
+    named = _named(known, max_bits).select("component", "least").groupBy("component").agg(F.min("least").alias("head"))
+    heads = named.where("head IS NOT NULL").select(F.col("head.doc_id").alias("__id"), F.col("head.mark").alias("__mark"))
+    kept = docs.join(heads, (docs["doc_id"] == heads["__id"]) & (F.xxhash64(docs["text"]) == heads["__mark"]), "left_semi")
+    columns = [docs[c] for c in docs.columns]
+    each = kept.select(F.struct(*columns).alias("__row"), F.xxhash64(*columns).alias("__order"))
+    first = each.groupBy(F.col("__row.doc_id").alias("__id"), F.xxhash64("__row.text").alias("__mark")).agg(
+        F.min_by("__row", "__order").alias("__row")
+    )
+    return first.select("__row.*").unionByName(docs.where("doc_id IS NULL"))

@@ -74,7 +74,8 @@ def without_boilerplate(
     - Blank lines stay, at the place they have.
     - A text of which no other line would be left keeps all its lines: a page that
       recurs whole is a copy, not boilerplate.
-    - Repeated rows are pages of their own and all stay.  Other columns are not read;
+    - Repeated rows are pages of their own and all stay; very long texts are gone
+      through whole; an empty table gives no rows.  Other columns are not read;
       ``n_lines`` and ``n_dropped`` of the input are replaced.
     """
     lines = boilerplate(docs, host, ratio, min_pages)

@@ -48,8 +48,8 @@ AT_ONCE = 500
 #: Documents whose words are learnt together.
 BATCH = 1024
 END_ID = 2
-#: Threads of a task's encoder; tasks run side by side, and each thread has memory of its own.
-THREADS = "2"
+#: Threads of a task's encoder: tasks run side by side and fill the cores.
+THREADS = "1"
 
 
 def pack_low(values: np.ndarray, bits: int) -> bytes:
@@ -107,7 +107,9 @@ class EliasFano:
         return word * 64 + (bits & -bits).bit_length() - 1
 
     def end(self, k: int) -> int:
-        low = int(unpack_low(self.low, self.bits, k, 1)[0])
+        first = k * self.bits
+        raw = int.from_bytes(self.low[first // 8 : (first + self.bits + 7) // 8], "little")
+        low = raw >> first % 8 & ((1 << self.bits) - 1)
         return ((self.select(k) - k) << self.bits) | low
 
     def ends(self) -> np.ndarray:
@@ -169,6 +171,7 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer: str):
+        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)  # read when the library first encodes
         self.tokenizer = Tokenizer.from_str(tokenizer)
         added = self.tokenizer.get_added_tokens_decoder()
         self.part_id = min((i for i, token in added.items() if token.special), default=None)
@@ -206,7 +209,9 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
 
     All rows are written, in the order of ``doc_id`` (nulls first), then of a hash
     of the text; null texts are empty, and each document ends with ``end_id``.
-    ``folder`` must be reachable by all executors.
+    Very long texts are encoded whole and fill files of their own; an empty table
+    gives no file.  Other columns are not read, whatever their names.  ``folder`` must be
+    reachable by all executors.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = file.read()
@@ -257,7 +262,7 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 file = TokenFile(content)
-                ends = file.bounds.ends().astype(np.int64)
+                ends = np.fromiter(map(file.bounds.end, range(file.count)), np.int64, file.count)
                 starts = np.r_[0, ends][:-1]
                 wide = file.ids.astype("<u4")
                 yield pd.DataFrame(
