@@ -1,12 +1,16 @@
 """Toxicity by a subsequence string-kernel SVM with Nyström landmarks.
 
-Two word beginnings are alike by the letters they share in order, gaps discounted,
-so an insult is met with inserted characters, stretched, inflected or compounded.
-A word counts with the piece of it that is most alike: pieces begin at each letter,
-also with its repeated letters taken once or twice, and of every second letter.  A sentence's features
-are, per landmark, the largest kernel value among its words, turned by the inverse
-root of the landmarks' kernel matrix (Nyström); a linear SVM on them is trained on
-sentences of labelled texts.  A text's score is calibrated from its two highest
+Two words are alike by all sequences of letters that they share in order; a longer one
+weighs more, and each letter of its span, gaps included, takes some of it.  A word is
+measured by the landmark alone, so an insult is met with inserted characters between any
+of its letters, stretched, inflected or compounded: what stands before or after it costs
+nothing, what stands in its gaps little, a letter that is missing most.  Words are gone
+through as a tree of their beginnings, letter by letter for all landmarks at once, so
+that what words have in common is worked out once.
+
+A sentence's features are, per landmark, the largest value among its words, turned by the
+inverse root of the landmarks' kernel matrix (Nyström); a linear SVM on them is trained
+on sentences of labelled texts.  A text's score is calibrated from its two highest
 sentence margins.
 """
 
@@ -28,140 +32,92 @@ from ledgerfall.llm.shared import kept, lean, probability
 #: At most this many labelled texts of each class are used to fit.
 FIT_PER_CLASS = 1500
 LANDMARKS = 64
-#: Subsequences of this many letters; each letter of their span costs this factor.
-ORDER, DECAY = 3, 0.7
-#: Kernel values below this count as none; a word that lacks too many of a landmark's letters has none.
-FLOOR, SHARED_LETTERS = 0.5, 0.75
-#: Beginnings of these many letters are compared; a start marker counts as a letter of theirs.
+#: Each shared letter multiplies a sequence's weight by the first, each letter of its span in either word by the second.
+GAIN, DECAY = 8.0, 0.95
+#: Words are compared in overlapping pieces of so many letters at most, which begin half as far apart.
+PIECE = 32
+#: Landmarks are beginnings of these many letters; a start marker counts as a letter of theirs.
 SHORTEST, LONGEST = 4, 8
 START = "^"
-#: Of every second letter, pieces count that are a landmark but for little.
-HALVES_FLOOR = 0.8
 #: Landmarks are beginnings of at least four letters, or whole words of three (met by whole words); a longer one must keep this share of the texts.
 KEEPS = 0.9
 #: A landmark is in this share of the toxic texts of the sample, three at least.
 RAREST = 0.01
-#: Words a worker remembers before it starts anew: bounds its memory.
-MEMORY = 1_000_000
+#: Words a worker remembers before it starts anew, and steps from none to full likeness: both bound its memory.
+MEMORY, STEPS = 600_000, 255
+#: From this likeness on a sentence of a toxic text is learned as toxic.
+CLEAR = 0.95
+#: Words whose kernel values are worked out together.
+TOGETHER = 4096
 
-REPEATED = re.compile(r"(\w)\1{2,}")
 SPACED = re.compile(r"(?<!\S)\w(?:[ .\-_*]\w){2,}(?!\S)")
 OTHER = re.compile(r"[\W_]+")
 STOP = (".", "!", "?", ".\"", "!\"", "?\"")
 
 
-def _codes(words: list[str], width: int) -> np.ndarray:
-    """Code points per word, zeros after its end."""
-    padded = "".join([word.ljust(width, "\0") for word in words])
-    return np.frombuffer(padded.encode("utf-32-le"), np.int32).reshape(len(words), width)
+def raw_kernel(words: list[str], marks: list[str]) -> np.ndarray:
+    """Weights of all common subsequences, ``[words, marks]``; words in ascending order, different, not empty.
 
-
-def _letters(codes: np.ndarray) -> np.ndarray:
-    """The set of letters as bits; letters whose codes are 61 apart share one."""
-    bits = np.left_shift(np.uint64(1), (codes % 61).astype(np.uint64))
-    return np.bitwise_or.reduce(np.where(codes > 0, bits, np.uint64(0)), axis=1)
-
-
-def _raw_kernel(codes: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Weighted common subsequences of each row of ``codes`` (zeros end it) and of ``other``, row by row or one for all."""
-    n, length = codes.shape
-    other = np.broadcast_to(other, (n, other.shape[-1]))
-    width = other.shape[1]
-    equal = (codes[:, :, None] == other[:, None, :]) & (codes[:, :, None] > 0)
-    inner = np.ones((n, length + 1, width + 1), np.float32)
-    total = np.zeros(n, np.float32)
-    for order in range(1, ORDER + 1):
-        match = equal * inner[:, :-1, :-1] * np.float32(DECAY**2)
-        if order == ORDER:
-            total = match.sum((1, 2))
-            break
-        rows = np.zeros((n, length + 1, width + 1), np.float32)
-        for i in range(length):
-            along = np.zeros(n, np.float32)
-            for j in range(width):
-                along = np.float32(DECAY) * along + match[:, i, j]
-                rows[:, i + 1, j + 1] = np.float32(DECAY) * rows[:, i, j + 1] + along
-        inner = rows
-    return total
-
-
-def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernel of each word with each landmark, 0 to 1; small values are zero."""
-    out = np.zeros((len(words), len(landmarks)), np.float32)
-    width = max(map(len, landmarks), default=1)
-    marks = _codes(landmarks, width)
-    letters = _letters(marks)
-    enough = SHARED_LETTERS * np.bitwise_count(letters)
-    own_mark = np.maximum(_raw_kernel(marks, marks), 1e-9)
-    lengths = np.array([len(word) for word in words], int)
-    for low, high in ((ORDER, 6), (7, LONGEST + 1)):
-        some = np.flatnonzero((lengths >= low) & (lengths <= high))
-        for at in range(0, len(some), 8192):
-            part = some[at : at + 8192]
-            codes = _codes([words[i] for i in part], high)
-            shared = np.bitwise_count(_letters(codes)[:, None] & letters[None, :])
-            left, right = np.nonzero(shared >= enough[None, :])
-            if not len(left):
-                continue
-            used, back = np.unique(left, return_inverse=True)
-            own = _raw_kernel(codes[used], codes[used])[back]
-            for a in range(0, len(left), 8192):
-                pair = slice(a, a + 8192)
-                raw = _raw_kernel(codes[left[pair]], marks[right[pair]])
-                value = raw / np.sqrt(np.maximum(own[pair], 1e-9) * own_mark[right[pair]])
-                out[part[left[pair]], right[pair]] = np.where(value >= FLOOR, value, 0)
+    The state of a word's beginning is, per landmark and place in it, the weight of the
+    common subsequences up to there, gaps to both ends included.
+    """
+    length = max(map(len, marks))
+    mark = np.frombuffer("".join([m.ljust(length, "\0") for m in marks]).encode("utf-32-le"), np.int32).reshape(-1, length)
+    steps = np.arange(length)
+    fade = np.where(steps[None, :] >= steps[:, None], DECAY ** (steps[None, :] - steps[:, None]), 0).astype(np.float32)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    width = int(sizes.max(initial=0))
+    codes = np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le"), np.int32).reshape(-1, width)
+    # Letters that a word shares with the one before it: its node in the tree is the same so far.
+    same = np.zeros(len(words), np.int64)
+    if len(words) > 1:
+        differ = codes[1:] != codes[:-1]
+        same[1:] = np.where(differ.any(1), differ.argmax(1), width)
+    out = np.zeros((len(words), len(marks)), np.float32)
+    node = np.zeros(len(words), np.int64)
+    state = np.zeros((1, len(marks), length + 1), np.float32)
+    total = np.zeros((1, len(marks)), np.float32)
+    gain = np.float32(GAIN * DECAY**2)
+    for at in range(width):
+        some = np.flatnonzero(sizes > at)
+        first = same[some] <= at
+        parent, letter = node[some[first]], codes[some[first], at]
+        node[some] = np.cumsum(first) - 1
+        state, total = state[parent], total[parent]
+        met = (mark[None] == letter[:, None, None]) * (state[:, :, :-1] + 1) * gain
+        total = total + met.sum(2)
+        state *= np.float32(DECAY)
+        state[:, :, 1:] += met @ fade
+        ending = some[sizes[some] == at + 1]
+        out[ending] = total[node[ending]]
     return out
 
 
-def _pieces(word: str) -> set[str]:
-    """Pieces of a cleaned word that are compared; none of words under three letters."""
-    if len(word) < SHORTEST:
-        return {START + word} if len(word) == SHORTEST - 1 else set()
-    return {
-        START + word[at : at + size]
-        for at in range(len(word) - SHORTEST + 1)
-        for size in range(SHORTEST, min(len(word) - at, LONGEST) + 1)
-    }
+def kernel(words: list[str], marks: list[str]) -> np.ndarray:
+    """Kernel of any words, with their start markers, with landmarks: each as it is."""
+    order = sorted(set(words) - {""})
+    place = {word: i for i, word in enumerate(order)}
+    found = np.zeros((len(order) + 1, len(marks)), np.float32)
+    for at in range(0, len(order), TOGETHER):
+        found[at : at + TOGETHER][: len(order) - at] = raw_kernel(order[at : at + TOGETHER], marks)
+    return found[[place.get(word, len(order)) for word in words]]
 
 
-def _forms(word: str) -> tuple[set[str], set[str]]:
-    """Pieces of the word, stretched letters also shortened; and pieces of every second letter."""
-    found = _pieces(word)
-    if REPEATED.search(word):
-        found |= _pieces(REPEATED.sub(r"\1\1", word)) | _pieces(REPEATED.sub(r"\1", word))
-    halves = _pieces(word[::2]) | _pieces(word[1::2]) if len(word) >= 2 * SHORTEST - 3 else set()
-    return found, halves - found
+def _in_pieces(word: str) -> list[str]:
+    """The word with its start marker; a very long one as overlapping pieces, each with one."""
+    return [START + word[at : at + PIECE] for at in range(0, max(1, len(word) - PIECE // 2), PIECE // 2)]
 
 
 def likeness(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Per cleaned word its largest kernel value with each landmark, over its pieces."""
-    out = np.zeros((len(words), len(landmarks)), np.float32)
+    """Per cleaned word its kernel value with each landmark as a share of the landmark's own, at most 1, in steps."""
+    out = np.zeros((len(words), len(landmarks)), np.uint8)
     if not words or not landmarks:
         return out
-    # A word that lacks too many letters of every landmark has no piece that has them.
-    letters = _letters(_codes(landmarks, max(map(len, landmarks))))
-    enough = SHARED_LETTERS * np.bitwise_count(letters)
-    begin = np.uint64(1) << np.uint64(ord(START) % 61)
-    bit = lambda word: sum({1 << ord(letter) % 61 for letter in word})
-    own = np.fromiter(map(bit, words), np.uint64, len(words)) | begin
-    usable = np.flatnonzero((np.bitwise_count(own[:, None] & letters[None, :]) >= enough).any(1))
-    code: dict[str, int] = {}
-    owner, flat, half = [], [], []
-    for i in usable.tolist():
-        for n, some in enumerate(_forms(words[i])):
-            flat += [code.setdefault(piece, len(code)) for piece in some]
-            owner += [i] * len(some)
-            half += [n > 0] * len(some)
-    values = kernel(list(code), landmarks)
-    # Landmarks of three letters are whole words.
-    short = np.array([len(mark) == SHORTEST for mark in landmarks])
-    longer = np.array([len(piece) > SHORTEST for piece in code], bool)
-    values[np.ix_(longer, short)] = 0
-    flat, owner, half = np.array(flat, int), np.array(owner, int), np.array(half, bool)
-    some = np.flatnonzero(values.any(1)[flat]) if len(flat) else flat
-    near = values[flat[some]]
-    near[half[some]] *= near[half[some]] >= HALVES_FLOOR
-    np.maximum.at(out, owner[some], near)
+    pieces = [_in_pieces(word) if word else [""] for word in words]
+    owner = np.repeat(np.arange(len(words)), [len(some) for some in pieces])
+    own = np.diag(kernel(landmarks, landmarks))
+    share = kernel([piece for some in pieces for piece in some], landmarks) / own
+    np.maximum.at(out, owner, np.rint(np.minimum(share, 1) * STEPS).astype(np.uint8))
     return out
 
 
@@ -198,49 +154,56 @@ class Model:
 
 
 class Margins:
-    """Highest sentence margins of texts; remembers which words resemble a landmark."""
+    """Highest sentence margins of texts; remembers how like the landmarks words are."""
 
     def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float):
         self.landmarks, self.weights, self.bias = landmarks, weights, bias
-        self.near: dict[str, np.ndarray] = {}
-        self.seen: set[str] = set()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.likeness = np.zeros((1024, len(self.landmarks)), np.uint8)
+        self.ends = np.zeros(1024, bool)
 
     def learn(self, words: set[str]) -> None:
-        if len(self.seen) > MEMORY:
-            self.seen.clear()
-            self.near.clear()
-        new = list(words - self.seen)
-        self.seen.update(new)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for word, best in zip(some, likeness([_clean(word) for word in some], self.landmarks)):
-                if best.any():
-                    self.near[word] = best
+        new = words - self.known.keys()
+        if self.known and len(self.known) + len(new) > MEMORY:
+            self.forget()
+            new = words
+        new = sorted(new)
+        first, last = len(self.known), len(self.known) + len(new)
+        while len(self.ends) < last:
+            self.likeness = np.concatenate([self.likeness, np.zeros_like(self.likeness)])
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.likeness[first:last] = likeness([_clean(word) for word in new], self.landmarks)
+        self.ends[first:last] = [word.endswith(STOP) for word in new]
+        self.known.update(zip(new, range(first, last)))
 
     def of(self, texts: list[str]) -> np.ndarray:
         """Per text: highest and second highest margin of its sentences (the bias if it has none), within -1 and 1."""
-        out = np.full((len(texts), 2), np.clip(self.bias, -1, 1))
-        if not self.landmarks:
-            return out
-        lines = [[_tokens(line) for line in text.split("\n")] for text in texts]
-        self.learn({word for some in lines for line in some for word in line})
-        for row, some in zip(out, lines):
-            margins = [self.bias, self.bias]
-            for words in some:
-                hits = [i for i, word in enumerate(words) if word in self.near]
-                best = None
-                last = 0
-                for i in hits:
-                    if best is not None and any(word.endswith(STOP) for word in words[last:i]):
-                        margins.append(float(best @ self.weights) + self.bias)
-                        best = None
-                    value = self.near[words[i]]
-                    best = value if best is None else np.maximum(best, value)
-                    last = i
-                if best is not None:
-                    margins.append(float(best @ self.weights) + self.bias)
-            row[:] = np.clip(sorted(margins, reverse=True)[:2], -1, 1)
-        return out
+        out = np.full((len(texts), 2), self.bias, float)
+        lines = [[line for line in map(_tokens, text.split("\n")) if line] for text in texts]
+        words = [word for some in lines for line in some for word in line]
+        if self.landmarks and words:
+            self.learn(set(words))
+            ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+            sizes = np.array([len(line) for some in lines for line in some])
+            # A sentence begins with a line and after a word that ends one.
+            begins = np.zeros(len(ids) + 1, bool)
+            begins[np.r_[0, np.cumsum(sizes)]] = True
+            begins[1:] |= self.ends[ids]
+            starts = np.flatnonzero(begins[:-1])
+            best = np.maximum.reduceat(self.likeness[ids], starts)
+            margins = best.astype(np.float32) @ (self.weights / STEPS).astype(np.float32) + self.bias
+            counts = np.array([sum(map(len, some)) for some in lines])
+            text = np.searchsorted(np.cumsum(counts), starts, side="right")
+            order = np.lexsort((-margins, text))
+            text, margins = text[order], margins[order]
+            place = np.arange(len(text)) - np.searchsorted(text, text)
+            for k in range(2):
+                some = place == k
+                out[text[some], k] = np.maximum(margins[some], self.bias)
+        return np.clip(out, -1, 1)
 
 
 def _choose_landmarks(toxic: list[set[str]], other: list[set[str]], count: int) -> list[str]:
@@ -318,21 +281,25 @@ def fit(rows: pd.DataFrame, prior: float) -> Model:
     if not landmarks:
         return Model([], np.zeros(0), 0.0, flat)
     vocabulary = sorted(set().union(*words[0], *words[1]))
-    best = likeness(vocabulary, landmarks)
-    near = {word: row for word, row in zip(vocabulary, best) if row.any()}
+    near = dict(zip(vocabulary, likeness(vocabulary, landmarks).astype(np.float32) / STEPS))
     none = np.zeros(len(landmarks), np.float32)
     pooled = [
-        (np.array([np.max([near[w] for w in s if w in near] or [none], axis=0) for s in some] or [none]), v)
-        for some, v in split
+        (np.array([np.max([near[w] for w in s] or [none], axis=0) for s in some] or [none]), v) for some, v in split
     ]
     self_kernel = kernel(landmarks, landmarks).astype(float)
+    scale = 1 / np.sqrt(np.diag(self_kernel))
+    self_kernel *= scale[:, None] * scale[None, :]
     roots, turn = np.linalg.eigh((self_kernel + self_kernel.T) / 2)
     whiten = (turn / np.sqrt(np.maximum(roots, 1e-3))) @ turn.T
-    weights, bias = np.ones(len(landmarks)), 0.0
-    for _ in range(2):
+    weights, bias = None, 0.0
+    for _ in range(3):
         x, y = [], []
         for rows_of, v in pooled:
-            top = np.argsort(-(rows_of @ weights), kind="stable")[: 1 if v else 3]
+            # First the sentence with the word most like any landmark.
+            worth = rows_of.max(1) if weights is None else rows_of @ weights
+            top = np.argsort(-worth, kind="stable")[: 1 if v else 3]
+            if v:  # and every other one with a word that is a landmark or nearly
+                top = np.union1d(top, np.flatnonzero(rows_of.max(1) >= CLEAR))
             x.append(rows_of[top])
             y += [v] * len(top)
         w, bias = _svm(np.concatenate(x) @ whiten, np.array(y))
@@ -345,7 +312,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """The documents with ``score``, the calibrated probability of toxicity.
 
     Null and empty texts have no sentence and score as a text with nothing like a
-    landmark.  Other columns are kept as they are, repeated rows too.
+    landmark; very long texts are gone through whole.  Other columns are kept as they
+    are, repeated rows too; one named ``score`` is replaced.  An empty table gives no rows.
     """
     landmarks, weights, bias, fit = model.landmarks, model.weights, model.bias, model.fit
 
