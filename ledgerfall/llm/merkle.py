@@ -23,10 +23,10 @@ from math import isqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfall.llm.shared import lean, stored
+from ledgerfall.llm.shared import lean, numbered, stored
 
 FAN = 16
 DIGEST = 32
@@ -146,22 +146,6 @@ def leaf_digest(*fields: Column) -> Column:
     return F.unhex(F.sha2(F.concat(*told).cast("binary"), 256))
 
 
-def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """The rows, stored, with their place in the order, from zero; ``part`` tells the range they are in.
-
-    Only one row per range partition is brought together.
-    """
-    place = F.monotonically_increasing_id()
-    rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", place))
-    part = F.shiftright("__at", 33)
-    counts = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    found = rows.join(F.broadcast(bases), part == F.col("__part"))
-    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    return found.withColumn(name, F.col("__base") + within).withColumnRenamed("__part", "part").drop("__at", "__base")
-
-
 def _parents_of(children: pd.Series) -> pd.DataFrame:
     joined = [b"".join(some) for some in children]
     counts = np.array([len(x) // DIGEST for x in joined], np.int64)

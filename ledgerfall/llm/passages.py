@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfall.llm.shared import lean, stored
+from ledgerfall.llm.shared import lean, numbered, stored
 
 WINDOW = 20
 ANCHOR = 8
@@ -71,22 +71,19 @@ def _sequences(sums: np.ndarray, inverse: np.ndarray, starts: np.ndarray, length
     return _mixed((sums[starts + length] - sums[starts]) * inverse[starts])
 
 
-def pieces_of(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per piece: anchor hash, first window, number of windows, hash; and the hash of every window."""
+def pieces_of(words: list[bytes], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per piece: anchor hash, first window, number of windows, hash."""
     n = len(words) - window + 1
     if n < 1:
         none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none.astype(np.uint64), none, none, none.astype(np.uint64)
     sums, inverse = _rolling(words)
     anchor = min(ANCHOR, window)
     phrases = _sequences(sums, inverse, np.arange(len(words) - anchor + 1), anchor)
     least = np.lib.stride_tricks.sliding_window_view(phrases, window - anchor + 1).argmin(1) + np.arange(n)
     first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
     count = np.diff(np.r_[first, n])
-    return (
-        phrases[least[first]], first, count,
-        _sequences(sums, inverse, first, count + window - 1), _sequences(sums, inverse, np.arange(n), window),
-    )
+    return phrases[least[first]], first, count, _sequences(sums, inverse, first, count + window - 1)
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -104,23 +101,21 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, window: int) -> DataFrame:
-    """Pieces at the anchors ``hs``: ``h, k, seq, a, n_windows, wins``."""
+    """Pieces at the anchors ``hs``: ``h, k, seq, a, n_windows``."""
 
     def of(rows: pyarrow.RecordBatch) -> pyarrow.RecordBatch:
         parts: list[tuple[np.ndarray, ...]] = []
         wanted = rows["hs"].to_numpy(zero_copy_only=False)
         for text, some in zip(rows["text"].to_pylist(), wanted):
-            h, first, count, whole, each = pieces_of(text.encode().split(), window)
+            h, first, count, whole = pieces_of(text.encode().split(), window)
             keep = np.isin(h.view(np.int64), some)
-            parts.append((h[keep], whole[keep], first[keep], count[keep], each[np.repeat(keep, count)]))
-        h, whole, first, count, each = map(np.concatenate, zip(*parts))
+            parts.append((h[keep], whole[keep], first[keep], count[keep]))
+        h, whole, first, count = map(np.concatenate, zip(*parts))
         seq = np.repeat(np.asarray(rows["seq"]), [len(part[0]) for part in parts])
-        edges = np.r_[0, np.cumsum(count)].astype(np.int32)
         return pyarrow.record_batch(
             {
                 "h": h.view(np.int64), "k": whole.view(np.int64), "seq": seq, "a": first.astype(np.int32),
                 "n_windows": count.astype(np.int32),
-                "wins": pyarrow.ListArray.from_arrays(edges, each.view(np.int64)),
             }
         )
 
@@ -130,16 +125,42 @@ def _pieces(docs: DataFrame, window: int) -> DataFrame:
                 yield of(batch.slice(at, 500))
 
     return docs.select("seq", "text", "hs").mapInArrow(
-        lean(run), "h long, k long, seq long, a int, n_windows int, wins array<long>"
+        lean(run), "h long, k long, seq long, a int, n_windows int"
     )
 
 
-def _found(pieces: DataFrame, window: int) -> DataFrame:
+def _windows(docs: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """Hashes of all windows of the pieces at ``places`` (``h, seq, a, n_windows``): ``h, seq, a, wins``."""
+    each = places.groupBy("seq").agg(F.collect_list(F.struct("h", "a", "n_windows")).alias("at"))
+    at = [F.col(f"at.{name}").alias(name) for name in ("h", "a", "n_windows")]
+
+    def of(rows: pyarrow.RecordBatch) -> pyarrow.RecordBatch:
+        found: list[np.ndarray] = []
+        columns = [rows[name].to_numpy(zero_copy_only=False) for name in ("h", "a", "n_windows")]
+        for text, first, count in zip(rows["text"].to_pylist(), *columns[1:]):
+            sums, inverse = _rolling(text.encode().split())
+            found += [_sequences(sums, inverse, np.arange(a, a + n), window) for a, n in zip(first, count)]
+        seq = np.repeat(np.asarray(rows["seq"]), [len(some) for some in columns[0]])
+        h, first, count = map(np.concatenate, columns)
+        edges = np.r_[0, np.cumsum(count)].astype(np.int32)
+        wins = pyarrow.ListArray.from_arrays(edges, np.concatenate(found).view(np.int64))
+        return pyarrow.record_batch({"h": h, "seq": seq, "a": first.astype(np.int32), "wins": wins})
+
+    def run(batches: Iterator[pyarrow.RecordBatch]) -> Iterator[pyarrow.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                yield of(batch.slice(at, 500))
+
+    rows = docs.select("seq", "text").join(each, "seq").select("seq", "text", *at)
+    return rows.mapInArrow(lean(run), "h long, seq long, a int, wins array<long>")
+
+
+def _found(docs: DataFrame, pieces: DataFrame, window: int) -> DataFrame:
     """Recurring passages at places after their first: ``seq, a, len, first_seq, first_a``."""
     pieces = stored(pieces)
     different = stored(
         pieces.groupBy("h", "k", "n_windows").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "a", "wins")).alias("first")
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("seq", "a")).alias("first")
         )
     )
     again = different.where("n > 1").select("h", "k", "n_windows", "first.seq", "first.a").withColumnsRenamed(
@@ -150,8 +171,10 @@ def _found(pieces: DataFrame, window: int) -> DataFrame:
         "seq", "a", (F.col("n_windows") + window - 1).alias("len"), "first_seq", "first_a"
     )
     several = different.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("h")
-    windows = different.join(several, "h").select(
-        "h", "first.seq", "first.a", F.posexplode("first.wins").alias("i", "w")
+    # Only these are looked into window by window, each different piece once.
+    places = different.join(several, "h").select("h", "first.seq", "first.a", "n_windows")
+    windows = stored(_windows(docs, places, window)).select(
+        "h", "seq", "a", F.posexplode("wins").alias("i", "w")
     ).select("h", "w", "seq", (F.col("a") + F.col("i")).alias("a"))
     twice = windows.groupBy("h", "w").agg(
         F.count(F.lit(1)).alias("kinds"), F.min(F.struct("seq", "a")).alias("first")
@@ -272,9 +295,8 @@ def _in_order(docs: DataFrame) -> DataFrame:
     counts = plain.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
     if counts.isEmpty():
         return plain.withColumn("seq", F.col("doc_id"))
-    keys = plain.select("doc_id", mark.alias("mark")).distinct().orderBy(F.col("doc_id").asc_nulls_first(), "mark")
-    numbered = keys.rdd.zipWithIndex().map(lambda x: (x[0][0], x[0][1], x[1]))
-    places = stored(docs.sparkSession.createDataFrame(numbered, "key long, mark long, seq long"))
+    keys = plain.select(F.col("doc_id").alias("key"), mark.alias("mark")).distinct()
+    places = stored(numbered(keys, [F.col("key").asc_nulls_first(), F.col("mark")], "seq").select("key", "mark", "seq"))
     same = plain["doc_id"].eqNullSafe(places["key"]) & (mark == places["mark"])
     return stored(plain.join(places, same).select("doc_id", "text", "seq"))
 
@@ -284,8 +306,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
 
     Null and empty texts have no words.  Documents shorter than a window keep all.
     Rows that repeat an id are documents in the order of a hash of their texts; rows
-    that repeat id and text are one document and have its result.  Other columns are
-    not read.
+    that repeat id and text are one document and have its result.  Very long texts are
+    read whole; an empty table gives no rows.  Other columns are not read.
     """
     docs = _in_order(docs)
     anchors = stored(_anchors(docs.select("seq", "text"), window))
@@ -293,7 +315,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Tru
     recurring = stored(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     wanted = anchors.join(recurring, "h").groupBy("seq").agg(F.collect_set("h").alias("hs"))
     pieces = _pieces(docs.select("seq", "text").join(wanted, "seq"), window)
-    found = _found(pieces, window).groupBy("seq").agg(
+    found = _found(docs, pieces, window).groupBy("seq").agg(
         F.collect_list(F.struct(*PLACES)).alias("found")
     )
     return _marked(docs.join(found, "seq", "left"), with_text)
