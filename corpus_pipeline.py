@@ -2,6 +2,12 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a frame; it is written as
 Parquet to the shared folder and reread as the next stage's ``docs``.
+
+All stages work on whole texts of any length, return no rows for no rows, and keep
+any further columns of ``docs`` but the last, which returns ids.  Null texts count as
+empty where a stage reads them, and stay null; rows without ``doc_id`` are documents like
+others; of rows that repeat an id and text, each has the same decision, until near
+duplicates leave one of them.
 """
 
 from __future__ import annotations
@@ -15,29 +21,32 @@ from ledgerfall.llm.queries import QUALITY_ACCEPTED, quality_learnable
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is accepted."""
+    """Documents whose quality score is accepted; null and empty texts have the score of no evidence."""
     model = compression.train(docs, shared.table(spark, sf_dir, "labels"), quality_learnable())
     return compression.score(docs, model).where(F.col("score") >= QUALITY_ACCEPTED).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines; ``n_chars`` follows the text."""
+    """Documents without their source's boilerplate lines; ``n_chars`` follows the text, null for a null one.
+
+    Null sources are one site; repeated rows are pages each.
+    """
     cleaned = site_lines.without_boilerplate(docs, "source")
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component."""
+    """One document of each near-duplicate component, that with the least id; empty texts are alike, rows without id stay."""
     return simhash.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts and items hold nothing."""
     return templates.without_contaminated(docs, shared.table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each remaining document, with parity and round trip."""
+    """The ids of each remaining document, with parity and round trip; null and empty texts have none."""
     return pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=True)
 
 
