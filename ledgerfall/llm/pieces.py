@@ -124,7 +124,8 @@ def build(model: Model) -> Tokenizer:
     marked = [normalizers.Prepend(MARK)] if model.dummy_prefix else []
     tokenizer.normalizer = normalizers.Sequence([*plain_steps(model), *marked, normalizers.Replace(" ", MARK)])
     tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    tokenizer.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
+    # Joined first, so that markers are replaced once per text and not once per piece.
+    tokenizer.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")])
     return tokenizer
 
 
