@@ -20,7 +20,6 @@ no half file.
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -48,8 +47,6 @@ AT_ONCE = 500
 #: Documents whose words are learnt together.
 BATCH = 1024
 END_ID = 2
-#: Threads of a task's encoder: tasks run side by side and fill the cores.
-THREADS = "1"
 
 
 def pack_low(values: np.ndarray, bits: int) -> bytes:
@@ -171,7 +168,6 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer: str):
-        os.environ.setdefault("RAYON_NUM_THREADS", THREADS)  # read when the library first encodes
         self.tokenizer = Tokenizer.from_str(tokenizer)
         added = self.tokenizer.get_added_tokens_decoder()
         self.part_id = min((i for i, token in added.items() if token.special), default=None)
