@@ -127,29 +127,50 @@ def _windows(tokens: Column, window: int) -> Column:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """Different templates: ``item_id`` (the least of those that have it), tokens, values."""
-    return (
+    """A row per class of items that are in the same texts: ``item, class, item_id, item_ids, tokens, raw``.
+
+    ``item`` is a number of the template, ``class`` one of the class, and ``raw`` has the values where placeholders
+    stand.  How values map depends on the places that share one, and on nothing else of
+    them: so items of one template are one class if the same of their places are equal.
+    ``item_ids`` are those of all its items, ``item_id`` is the least.
+    """
+    at_slots = lambda raw: F.transform("tokens", lambda token, i: F.when(_slot(token), F.get(raw, i)))
+    rows = stored(
         _with_tokens(benchmark.select("item_id", "text"))
-        .select("item_id", "tokens", values(F.col("text")).alias("raw"))
         .where("size(tokens) > 0")
-        .groupBy("tokens")
-        .agg(F.min(F.struct("item_id", "raw")).alias("first"))
-        .select("first.item_id", "tokens", F.col("first.raw").alias("raw"))
+        .select("item_id", "tokens", _once(values(F.col("text")), at_slots).alias("raw"))
+        .groupBy("tokens", "raw")
+        .agg(F.collect_set("item_id").alias("ids"))
+        .withColumn("n", F.monotonically_increasing_id())
+    )
+    places = rows.select("n", F.posexplode("raw").alias("q", "value")).where("value IS NOT NULL").groupBy("n", "value")
+    equal = places.agg(F.sort_array(F.collect_list("q")).alias("qs")).groupBy("n").agg(F.sort_array(F.collect_list("qs")).alias("equal"))
+    return (
+        rows.join(equal, "n", "left")
+        .groupBy("tokens", "equal")
+        .agg(
+            F.min("n").alias("n"), F.min("raw").alias("raw"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("item_ids"),
+        )
+        .select(
+            F.min("n").over(Window.partitionBy("tokens")).alias("item"), F.col("n").alias("class"),
+            F.get("item_ids", F.lit(0)).alias("item_id"), "item_ids", "tokens", "raw",
+        )
     )
 
 
 def _item_windows(items: DataFrame, window: int, coverage: float) -> DataFrame:
-    """``h, item_id, j, n_windows, telling, anchor``: all windows, whether they tell their items, and look for candidates."""
-    each = items.select("item_id", F.posexplode(_windows(F.col("tokens"), window)).alias("j", "h"))
-    having = each.groupBy("h").agg(F.count_distinct("item_id").alias("having"))
-    item = Window.partitionBy("item_id")
+    """``h, item, j, n_windows, telling, anchor``: all windows, whether they tell their items, and look for candidates."""
+    each = items.dropDuplicates(["item"]).select("item", F.posexplode(_windows(F.col("tokens"), window)).alias("j", "h"))
+    having = each.groupBy("h").agg(F.count_distinct("item").alias("having"))
+    item = Window.partitionBy("item")
     n, telling = F.count(F.lit(1)).over(item), F.col("having") <= COMMON
     rank = F.row_number().over(item.orderBy("having", "h", "j"))
     return (
         each.join(having, "h")
         .withColumns({"n_windows": n, "telling": telling, "rank": rank})
         .withColumn("anchor", telling | (F.col("rank") <= F.col("n_windows") - F.floor(coverage * F.col("n_windows")) + 1))
-        .select("h", "item_id", "j", "n_windows", "telling", "anchor")
+        .select("h", "item", "j", "n_windows", "telling", "anchor")
     )
 
 
@@ -161,32 +182,34 @@ def contaminated(
     in_step: int = IN_STEP,
     consistent: float = CONSISTENT,
 ) -> DataFrame:
-    """Texts that hold a benchmark item: ``doc_id, text_hash, item_id, n_matched, n_windows, n_slots, n_consistent``.
-
-    One row per (row of ``docs`` up to repetition, different item template).  Items
-    with null or no words are in no text; an item shorter than a window is only in a
-    text that consists of it; null and empty texts hold nothing, empty tables give an
-    empty result.  Very long texts are gone through whole.  Items of one template count
-    as the one with the least id.  Rows without ``doc_id`` are told by their text.  Other
-    columns are not read, whatever their names.
+    """Texts that hold a benchmark item: ``doc_id, text_hash, item_id, item_ids, n_matched, n_windows, n_slots, n_consistent``.
+
+    One row per (row of ``docs`` up to repetition, class of items).  Items of one
+    template whose values are equal at the same places are in the same texts: they are a
+    class, ``item_id`` is its least id and ``item_ids`` are all of them (``per_item`` has
+    a row for each).  Items with null or no words are in no text; an item shorter than a
+    window is only in a text that consists of it; null and empty texts hold nothing,
+    empty tables give an empty result.  Very long texts are gone through whole.  Rows
+    without ``doc_id`` are told by their text, items without ``item_id`` are looked for
+    as others are.  Other columns are not read, whatever their names.
     """
     items = stored(_items(benchmark))
     told = stored(_item_windows(items, window, coverage))
     mark = F.xxhash64("text").alias("text_hash")
-    row = ["doc_id", "text_hash", "item_id"]
+    row = ["doc_id", "text_hash", "item"]
 
     def pieces(texts: DataFrame) -> DataFrame:
         # The template is a column of its own, or Spark would work it out again for each window.
         tokens = _with_tokens(texts.select("doc_id", mark, "text")).select("doc_id", "text_hash", "tokens")
         return tokens.select("doc_id", "text_hash", F.posexplode(_windows(F.col("tokens"), window)).alias("i", "h"))
 
-    anchors = told.where("anchor").select("h", "item_id").distinct()
+    anchors = told.where("anchor").select("h", "item").distinct()
     pairs = stored(pieces(docs).join(anchors, "h").select(*row).distinct())
     # All windows, of the candidates only.
     texts = pairs.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     same = docs["doc_id"].eqNullSafe(texts["__id"]) & (F.xxhash64(docs["text"]) == texts["__hash"])
     found = pieces(docs.join(texts, same, "left_semi").select("doc_id", "text").distinct())
-    asked = pairs.join(told, "item_id").withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "h": "__h"})
+    asked = pairs.join(told, "item").withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash", "h": "__h"})
     there = found["doc_id"].eqNullSafe(asked["__id"]) & (found["text_hash"] == asked["__hash"]) & (found["h"] == asked["__h"])
     met = stored(
         found.join(asked, there).select(*row, "j", "n_windows", "telling", (F.col("i") - F.col("j")).alias("step")).distinct()
@@ -205,7 +228,14 @@ def contaminated(
     numbers = ["n_matched", "n_windows", "n_slots", "n_consistent"]
     # Of several copies the fullest is reported, of equal ones the most consistent.
     best = F.max(F.struct("n_matched", (F.col("n_consistent") - F.col("n_slots")).alias("fit"), *numbers[1:])).alias("best")
-    return held.groupBy(*row).agg(best).select(*row, *(F.col(f"best.{name}") for name in numbers))
+    held = held.groupBy("doc_id", "text_hash", "class").agg(best).join(items.select("class", "item_id", "item_ids"), "class")
+    return held.select("doc_id", "text_hash", "item_id", "item_ids", *(F.col(f"best.{name}") for name in numbers))
+
+
+def per_item(found: DataFrame) -> DataFrame:
+    """What ``contaminated`` found with a row per item instead of one per class."""
+    ids = F.explode_outer("item_ids").alias("item_id")
+    return found.select(*(ids if name == "item_id" else name for name in found.columns if name != "item_ids"))
 
 
 def _measured(steps: DataFrame, by: list[str], each: Column) -> DataFrame:
@@ -237,8 +267,9 @@ def _copies(likely: DataFrame, row: list[str]) -> DataFrame:
 
 
 def _with_slots(likely: DataFrame, docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """Aligned tokens compared: unequal ones, placeholders, and placeholders that map as most of their value do."""
-    copy = ["doc_id", "text_hash", "item_id", "low", "high"]
+    """Aligned tokens compared, by class: unequal ones, placeholders, and placeholders that map as most of their value do."""
+    copy = ["doc_id", "text_hash", "item", "low", "high"]
+    of_class = [*copy, "class", "n_matched", "n_windows"]
     ids = likely.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     held = _with_tokens(
@@ -256,10 +287,10 @@ def _with_slots(likely: DataFrame, docs: DataFrame, items: DataFrame, window: in
     aligned = (
         # Exploded, so larger than Spark expects of the table behind it: not to be broadcast.
         places.hint("merge").join(held, places["doc_id"].eqNullSafe(held["__id"]) & (places["text_hash"] == held["__hash"]))
-        .join(items, "item_id")
+        .join(items.select("item", "class", "tokens", "raw"), "item")
         .where(F.col("q") < F.size("tokens"))
         .select(
-            *copy, "n_matched", "n_windows",
+            *of_class,
             F.get("tokens", F.col("q")).alias("token"),
             F.get("doc_tokens", F.col("q") + F.col("step")).alias("doc_token"),
             F.get("raw", F.col("q")).alias("value"),
@@ -268,16 +299,14 @@ def _with_slots(likely: DataFrame, docs: DataFrame, items: DataFrame, window: in
     )
     slot = F.col("token").isin(NUMBER, UNIT, NAME)
     value = F.when(slot, F.col("value"))
-    pairs = aligned.groupBy(
-        *copy, "n_matched", "n_windows", value.alias("value"), F.when(slot, F.col("doc_value")).alias("doc_value")
-    ).agg(
+    pairs = aligned.groupBy(*of_class, value.alias("value"), F.when(slot, F.col("doc_value")).alias("doc_value")).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("token").eqNullSafe(F.col("doc_token"))).alias("unequal")
     )
-    mapped = pairs.groupBy(*copy, "n_matched", "n_windows", "value").agg(
+    mapped = pairs.groupBy(*of_class, "value").agg(
         F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("unequal").alias("unequal")
     )
     of_slots = lambda name: F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col(name))), F.lit(0))
-    return mapped.groupBy(*copy, "n_matched", "n_windows").agg(
+    return mapped.groupBy(*of_class).agg(
         of_slots("n").alias("n_slots"), of_slots("most").alias("n_consistent"), F.sum("unequal").alias("n_unequal")
     )
 

@@ -98,6 +98,24 @@ def test_items_of_one_template_and_awkward_items(spark):
     assert hits(spark, texts, items) == [(0, 0), (1, 5), (3, 6)]
 
 
+def test_items_of_one_template_whose_values_differ_are_each_looked_for(spark):
+    """Whether values map consistently depends on the item's own values, not on those of the least id of its template."""
+    item = "a train leaves at {} and another train leaves at {} so both of them meet again at {} in the station"
+    items = [(0, item.format(9, 9, 9)), (1, item.format(9, 8, 7)), (2, item.format(4, 4, 5)), (3, item.format(6, 6, 6)), (4, item.format(1, 2, 3))]
+    again = [(1, noise(7)), (None, noise(8)), (5, noise(9)), (6, noise(9))]
+    texts = [item.format(1, 1, 1), item.format(1, 1, 2), item.format(1, 2, 3), noise(7), noise(8), noise(9), noise(10)]
+    docs = documents(spark, *enumerate(texts))
+    bench = spark.createDataFrame([*items, *again], "item_id long, text string")
+    found = templates.per_item(templates.contaminated(docs, bench))
+    assert found.columns == ["doc_id", "text_hash", "item_id", "n_matched", "n_windows", "n_slots", "n_consistent"]
+    want = {(0, i) for i in range(5)} | {(1, 1), (1, 2), (1, 4), (2, 1), (2, 4), (3, 1), (4, None), (5, 5), (5, 6)}
+    got = [(r["doc_id"], r["item_id"]) for r in found.collect()]
+    assert set(got) == want and len(got) == len(want)
+    # A text that holds only an item that is not the first of its template goes from the corpus too.
+    assert [r["doc_id"] for r in templates.without_contaminated(docs, bench).collect()] == [6]
+    assert [r["doc_id"] for r in templates.without_contaminated(docs, bench.where("item_id IN (0, 2, 3)")).collect()] == [2, 3, 4, 5, 6]
+
+
 FAMILY = "{} walked {} miles from the old mill to {} and slept there for {} hours before the rain began again"
 FIRST = [f"{a}{b}" for a in ("Al", "Be", "Cor", "Da", "Em") for b in ("ma", "na", "rin", "lia", "do")]
 
