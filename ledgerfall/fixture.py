@@ -70,19 +70,27 @@ _UNIDENTIFIED = "WHEN u=5 THEN NULL WHEN u=6 THEN '12345' WHEN u=7 THEN '8013015
 IDENTIFIED_SQL = BRONZE_SQL.replace(_UNIDENTIFIED, "WHEN true THEN")
 
 
-def _of_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+def _of_events(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> DataFrame:
+    """Bronze rows of all events, by tasks of their own if ``spread``.
+
+    A transaction is some fifty times the size of its event, and an event's work is
+    its transaction: the table's files, made for a scan, would be too few tasks for it.
+    So the events are spread by their unique key, before they become wide.
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    if spread:
+        events = events.repartition("event_id")
     return spark.sql(sql.replace("FROM events", "FROM {events}"), events=events)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """The whole ``events`` table as Bronze rows."""
-    return _of_events(spark, sf_dir, BRONZE_SQL)
+    return _of_events(spark, sf_dir, BRONZE_SQL, spread)
 
 
 def identified_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole ``events`` table as Bronze rows of holders with valid ID numbers."""
-    return _of_events(spark, sf_dir, IDENTIFIED_SQL)
+    """The whole ``events`` table as Bronze rows of holders with valid ID numbers, spread: they are stored as raw files."""
+    return _of_events(spark, sf_dir, IDENTIFIED_SQL, spread=True)
 
 
 def salt(spark: SparkSession) -> DataFrame:

@@ -112,3 +112,12 @@ def test_plans_that_are_written(stored, name):
     text = plan(gold.arrange(name, gold.build(name, facts.facts(stored))))
     assert not [word for word in BANNED if word in text]
     assert text.count("rangepartitioning") == (name != "client_financial_activity")
+
+
+def test_events_are_spread_before_they_become_wide_raw_rows(spark):
+    """Few files of narrow events make many times their size of raw text: not by as few tasks, and not shuffled wide."""
+    text = plan(fixture.identified_bronze(spark, SF_DIR))
+    spread = re.search(r"\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(event_id", text)
+    assert set(re.findall(r"(\w+)#", spread[1])) == {"event_id", "user_id", "value", "ts"}
+    assert read_columns(text) == [{"event_id", "user_id", "value", "ts"}]
+    assert sorted(fixture.bronze(spark, SF_DIR, spread=True).collect()) == sorted(fixture.bronze(spark, SF_DIR).collect())
