@@ -20,6 +20,7 @@ no half file.
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -43,7 +44,7 @@ FILE_IDS = 1 << 21
 #: Words a worker remembers before it starts anew: bounds its memory.
 MEMORY = 800_000
 #: New words that are encoded as one text.
-AT_ONCE = 500
+AT_ONCE = 100
 #: Documents whose words are learnt together.
 BATCH = 1024
 END_ID = 2
@@ -163,8 +164,10 @@ class WordEncoder:
     """Ids of whole texts from those of their words, each word encoded once by the library.
 
     The tokenizer must not join anything over ASCII white space; this one drops it.
-    New words go through the library many at a time, parted by a special token of
-    its own, which takes no part in the words' ids.
+    New words go through the library many at a time.  If its pieces tell where a word
+    ends, words of letters are parted by blanks: the lengths of the pieces must say the
+    same of every word.  Others are parted by a special token, which takes no part in
+    the words' ids, but at which the library takes a text apart, at a cost.
     """
 
     def __init__(self, tokenizer: str):
@@ -173,11 +176,36 @@ class WordEncoder:
         self.part_id = min((i for i, token in added.items() if token.special), default=None)
         self.part = added[self.part_id].content if added else ""
         self.known: dict[bytes, bytes] = {}
+        suffix = json.loads(tokenizer)["model"].get("end_of_word_suffix")
+        #: Whether a piece ends a word, and its length in bytes.
+        self.ends, self.lengths = np.zeros((2, self.tokenizer.get_vocab_size()), np.int64)
+        for piece, i in self.tokenizer.get_vocab().items() if suffix else ():
+            self.ends[i], self.lengths[i] = piece.endswith(suffix), len(piece.removesuffix(suffix))
+
+    def learn_letters(self, new: list[bytes], words: list[str], plain: list[int]) -> list[int]:
+        """Learns words of letters; gives those back that the pieces do not tell apart."""
+        groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
+        texts = [" ".join([words[i] for i in group]) for group in groups]
+        left = []
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            so_far = np.r_[0, np.cumsum(self.lengths[ids])]
+            wanted = np.cumsum([len(new[i]) for i in group])
+            if len(ends) != len(group) or ends[-1] != len(ids) or (so_far[ends] != wanted).any():
+                left += group
+                continue
+            data, bounds = ids.tobytes(), (ends * 4).tolist()
+            for i, start, end in zip(group, [0, *bounds], bounds):
+                self.known[new[i]] = data[start:end]
+        return left
 
     def learn(self, new: list[bytes]) -> None:
         words = [word.decode() for word in new]
-        together = [i for i, word in enumerate(words) if self.part and self.part not in word]
-        alone = range(len(words)) if not self.part else [i for i, word in enumerate(words) if self.part in word]
+        plain = [i for i, word in enumerate(words) if word.isalpha()] if self.ends.any() else []
+        rest = sorted({*range(len(words))}.difference(plain)) + self.learn_letters(new, words, plain)
+        together = [i for i in rest if self.part and self.part not in words[i]]
+        alone = [i for i in rest if not self.part or self.part in words[i]]
         groups = [together[at : at + AT_ONCE] for at in range(0, len(together), AT_ONCE)]
         texts = [self.part.join([words[i] for i in group]) for group in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
