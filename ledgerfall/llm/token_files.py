@@ -41,7 +41,7 @@ HEADER = "<8s5Q"
 SAMPLE = 64
 #: A file is closed once it has this many ids; it holds one document at least.
 FILE_IDS = 1 << 21
-#: Words a worker remembers before it starts anew: bounds its memory.
+#: Words a worker remembers, half of them from before it last started anew: bounds its memory.
 MEMORY = 800_000
 #: New words that are encoded as one text.
 AT_ONCE = 100
@@ -176,6 +176,7 @@ class WordEncoder:
         self.part_id = min((i for i, token in added.items() if token.special), default=None)
         self.part = added[self.part_id].content if added else ""
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         suffix = json.loads(tokenizer)["model"].get("end_of_word_suffix")
         #: Whether a piece ends a word, and its length in bytes.
         self.ends, self.lengths = np.zeros((2, self.tokenizer.get_vocab_size()), np.int64)
@@ -220,11 +221,14 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [text.encode().split() for text in texts]
-        new = list(set().union(*words) - self.known.keys())
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
-            new = list(set().union(*words))
-        self.learn(new)
+        every = set().union(*words)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > MEMORY // 2:
+            # Words that are met again are kept: they need not be learnt anew.
+            self.before, self.known, new = self.known, {}, every
+        again = new.intersection(self.before)
+        self.known.update((word, self.before.pop(word)) for word in again)
+        self.learn(list(new - again))
         return [b"".join(map(self.known.__getitem__, some)) for some in words]
 
 

@@ -122,6 +122,21 @@ def test_words_give_the_ids_of_whole_texts(text):
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_that_are_met_again_are_learnt_once(monkeypatch):
+    monkeypatch.setattr(token_files, "MEMORY", 20)
+    with open(WORDS, encoding="utf-8") as file:
+        encoder = token_files.WordEncoder(file.read())
+    learnt, learn = [], encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: learnt.extend(new) or learn(new))
+    texts = [f"often, größer {'x' * n} y{n} <|endoftext|>{n}" for n in range(1, 40)]
+    tokenizer = Tokenizer.from_file(WORDS)
+    for text in texts:
+        ids = np.frombuffer(encoder.encode([text])[0], "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) + len(encoder.before) <= 20
+    assert len(learnt) == len({word for text in texts for word in text.split()})
+
+
 @pytest.mark.parametrize("most", [1 << 21, 50])
 def test_token_files(spark, monkeypatch, most):
     monkeypatch.setattr(token_files, "FILE_IDS", most)
