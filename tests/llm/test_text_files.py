@@ -4,6 +4,7 @@ import html
 import io
 import math
 import re
+import tempfile
 import time
 import zlib
 from collections import Counter
@@ -339,6 +340,23 @@ def test_search(spark, monkeypatch, shard, run, k):
     assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], abs=2e-6)
 
 
+def test_blocks_of_queries_share_shards(spark, monkeypatch, tmp_path):
+    loads, real = str(tmp_path), search.Shard
+
+    def counted(*args):
+        with tempfile.NamedTemporaryFile(dir=loads, delete=False):
+            return real(*args)
+
+    cores = spark.sparkContext.defaultParallelism
+    for name, value in (("Shard", counted), ("SHARD_DOCS", 10), ("QUERY_BLOCK", 1)):
+        monkeypatch.setattr(search, name, value)
+    docs = documents(spark, *((i, sentence(i, 12)) for i in range(30))).coalesce(1)
+    asked = spark.createDataFrame([(i, sentence(i % 30, 12)) for i in range(6 * cores)], "query_id long, text string")
+    got = {r["query_id"]: r["doc_id"] for r in search.top_k(docs, asked.coalesce(1), 1).collect()}
+    assert got == {i: i % 30 for i in range(6 * cores)}
+    assert len(list(tmp_path.iterdir())) <= 3 * 6 * cores // 2
+
+
 def test_empty_search(spark):
     asked = spark.createDataFrame([(1, "x")], "query_id long, text string")
     assert search.top_k(documents(spark), asked).collect() == []
