@@ -28,6 +28,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -165,9 +167,10 @@ class WordEncoder:
 
     The tokenizer must not join anything over ASCII white space; this one drops it.
     New words go through the library many at a time.  If its pieces tell where a word
-    ends, words of letters are parted by blanks: the lengths of the pieces must say the
-    same of every word.  Others are parted by a special token, which takes no part in
-    the words' ids, but at which the library takes a text apart, at a cost.
+    ends, words of letters, and words of ASCII if its normaliser leaves their lengths, are
+    parted by blanks: the lengths of the pieces must say the same of every word.  Others
+    are parted by a special token, which takes no part in the words' ids, but at which the
+    library takes a text apart, at a cost.
     """
 
     def __init__(self, tokenizer: str):
@@ -182,31 +185,48 @@ class WordEncoder:
         self.ends, self.lengths = np.zeros((2, self.tokenizer.get_vocab_size()), np.int64)
         for piece, i in self.tokenizer.get_vocab().items() if suffix else ():
             self.ends[i], self.lengths[i] = piece.endswith(suffix), len(piece.removesuffix(suffix))
-
-    def learn_letters(self, new: list[bytes], words: list[str], plain: list[int]) -> list[int]:
-        """Learns words of letters; gives those back that the pieces do not tell apart."""
-        groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
-        texts = [" ".join([words[i] for i in group]) for group in groups]
+        self.ascii_joined = bool(suffix) and self.keeps_ascii()
+
+    def keeps_ascii(self) -> bool:
+        """Whether ASCII characters, alone and in pairs, are normalised to as many bytes."""
+        normal = self.tokenizer.normalizer
+        signs = [chr(i) for i in range(33, 127)]
+        texts = [*signs, *(a + b for a in signs for b in signs)]
+        return normal is None or all(len(normal.normalize_str(text).encode()) == len(text) for text in texts)
+
+    def learn_joined(self, new: list[bytes], whole: bool) -> list[bytes]:
+        """Learns words parted by blanks; gives those back that the pieces do not tell apart.
+
+        ``whole``: a word must be one for the pieces too, not several.
+        """
+        groups = [new[at : at + AT_ONCE] for at in range(0, len(new), AT_ONCE)]
+        texts = [b" ".join(group).decode() for group in groups]
         left = []
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
-            so_far = np.r_[0, np.cumsum(self.lengths[ids])]
-            wanted = np.cumsum([len(new[i]) for i in group])
-            if len(ends) != len(group) or ends[-1] != len(ids) or (so_far[ends] != wanted).any():
+            so_far = np.cumsum(self.lengths[ids])[ends - 1]
+            wanted = np.cumsum(list(map(len, group)))
+            if not whole and len(ends):
+                at = np.minimum(np.searchsorted(so_far, wanted), len(ends) - 1)
+                ends, so_far = ends[at], so_far[at]
+            if len(ends) != len(group) or ends[-1] != len(ids) or (so_far != wanted).any():
                 left += group
                 continue
             data, bounds = ids.tobytes(), (ends * 4).tolist()
-            for i, start, end in zip(group, [0, *bounds], bounds):
-                self.known[new[i]] = data[start:end]
+            self.known.update(zip(group, map(data.__getitem__, map(slice, [0, *bounds], bounds))))
         return left
 
     def learn(self, new: list[bytes]) -> None:
+        if self.ends.any():
+            plain = [word for word in new if self.ascii_joined and word.isascii()]
+            other = [word for word in new if not (self.ascii_joined and word.isascii())]
+            letters = [word for word in other if word.decode().isalpha()]
+            new = [word for word in other if not word.decode().isalpha()]
+            new += self.learn_joined(plain, False) + self.learn_joined(letters, True)
         words = [word.decode() for word in new]
-        plain = [i for i, word in enumerate(words) if word.isalpha()] if self.ends.any() else []
-        rest = sorted({*range(len(words))}.difference(plain)) + self.learn_letters(new, words, plain)
-        together = [i for i in rest if self.part and self.part not in words[i]]
-        alone = [i for i in rest if not self.part or self.part in words[i]]
+        together = [i for i, word in enumerate(words) if self.part and self.part not in word]
+        alone = [i for i, word in enumerate(words) if not self.part or self.part in word]
         groups = [together[at : at + AT_ONCE] for at in range(0, len(together), AT_ONCE)]
         texts = [self.part.join([words[i] for i in group]) for group in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
@@ -220,16 +240,28 @@ class WordEncoder:
             self.known[new[i]] = np.array(found.ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [text.encode().split() for text in texts]
-        every = set().union(*words)
-        new = every.difference(self.known)
+        if not texts:
+            return []
+        parts = pc.ascii_split_whitespace(pyarrow.array(texts, pyarrow.large_string()))
+        coded = parts.flatten().dictionary_encode()
+        # Different words of these texts, as they come; the empty one stands beside white space at an end.
+        every = coded.dictionary.cast(pyarrow.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        new = [word for word in every if word and word not in self.known]
         if len(self.known) + len(new) > MEMORY // 2:
             # Words that are met again are kept: they need not be learnt anew.
-            self.before, self.known, new = self.known, {}, every
-        again = new.intersection(self.before)
-        self.known.update((word, self.before.pop(word)) for word in again)
-        self.learn(list(new - again))
-        return [b"".join(map(self.known.__getitem__, some)) for some in words]
+            self.before, self.known, new = self.known, {}, [word for word in every if word]
+        if self.before:
+            self.known.update((word, self.before.pop(word)) for word in new if word in self.before)
+            new = [word for word in new if word not in self.known]
+        self.learn(new)
+        each = [self.known[word] if word else b"" for word in every]
+        sizes, ids = np.fromiter(map(len, each), np.int64, len(each)) // 4, np.frombuffer(b"".join(each), "<u4")
+        codes = coded.indices.to_numpy()
+        lengths = sizes[codes]
+        ends = np.r_[0, np.cumsum(lengths)]
+        places = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], lengths) + np.arange(ends[-1])
+        data, bounds = ids[places].tobytes(), (ends[parts.offsets.to_numpy()] * 4).tolist()
+        return [data[start:end] for start, end in zip(bounds, bounds[1:])]
 
 
 def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID) -> DataFrame:

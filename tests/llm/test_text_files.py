@@ -16,7 +16,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
 from ledgerfall.llm import html_text, pieces, search, token_files
 from ledgerfall.llm.shared import table
@@ -138,6 +138,31 @@ def test_words_that_are_met_again_are_learnt_once(monkeypatch):
     assert len(learnt) == len({word for text in texts for word in text.split()})
 
 
+def test_ascii_words_are_learnt_without_special_tokens():
+    tokenizer, seen = Tokenizer.from_file(WORDS), []
+
+    class Library:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            seen.extend(texts)
+            return tokenizer.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    encoder = token_files.WordEncoder(tokenizer.to_str())
+    assert encoder.ascii_joined
+    encoder.tokenizer = Library()
+    text = " Don't, 'tis... (3.14) x_y a<b> \x1c\x7f  END.\n"
+    assert np.frombuffer(encoder.encode([text, ""])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert not any(encoder.part in some for some in seen)
+
+
+def test_words_that_a_normaliser_lengthens():
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.normalizer = normalizers.Sequence([normalizers.Replace("q", "kw"), normalizers.Replace("sh", "s")])
+    encoder = token_files.WordEncoder(tokenizer.to_str())
+    assert not encoder.ascii_joined
+    text = "q, shq a.shq qsh sh, q"
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("most", [1 << 21, 50])
 def test_token_files(spark, monkeypatch, most):
     monkeypatch.setattr(token_files, "FILE_IDS", most)
