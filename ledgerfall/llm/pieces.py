@@ -3,8 +3,9 @@
 The model file is read field by field; the library's tokenizer is rebuilt from it:
 normaliser, word-start marker, byte fallback, and either unigram scores or merges
 ordered by score.  Pieces never continue over a word-start marker (checked when a
-model is read), so a text is split there first.  Batches are encoded multithreaded,
-and every text's ids are compared with SentencePiece's own.
+model is read), so a text is split there first, and the library encodes each word once
+as long as a worker remembers it.  Batches are encoded multithreaded, and every text's
+ids are compared with SentencePiece's own of the whole text.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,6 +29,12 @@ from ledgerfall.llm.shared import kept, lean
 MARK = "▁"
 #: Texts encoded at once: bounds a task's memory beside the longest text.
 BATCH = 256
+#: Words a worker remembers, half of them from before it last started anew: bounds its memory.
+MEMORY = 800_000
+#: New words that are encoded as one text.
+AT_ONCE = 100
+#: Words of a normalised text, as the tokenizer takes it apart.
+WORD = f"{MARK}*[^{MARK}]+|{MARK}+"
 #: Threads of a task's encoder; tasks run side by side, and each thread has memory of its own.
 THREADS = "2"
 
@@ -123,7 +131,7 @@ def build(model: Model) -> Tokenizer:
         )
     marked = [normalizers.Prepend(MARK)] if model.dummy_prefix else []
     tokenizer.normalizer = normalizers.Sequence([*plain_steps(model), *marked, normalizers.Replace(" ", MARK)])
-    tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+    tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(WORD), "isolated")
     # Joined first, so that markers are replaced once per text and not once per piece.
     tokenizer.decoder = decoders.Sequence([decoders.ByteFallback(), decoders.Fuse(), decoders.Replace(MARK, " ")])
     return tokenizer
@@ -144,13 +152,59 @@ class Codec:
         os.environ.setdefault("RAYON_NUM_THREADS", THREADS)  # read when the library first encodes
         self.model = parse(data)
         self.tokenizer = build(self.model)
+        #: For words, which are normalised already.
+        self.words = build(self.model)
+        self.words.normalizer = normalizers.Sequence([])
+        self.split = re.compile(WORD).findall
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.starts = np.array([text.startswith(MARK) for text, _, _ in self.model.pieces])
         self.plain = normalizers.Sequence(plain_steps(self.model))
         self.control = frozenset(i for i, (_, _, kind) in enumerate(self.model.pieces) if kind == CONTROL)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
 
+    def marked(self, text: str) -> str:
+        """A text as the tokenizer's normaliser gives it, at less cost: marking blanks moves nothing else."""
+        plain = self.plain.normalize_str(text).replace(" ", MARK)
+        return MARK + plain if plain and self.model.dummy_prefix else plain
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new words.  Words with a marker at their start only are encoded together, if one piece of each has it."""
+        plain = [word for word in new if word.rfind(MARK) == 0 and len(word) > 1]
+        alone = [word for word in new if word.rfind(MARK) != 0 or len(word) == 1]
+        groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
+        texts = ["".join(group) for group in groups]
+        for group, found in zip(groups, self.words.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            starts = np.flatnonzero(self.starts[ids])
+            if len(starts) != len(group) or starts[0] != 0:
+                alone += group
+                continue
+            data, bounds = ids.tobytes(), (starts * 4).tolist()
+            self.known.update(zip(group, map(data.__getitem__, map(slice, bounds, [*bounds[1:], len(data)]))))
+        for word, found in zip(alone, self.words.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
+
+    def raw_ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        words = [self.split(self.marked(text)) for text in texts]
+        every = dict.fromkeys(chain.from_iterable(words))
+        new = [word for word in every if word not in self.known]
+        if len(self.known) + len(new) > MEMORY // 2:
+            # Words that are met again are kept: they need not be learnt anew.
+            self.before, self.known, new = self.known, {}, list(every)
+        if self.before:
+            self.known.update((word, self.before.pop(word)) for word in new if word in self.before)
+            new = [word for word in new if word not in self.known]
+        self.learn(new)
+        return [b"".join(map(self.known.__getitem__, some)) for some in words]
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Ids of each text, and whether SentencePiece gives the same."""
-        ids = [found.ids for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return self.compared(texts, self.raw_ids(texts))
+
+    def compared(self, texts: list[str], raw: list[bytes]) -> tuple[list[list[int]], list[bool]]:
+        ids = [np.frombuffer(some, "<u4").tolist() for some in raw]
         return ids, [ours == theirs for ours, theirs in zip(ids, self.reference.encode(texts, num_threads=1))]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
@@ -189,11 +243,12 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
         for batch in batches:
             for rows in _in_turns(batch):
                 texts = list(rows["text"].fillna(""))
-                ids, same = codec.encode(texts)
+                raw = codec.raw_ids(texts)
+                ids, same = codec.compared(texts, raw)
                 out = {
                     "doc_id": rows["doc_id"],
                     "n_pieces": [len(some) for some in ids],
-                    "ids_crc32": [zlib.crc32(np.array(some, "<u4").tobytes()) for some in ids],
+                    "ids_crc32": list(map(zlib.crc32, raw)),
                     "parity": same,
                     "round_trip": [a == b for a, b in zip(codec.decode(ids), map(codec.normalized, texts))],
                 }

@@ -138,6 +138,20 @@ def test_words_that_are_met_again_are_learnt_once(monkeypatch):
     assert len(learnt) == len({word for text in texts for word in text.split()})
 
 
+def test_words_of_pieces_are_learnt_once(monkeypatch):
+    monkeypatch.setattr(pieces, "MEMORY", 40)
+    with open(PIECES, "rb") as file:
+        codec = pieces.Codec(file.read())
+    learnt, learn = [], codec.learn
+    monkeypatch.setattr(codec, "learn", lambda new: learnt.extend(new) or learn(new))
+    texts = [f"often  größer, {'x' * n}\n y{n} ▁▁ \x00é中文{n} 😀" for n in range(1, 40)] + ["", " ", "▁", "often"]
+    for text in texts:
+        ids, same = codec.encode([text])
+        assert ids == [codec.tokenizer.encode(text, add_special_tokens=False).ids] and same == [True]
+        assert len(codec.known) + len(codec.before) <= 40
+    assert learnt.count("▁often") == 1 and len(learnt) == len(set(learnt))
+
+
 def test_ascii_words_are_learnt_without_special_tokens():
     tokenizer, seen = Tokenizer.from_file(WORDS), []
 
