@@ -396,6 +396,35 @@ def test_blocks_of_queries_share_shards(spark, monkeypatch, tmp_path):
     assert len(list(tmp_path.iterdir())) <= 3 * 6 * cores // 2
 
 
+def test_documents_are_taken_apart_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    docs = documents(spark, *((i, sentence(i, 12)) for i in range(30))).select("doc_id", "text")
+    asked = spark.createDataFrame([(1, sentence(3, 12))], "query_id long, text string")
+    assert search.top_k(docs.mapInPandas(counted, docs.schema), asked, 1).first()["doc_id"] == 3
+    assert read.value == 30
+
+
+@pytest.mark.parametrize("few", [0, 512])
+def test_copies_and_close_scores(spark, monkeypatch, few):
+    for name, value in (("FEW", few), ("BLOCK_DOCS", 4), ("FIRST_BLOCKS", 1)):
+        monkeypatch.setattr(search, name, value)
+    docs = [(i, "one two three " * (1 + i % 2)) for i in range(90)]
+    # Lengths of some thousand words: scores that single precision does not tell apart.
+    docs += [(100 + i, "one four " * 3 + "many " * (4000 + i)) for i in range(40)] + [(200, "three")]
+    queries = [(1, "one two"), (2, "one four"), (3, "four " * 50), (4, "many")]
+    asked = spark.createDataFrame(queries, "query_id long, text string")
+    got = sorted(tuple(r) for r in search.top_k(documents(spark, *docs), asked, 5).collect())
+    wanted = sorted(expected_search(docs, queries, 5))
+    assert [g[:3] for g in got] == [w[:3] for w in wanted]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], abs=2e-6)
+
+
 def test_empty_search(spark):
     asked = spark.createDataFrame([(1, "x")], "query_id long, text string")
     assert search.top_k(documents(spark), asked).collect() == []
