@@ -4,8 +4,10 @@ The model file is read field by field; the library's tokenizer is rebuilt from i
 normaliser, word-start marker, byte fallback, and either unigram scores or merges
 ordered by score.  Pieces never continue over a word-start marker (checked when a
 model is read), so a text is split there first, and the library encodes each word once
-as long as a worker remembers it.  Batches are encoded multithreaded, and every text's
-ids are compared with SentencePiece's own of the whole text.
+as long as a worker remembers it.  Words are looked up once per batch: texts are split
+and their words numbered by Arrow, and ids put together by these numbers.  Batches are
+encoded multithreaded, and every text's ids are compared with SentencePiece's own of the
+whole text.
 """
 
 from __future__ import annotations
@@ -15,20 +17,23 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow
 import sentencepiece
+from pyarrow import compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+from tokenizers import Encoding, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
 from ledgerfall.llm.shared import kept, lean
 
 MARK = "▁"
 #: Texts encoded at once: bounds a task's memory beside the longest text.
 BATCH = 256
+#: Characters of texts whose words are looked up at once, beside the longest text: fewer lookups, bounded memory.
+LOOKED_UP = 1 << 20
 #: Words a worker remembers, half of them from before it last started anew: bounds its memory.
 MEMORY = 800_000
 #: New words that are encoded as one text.
@@ -145,6 +150,18 @@ def plain_steps(model: Model) -> list[normalizers.Normalizer]:
     return steps
 
 
+def _slices(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Slices of an array, one after the other."""
+    ends = np.cumsum(lengths)
+    return data[np.repeat(starts - ends + lengths, lengths) + np.arange(lengths.sum())]
+
+
+def _in_calls(tokenizer: Tokenizer, texts: list[str]) -> Iterator[Encoding]:
+    """What the library gives for texts, a bounded number at once."""
+    for at in range(0, len(texts), BATCH):
+        yield from tokenizer.encode_batch_fast(texts[at : at + BATCH], add_special_tokens=False)
+
+
 class Codec:
     """Encodes and decodes texts with one model."""
 
@@ -155,6 +172,10 @@ class Codec:
         #: For words, which are normalised already.
         self.words = build(self.model)
         self.words.normalizer = normalizers.Sequence([])
+        #: For words with a marker at their start only: parted without a regular expression.
+        self.marked_words = build(self.model)
+        self.marked_words.normalizer = normalizers.Sequence([])
+        self.marked_words.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")
         self.split = re.compile(WORD).findall
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -170,11 +191,12 @@ class Codec:
 
     def learn(self, new: list[str]) -> None:
         """Ids of new words.  Words with a marker at their start only are encoded together, if one piece of each has it."""
-        plain = [word for word in new if word.rfind(MARK) == 0 and len(word) > 1]
-        alone = [word for word in new if word.rfind(MARK) != 0 or len(word) == 1]
+        plain, alone = [], []
+        for word in new:
+            (plain if word.rfind(MARK) == 0 and len(word) > 1 else alone).append(word)
         groups = [plain[at : at + AT_ONCE] for at in range(0, len(plain), AT_ONCE)]
         texts = ["".join(group) for group in groups]
-        for group, found in zip(groups, self.words.encode_batch_fast(texts, add_special_tokens=False)):
+        for group, found in zip(groups, _in_calls(self.marked_words, texts)):
             ids = np.array(found.ids, "<u4")
             starts = np.flatnonzero(self.starts[ids])
             if len(starts) != len(group) or starts[0] != 0:
@@ -182,22 +204,48 @@ class Codec:
                 continue
             data, bounds = ids.tobytes(), (starts * 4).tolist()
             self.known.update(zip(group, map(data.__getitem__, map(slice, bounds, [*bounds[1:], len(data)]))))
-        for word, found in zip(alone, self.words.encode_batch_fast(alone, add_special_tokens=False)):
+        for word, found in zip(alone, _in_calls(self.words, alone)):
             self.known[word] = np.array(found.ids, "<u4").tobytes()
 
-    def raw_ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        words = [self.split(self.marked(text)) for text in texts]
-        every = dict.fromkeys(chain.from_iterable(words))
+    def remember(self, every: list[str]) -> None:
+        """Makes the words known, the new ones by the library."""
         new = [word for word in every if word not in self.known]
         if len(self.known) + len(new) > MEMORY // 2:
             # Words that are met again are kept: they need not be learnt anew.
-            self.before, self.known, new = self.known, {}, list(every)
+            self.before, self.known, new = self.known, {}, every
         if self.before:
             self.known.update((word, self.before.pop(word)) for word in new if word in self.before)
             new = [word for word in new if word not in self.known]
         self.learn(new)
-        return [b"".join(map(self.known.__getitem__, some)) for some in words]
+
+    def numbered(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Words of normalised texts, once each; their numbers, text after text; how many each text has."""
+        simple = np.array([text[:1] == MARK and MARK * 2 not in text for text in texts], bool)
+        odd = [self.split(text) for text, some in zip(texts, simple) if not some]
+        plain = pyarrow.array([text[1:] for text, some in zip(texts, simple) if some], pyarrow.large_string())
+        lists = compute.split_pattern(plain, MARK)  # each of them follows a marker
+        sizes = np.empty(len(texts), np.int64)
+        sizes[simple] = lists.value_lengths().to_numpy(zero_copy_only=False)
+        sizes[~simple] = list(map(len, odd))
+        coded = lists.flatten().dictionary_encode()
+        every = [MARK + word for word in coded.dictionary.to_numpy(zero_copy_only=False)]
+        at = {word: i for i, word in enumerate(every)} if odd else {}
+        codes = np.empty(sizes.sum(), np.int32)
+        first = np.repeat(simple, sizes)
+        codes[first] = coded.indices.to_numpy(zero_copy_only=False)
+        codes[~first] = [at.setdefault(word, len(at)) for some in odd for word in some]
+        return list(at) if odd else every, codes, sizes
+
+    def raw_ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        every, codes, sizes = self.numbered([self.marked(text) for text in texts])
+        self.remember(every)
+        parts = list(map(self.known.__getitem__, every))
+        data = np.frombuffer(b"".join(parts), "<u4")
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts = np.cumsum(lengths) - lengths
+        edges = np.r_[0, np.cumsum(sizes)].tolist()
+        return [_slices(data, starts[own], lengths[own]).tobytes() for own in map(codes.__getitem__, map(slice, edges, edges[1:]))]
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         """Ids of each text, and whether SentencePiece gives the same."""
@@ -223,6 +271,13 @@ def _in_turns(rows: pd.DataFrame, size: int = BATCH) -> Iterator[pd.DataFrame]:
         yield rows.iloc[at : at + size]
 
 
+def _looked_up(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows in a row, of LOOKED_UP characters and one text more at most."""
+    turn = rows["text"].str.len().cumsum().to_numpy() // LOOKED_UP
+    for some in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(turn)) + 1):
+        yield rows.iloc[some]
+
+
 def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
     """Per row: ``doc_id, n_pieces, ids_crc32, parity, round_trip``, and ``ids`` if asked for.
 
@@ -241,20 +296,21 @@ def encoded(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFra
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = kept("codec", zlib.crc32(data), lambda: Codec(data))
         for batch in batches:
-            for rows in _in_turns(batch):
-                texts = list(rows["text"].fillna(""))
-                raw = codec.raw_ids(texts)
-                ids, same = codec.compared(texts, raw)
-                out = {
-                    "doc_id": rows["doc_id"],
-                    "n_pieces": [len(some) for some in ids],
-                    "ids_crc32": list(map(zlib.crc32, raw)),
-                    "parity": same,
-                    "round_trip": [a == b for a, b in zip(codec.decode(ids), map(codec.normalized, texts))],
-                }
-                if with_ids:
-                    out["ids"] = ids
-                yield pd.DataFrame(out)
+            for rows in _looked_up(batch.assign(text=batch["text"].fillna("").astype(object))):
+                every = codec.raw_ids(list(rows["text"]))
+                for at in range(0, len(rows), BATCH):
+                    raw, texts = every[at : at + BATCH], list(rows["text"].iloc[at : at + BATCH])
+                    ids, same = codec.compared(texts, raw)
+                    out = {
+                        "doc_id": rows["doc_id"].iloc[at : at + BATCH],
+                        "n_pieces": [len(some) for some in ids],
+                        "ids_crc32": list(map(zlib.crc32, raw)),
+                        "parity": same,
+                        "round_trip": [a == b for a, b in zip(codec.decode(ids), map(codec.normalized, texts))],
+                    }
+                    if with_ids:
+                        out["ids"] = ids
+                    yield pd.DataFrame(out)
 
     return docs.select("doc_id", "text").mapInPandas(lean(run), schema + (", ids array<int>" if with_ids else ""))
 

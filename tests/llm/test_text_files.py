@@ -152,6 +152,25 @@ def test_words_of_pieces_are_learnt_once(monkeypatch):
     assert learnt.count("▁often") == 1 and len(learnt) == len(set(learnt))
 
 
+def test_words_of_many_texts_are_looked_up_once(codec, spark, monkeypatch):
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    texts = ["one two\nthree  one", "one  two", "", " ", "▁", "▁one▁▁", "one two one two " * 20, "\x00é 中文 😀one"] * 30
+    monkeypatch.setattr(codec, "known", Counted(codec.known))
+    ids, same = codec.encode(texts)
+    assert ids == [codec.tokenizer.encode(text, add_special_tokens=False).ids for text in texts] and all(same)
+    assert codec.known.asked < 30
+    monkeypatch.setattr(pieces, "LOOKED_UP", 50)
+    got = pieces.encoded(documents(spark, *((i, text or None) for i, text in enumerate(texts))), PIECES, with_ids=True)
+    found = {r["doc_id"]: (list(r["ids"]), r["parity"], r["round_trip"]) for r in got.collect()}
+    assert found == {i: (some, True, True) for i, some in enumerate(ids)}
+
+
 def test_ascii_words_are_learnt_without_special_tokens():
     tokenizer, seen = Tokenizer.from_file(WORDS), []
 
