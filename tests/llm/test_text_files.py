@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -444,6 +445,27 @@ def test_copies_and_close_scores(spark, monkeypatch, few):
     assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], abs=2e-6)
 
 
+def test_alike_documents_share_a_matrix(spark, monkeypatch):
+    for name, value in (("BLOCK_DOCS", 4), ("TILE_BLOCKS", 4), ("GROUPS", 64)):
+        monkeypatch.setattr(search, name, value)
+    # 16 languages of 20 words, each word in less than one document in 32: frequent among its own, rare in all.
+    text = lambda i: " ".join(f"w{i % 16}x{(i // 16 * 7 + j * j) % 20}" for j in range(10)) + " any" * (i % 37 == 0)
+    docs = [(i, text(i)) for i in range(640)]
+    words = pyarrow.chunked_array([pyarrow.array([t.split() for _, t in docs])])
+    index = search.build_index(np.arange(len(docs)), words)
+    all_pairs = sum(len(set(t.split())) for _, t in docs)
+    assert index["having"].sum() == all_pairs == np.count_nonzero(index["matrix"]) + len(index["row_docs"]) + len(index["left_docs"])
+    assert len(index["row_docs"]) + len(index["left_docs"]) < all_pairs / 4
+    shard = search.Shard(index, sum(len(t.split()) for _, t in docs) / len(docs))
+    assert sum(tile.dense.size for tile in shard.tiles) < 640 * len(index["names"]) / 4
+    queries = [(i, t) for i, t in docs if i % 20 == 0] + [(1, "any"), (2, "any w3x4 w5x6 w5x6")]
+    asked = spark.createDataFrame(queries, "query_id long, text string")
+    got = sorted(tuple(r) for r in search.top_k(documents(spark, *docs).coalesce(1), asked, 4).collect())
+    wanted = sorted(expected_search(docs, queries, 4))
+    assert [g[:3] for g in got] == [w[:3] for w in wanted]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], abs=2e-6)
+
+
 def test_empty_search(spark):
     asked = spark.createDataFrame([(1, "x")], "query_id long, text string")
     assert search.top_k(documents(spark), asked).collect() == []
